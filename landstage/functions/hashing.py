@@ -15,10 +15,12 @@ from landstage.functions.util import as_col
 
 
 def _part(c, null_as: str | None) -> Column:
+    # Spark strings are UTF-8 already: cast(... as binary) yields the same
+    # bytes as encode(..., 'UTF-8') without decoding and re-encoding.
     text = as_col(c).cast("string")
     if null_as is not None:
         text = F.coalesce(text, F.lit(null_as))
-    return F.encode(text, "UTF-8")
+    return text.cast("binary")
 
 
 def hash_of(*cols, sep: str | None = None, null_as: str | None = None) -> Column:
@@ -30,7 +32,7 @@ def hash_of(*cols, sep: str | None = None, null_as: str | None = None) -> Column
     parts: list[Column] = []
     for i, c in enumerate(cols):
         if sep is not None and i:
-            parts.append(F.encode(F.lit(sep), "UTF-8"))
+            parts.append(F.lit(sep).cast("binary"))
         parts.append(_part(c, null_as))
     return F.hex(F.sha1(F.concat(*parts)))
 

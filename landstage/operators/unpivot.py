@@ -11,12 +11,12 @@ Two layouts:
                 on the key).  Row count per key is the product of the
                 distinct counts; this is what the landing job defines.
 
-In ``cross`` mode all groups are exploded in one pass into a wide row with
-a group tag (each row carries one group's value, typed as that group), then
-de-duplicated once (map-side partial aggregation before the shuffle) and
-joined group by group on the key.  The join chain is an equi-join on the
-key, so a hot key is split by AQE's skew handling rather than collected
-into a single task.
+In ``cross`` mode each group is exploded from the shared parent and
+de-duplicated on (key, value) with a map-side partial aggregation before
+the shuffle; the groups are then joined on the key.  The parent's
+exchanges are identical in every branch, so Spark computes them once and
+reuses them.  The join chain is an equi-join on the key, so a hot key is
+split by AQE's skew handling rather than collected into one task.
 """
 
 from __future__ import annotations
@@ -61,21 +61,13 @@ def unpivot_positional(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
 
 def unpivot_cross(df: DataFrame, key, groups: Mapping[str, Sequence[str]]) -> DataFrame:
     keys = _keys(key)
-    names = list(groups)
-    entries = []
-    for gi, g in enumerate(names):
-        for c in groups[g]:
-            entries.append(F.struct(
-                F.lit(gi).alias("__g"),
-                *[(F.col(f"`{c}`") if h == g else F.lit(None).cast(df.schema[groups[h][0]].dataType)).alias(h)
-                  for h in names]))
-    tagged = (df.select(*[F.col(f"`{k}`") for k in keys], F.inline(F.array(*entries)))
-              .distinct())
     out = None
-    for gi, g in enumerate(names):
-        part = tagged.where(F.col("__g") == gi).select(*keys, g)
+    for g, cols in groups.items():
+        # each branch explodes only its own slots from the shared parent, so
+        # the parent's exchanges are identical across branches and reused
+        part = explode_values(df, keys, cols, g)
         out = part if out is None else out.join(part, keys, "inner")
-    return out.select(*keys, *names)
+    return out.select(*keys, *groups)
 
 
 def unpivot_slots(df: DataFrame, key, groups: Mapping[str, Sequence[str]],

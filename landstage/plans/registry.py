@@ -23,7 +23,7 @@ from landstage.operators import (apply_mapping, dedupe, explode_field, explode_v
 from landstage.plans import model as M
 from landstage.plans.cleaning import clean_and_nest, flatten
 from landstage.plans.spec import run_load
-from landstage.plans.staging import landing, staging_inputs
+from landstage.plans.staging import written
 from landstage.plans.testbed import (TABLES, captured_list_sql, member_list_sql,
                                      product_extract_sql, table)
 from landstage.session import scratch_path
@@ -347,8 +347,8 @@ def q_lookup_cast_key(spark, d):
 
 # ============================================================== staging loads
 def _load(spec, spark, d, with_dims: bool = False):
-    inputs = staging_inputs(spark, d) if with_dims else landing(spark, d)
-    return run_load(spec, inputs, stamp=None)
+    """Run a load over the written landing (and staging) tables."""
+    return run_load(spec, written(spark, d), stamp=None)
 
 
 @register("dim_agent", f"""WITH cap AS ({captured_list_sql()})

@@ -97,10 +97,20 @@ def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
         groups = {g: list(cols) for g, cols in u.groups}
         df = unpivot_slots(df, u.key, groups, mode=u.mode)
     cols = [as_col(e).alias(n) for e, n in spec.select]
+    same = tuple(spec.hash_key) == tuple(spec.hash_diff)
     cols.append(hash_of(*spec.hash_key).alias("hash_key"))
-    cols.append(hash_of(*spec.hash_diff).alias("hash_diff"))
+    if not same:
+        cols.append(hash_of(*spec.hash_diff).alias("hash_diff"))
     if stamp is None:
         cols.append(F.lit(spec.source_table).alias("source_table"))
     else:
         cols.extend(audit_columns(spec.source_table, at=at, mode=stamp))
-    return df.select(*cols)
+    out = df.select(*cols)
+    if same:
+        # one sha1 per row; the optimizer does not inline an expensive
+        # expression into two references
+        names = [n for _, n in spec.select]
+        out = out.select(*[F.col(f"`{n}`") for n in names], "hash_key",
+                         F.col("hash_key").alias("hash_diff"),
+                         *[c for c in out.columns if c not in names and c != "hash_key"])
+    return out

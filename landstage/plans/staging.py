@@ -1,5 +1,12 @@
-"""Staging chain over the test tables: dims loaded by the model's specs,
-ids assigned from the staging hash (as the sink database would)."""
+"""Staging chain over the test tables.
+
+Like the production jobs, each load reads tables written by earlier ones:
+the landing frames derived from the test tables and the staging
+dimensions (ids assigned from the staging hash, as the sink database
+would) are written once per (session, data folder) as Parquet under the
+shared checkpoint folder and read back.  Written tables cut the lineage,
+so a lost executor reruns only the current load's tasks.
+"""
 
 from __future__ import annotations
 
@@ -9,15 +16,19 @@ from landstage.operators.keys import with_surrogate_id
 from landstage.plans import model as M
 from landstage.plans.spec import run_load
 from landstage.plans.testbed import captured_list, member_list, product_extract
+from landstage.session import scratch_path
+
+_CACHE: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def landing(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Landing frames as lazy plans over the test tables (no writes)."""
     return {M.CAPTURED: captured_list(spark, d), M.PRODUCT_EXTRACT: product_extract(spark, d),
             M.MEMBER_LIST: member_list(spark, d)}
 
 
 def staging_inputs(spark: SparkSession, d: str, inputs: dict | None = None) -> dict[str, DataFrame]:
-    """Landing frames plus staging member/broker/client/broker_client/product with ids."""
+    """Landing frames plus staging member/broker/client/broker_client/product (lazy plans)."""
     inputs = dict(inputs or landing(spark, d))
 
     def load(spec, id_name):
@@ -29,3 +40,39 @@ def staging_inputs(spark: SparkSession, d: str, inputs: dict | None = None) -> d
     inputs[M.STG_BROKER_CLIENT] = load(M.BROKER_CLIENT, "broker_client_id")
     inputs[M.STG_PRODUCT] = load(M.PRODUCT, "product_id")
     return inputs
+
+
+def _key(spark: SparkSession, d: str) -> tuple[str, str]:
+    return (spark.sparkContext.applicationId, d.rstrip("/"))
+
+
+def written(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Landing and staging tables written once, then read back as tables."""
+    key = _key(spark, d)
+    paths = _CACHE.get(key)
+    if paths is None:
+        root = scratch_path(spark, "staging")
+        paths = {}
+
+        def put(name: str, df: DataFrame, spread: bool = False) -> DataFrame:
+            # landing tables are written in as many files as the session has
+            # cores so later loads scan them in parallel (the given test
+            # tables are single-file); staging dims keep their own layout
+            path = f"{root}/{name}"
+            out = df.repartition(spark.sparkContext.defaultParallelism) if spread else df
+            out.write.mode("overwrite").parquet(path)
+            paths[name] = path
+            return spark.read.parquet(path)
+
+        cur = {name: put(name, df, spread=True) for name, df in landing(spark, d).items()}
+
+        def load(spec, id_name):
+            return with_surrogate_id(run_load(spec, cur, stamp=None), id_name)
+
+        cur[M.STG_MEMBER] = put(M.STG_MEMBER, load(M.MEMBER, "member_id"))
+        cur[M.STG_BROKER] = put(M.STG_BROKER, load(M.BROKER_FROM_EXTRACT, "broker_id"))
+        cur[M.STG_CLIENT] = put(M.STG_CLIENT, load(M.CLIENT_FROM_EXTRACT, "client_id"))
+        cur[M.STG_BROKER_CLIENT] = put(M.STG_BROKER_CLIENT, load(M.BROKER_CLIENT, "broker_client_id"))
+        cur[M.STG_PRODUCT] = put(M.STG_PRODUCT, load(M.PRODUCT, "product_id"))
+        _CACHE[key] = paths
+    return {name: spark.read.parquet(path) for name, path in paths.items()}

@@ -28,6 +28,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("LANDSTAGE_DRIVER_MEMORY", "16g")
+    # Small local inputs: let AQE coalesce tiny shuffles only down to ~64KB
+    # partitions (default 1MB), so a stage that fans rows out after a small
+    # shuffle (lookup chains, cross unpivot) still uses every core.
+    conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "64k"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
