@@ -85,7 +85,7 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
     if salt and salt > 1:
         row_cols = [F.col(f"`{c}`") for c in df.columns]
         left = left.withColumn("__salt", F.pmod(F.xxhash64(*row_cols), F.lit(salt)))
-        d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).cast("long"))
+        d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
         cond.append(left["__salt"] == d["__salt"])
         out = left.join(d, cond, how).drop(left["__salt"]).drop(d["__salt"])
     else:
