@@ -721,6 +721,17 @@ def q_copy_parquet_tree(spark, d):
     return copied.groupBy("source_path").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("incremental_dim_agent", ORACLES["dim_agent"])
+def q_incremental_dim_agent(spark, d):
+    """The agent load run as a bookmarked stream over the written landing folder."""
+    from landstage.plans.staging import written_paths
+    from landstage.streaming import run_incremental
+    root = scratch_path(spark, "incremental")
+    landing_path = written_paths(spark, d)[M.CAPTURED]
+    run_incremental(spark, M.AGENT, landing_path, f"{root}/out", f"{root}/checkpoint", stamp=None)
+    return spark.read.parquet(f"{root}/out")
+
+
 def queries() -> dict[str, QueryFn]:
     def wrap(fn):
         return lambda spark, d: comparable(fn(spark, d))

@@ -18,7 +18,8 @@ from landstage.plans.spec import run_load
 from landstage.plans.testbed import captured_list, member_list, product_extract
 from landstage.session import scratch_path
 
-_CACHE: dict[tuple[str, str], dict[str, str]] = {}
+_CACHE: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_PATHS: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def landing(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -49,8 +50,8 @@ def _key(spark: SparkSession, d: str) -> tuple[str, str]:
 def written(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Landing and staging tables written once, then read back as tables."""
     key = _key(spark, d)
-    paths = _CACHE.get(key)
-    if paths is None:
+    tables = _CACHE.get(key)
+    if tables is None:
         root = scratch_path(spark, "staging")
         paths = {}
 
@@ -74,5 +75,14 @@ def written(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         cur[M.STG_CLIENT] = put(M.STG_CLIENT, load(M.CLIENT_FROM_EXTRACT, "client_id"))
         cur[M.STG_BROKER_CLIENT] = put(M.STG_BROKER_CLIENT, load(M.BROKER_CLIENT, "broker_client_id"))
         cur[M.STG_PRODUCT] = put(M.STG_PRODUCT, load(M.PRODUCT, "product_id"))
-        _CACHE[key] = paths
-    return {name: spark.read.parquet(path) for name, path in paths.items()}
+        # keep the read-back frames: their file listing and schema are resolved
+        # once instead of at every query
+        tables = {name: spark.read.parquet(path) for name, path in paths.items()}
+        _CACHE[key] = tables
+        _PATHS[key] = paths
+    return dict(tables)
+
+
+def written_paths(spark: SparkSession, d: str) -> dict[str, str]:
+    written(spark, d)
+    return dict(_PATHS[_key(spark, d)])
