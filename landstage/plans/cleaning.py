@@ -41,7 +41,12 @@ def clean_and_nest(df: DataFrame,
                    chop: Mapping[str, str] = PROVIDER_CHARGES_CHOP,
                    mapping: Sequence[tuple] = tuple(PROVIDER_CHARGES_MAPPING),
                    prefix_len: int = 1) -> DataFrame:
-    out = resolve_choice(df, choice)
+    # a value that resolves is never null before resolving: filtering the raw
+    # column first lets the scan skip nulls (PushedFilters: IsNotNull)
+    out = df
+    for name, _ in choice:
+        out = out.where(F.col(q(name)).isNotNull())
+    out = resolve_choice(out, choice)
     for name, _ in choice:
         out = out.where(F.col(q(name)).isNotNull())
     out = out.withColumns({new: chop_prefix(F.col(q(src)), prefix_len) for new, src in chop.items()})
