@@ -10,7 +10,7 @@ against.
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql.types import DataType, DecimalType, IntegralType, _parse_datatype_string
+from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType, _parse_datatype_string
 
 from landstage.functions.util import as_col
 
@@ -21,11 +21,17 @@ def _dtype(t) -> DataType:
     return t if isinstance(t, DataType) else _parse_datatype_string(t)
 
 
-def tolerant_cast(c, to) -> Column:
-    """``try_cast`` with integer targets going through decimal(38,18) first."""
+def tolerant_cast(c, to, from_type: DataType | None = None) -> Column:
+    """``try_cast`` with text -> integer going through decimal(38,18) first.
+
+    ``from_type`` (when known) skips a cast to the same type and lets numeric
+    sources cast directly (fractions truncate toward zero either way).
+    """
     col = as_col(c)
     dt = _dtype(to)
-    if isinstance(dt, IntegralType):
+    if from_type is not None and from_type == dt:
+        return col
+    if isinstance(dt, IntegralType) and (from_type is None or isinstance(from_type, StringType)):
         return col.try_cast(DecimalType(38, 18)).try_cast(dt)
     return col.try_cast(dt)
 

@@ -59,9 +59,10 @@ def apply_mapping(df: DataFrame, mappings: Sequence[tuple]) -> DataFrame:
     columns not listed are dropped.
     """
     tree: dict = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
     for m in mappings:
         src, _src_type, target, target_type = m
-        leaf = tolerant_cast(F.col(q(src)), target_type)
+        leaf = tolerant_cast(F.col(q(src)), target_type, types.get(src))
         _insert(tree, target.split("."), leaf)
     return df.select(*_build(tree))
 
@@ -70,11 +71,12 @@ def apply_mapping(df: DataFrame, mappings: Sequence[tuple]) -> DataFrame:
 def resolve_choice(df: DataFrame, specs: Sequence[tuple[str, str]]) -> DataFrame:
     """Resolve mixed-type columns: ``(column, 'cast:<type>')`` -> tolerant cast."""
     repl = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
     for name, action in specs:
         kind, _, arg = action.partition(":")
         if kind != "cast":
             raise ValueError(f"unsupported resolve action {action!r}")
-        repl[name] = tolerant_cast(F.col(q(name)), arg)
+        repl[name] = tolerant_cast(F.col(q(name)), arg, types.get(name))
     return df.withColumns(repl)
 
 
