@@ -67,6 +67,11 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
     """
     pairs = _pairs(on)
     takes = _take(take)
+    clash = sorted({dst for _, dst in takes} & set(df.columns))
+    if clash:
+        raise ValueError(f"lookup would duplicate columns {clash}; take them under other names")
+    if not (broadcast in ("auto", None) or (isinstance(broadcast, int) and not isinstance(broadcast, bool))):
+        raise ValueError("broadcast must be 'auto' or a maximum dimension row count")
     lk = [f"{prefix}{i}" for i in range(len(pairs))]
 
     d = dim.select(*[F.col(f"`{dc}`").alias(k) for (_, dc), k in zip(pairs, lk)],
@@ -89,7 +94,7 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
         cond.append(left["__salt"] == d["__salt"])
         out = left.join(d, cond, how).drop(left["__salt"]).drop(d["__salt"])
     else:
-        if broadcast not in ("auto", None, False) and isinstance(broadcast, int) and dim_fits(d, broadcast):
+        if isinstance(broadcast, int) and dim_fits(d, broadcast):
             d = F.broadcast(d)
         out = left.join(d, cond, how)
     return out.drop(*lk, *[f"{k}l" for k in lk])

@@ -11,7 +11,7 @@ spec is plain data and needs no Spark session to define.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,7 +65,6 @@ class LoadSpec:
     dedupe_names: tuple[str, ...] | None = None  # names for derived dedupe keys
     lookups: tuple[Lookup, ...] = ()
     unpivot: Unpivot | None = None
-    inputs: tuple[str, ...] = field(default=())
 
     def needs(self) -> list[str]:
         return [self.source] + [lk.dim for lk in self.lookups]

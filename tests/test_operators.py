@@ -78,6 +78,14 @@ def test_lookup_keeps_clashing_names_apart(spark):
     assert out.first().hash_key == "left-hash"
 
 
+def test_lookup_rejects_duplicate_output_names(dims):
+    broker, landing = dims
+    with pytest.raises(ValueError):
+        lookup(landing, broker, [("broker_code", "broker_code")], {"broker_name": "broker"})
+    with pytest.raises(ValueError):
+        lookup(landing, broker, [("broker_code", "broker_code")], ["broker_id"], broadcast=True)
+
+
 def test_cast_key_lookup(spark):
     left = spark.createDataFrame([("1000.50", "p"), ("abc", "q")], "cover string, d string")
     dim = spark.createDataFrame([(1000, 7)], "cover int, product_id int")
