@@ -16,7 +16,7 @@ from landstage.operators.keys import with_surrogate_id
 from landstage.plans import model as M
 from landstage.plans.spec import run_load
 from landstage.plans.testbed import captured_list, member_list, product_extract
-from landstage.session import scratch_path
+from landstage.session import parallelism, scratch_path, session_id
 
 _CACHE: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _PATHS: dict[tuple[str, str], dict[str, str]] = {}
@@ -44,7 +44,7 @@ def staging_inputs(spark: SparkSession, d: str, inputs: dict | None = None) -> d
 
 
 def _key(spark: SparkSession, d: str) -> tuple[str, str]:
-    return (spark.sparkContext.applicationId, d.rstrip("/"))
+    return (session_id(spark), d.rstrip("/"))
 
 
 def written(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -60,7 +60,7 @@ def written(spark: SparkSession, d: str) -> dict[str, DataFrame]:
             # cores so later loads scan them in parallel (the given test
             # tables are single-file); staging dims keep their own layout
             path = f"{root}/{name}"
-            out = df.repartition(spark.sparkContext.defaultParallelism) if spread else df
+            out = df.repartition(parallelism(spark)) if spread else df
             out.write.mode("overwrite").parquet(path)
             paths[name] = path
             return spark.read.parquet(path)

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landstage.session import session_id
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -59,7 +61,7 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A test table (the read is resolved once per session and path)."""
     path = f"{d.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_id(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]

@@ -44,6 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
@@ -51,7 +54,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is; a temporary local folder is only created when nothing is set
     (local tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, read the setting only
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            conf_dir = _LOCAL_CKPT.setdefault("dir", tempfile.mkdtemp(prefix="landstage-ckpt-"))
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -62,6 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return str(id(spark))
+
+
+def parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint root for intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
