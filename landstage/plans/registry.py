@@ -608,7 +608,6 @@ def _provider(spark, d):
         "'$' || CAST(c_custkey % 1000 AS STRING) AS `average medicare payments`")
 
 
-_NESTED_COLS = ('drg, provider_id, provider_name, provider_city, provider_state, provider_zip, rr')
 
 
 @register("apply_mapping_nested", f"""WITH p AS ({_PROVIDER_SQL})

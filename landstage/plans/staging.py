@@ -16,7 +16,7 @@ from landstage.operators.keys import with_surrogate_id
 from landstage.plans import model as M
 from landstage.plans.spec import run_load
 from landstage.plans.testbed import captured_list, member_list, product_extract
-from landstage.session import parallelism, scratch_path, session_id
+from landstage.session import scratch_path, session_id
 
 _CACHE: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _PATHS: dict[tuple[str, str], dict[str, str]] = {}
@@ -56,11 +56,11 @@ def written(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         paths = {}
 
         def put(name: str, df: DataFrame, spread: bool = False) -> DataFrame:
-            # landing tables are written in as many files as the session has
-            # cores so later loads scan them in parallel (the given test
-            # tables are single-file); staging dims keep their own layout
+            # landing tables are rebalanced by AQE into evenly sized files
+            # (advisory partition size) so later loads scan them in parallel
+            # (the given test tables are single-file); dims keep their layout
             path = f"{root}/{name}"
-            out = df.repartition(parallelism(spark)) if spread else df
+            out = df.hint("rebalance") if spread else df
             out.write.mode("overwrite").parquet(path)
             paths[name] = path
             return spark.read.parquet(path)
