@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landstage.functions import (audit_columns, clock12, format_ts, hash_of, load_dts, parse_date,
-                                 second_trunc, to_decimal, to_double, to_int, to_utf8)
+from landstage.functions import (audit_columns, clock12, format_ts, hash_of, parse_date, second_trunc,
+                                 to_decimal, to_double, to_int)
 from landstage.functions.text import chop_prefix
-from landstage.operators import (apply_mapping, dedupe, explode_field, explode_values, lookup,
+from landstage.operators import (apply_mapping, dedupe, explode_values, lookup,
                                  map_columns, map_records, relationalize, resolve_choice,
                                  unpivot_cross, unpivot_positional)
 from landstage.plans import model as M
 from landstage.plans.cleaning import clean_and_nest, flatten
+from landstage.plans.skeletons import (explode_encode, relationalize_encode, select_rename_stamp,
+                                       stamp_all)
 from landstage.plans.spec import run_load
 from landstage.plans.staging import written
 from landstage.plans.testbed import (TABLES, captured_list_sql, member_list_sql,
@@ -168,18 +170,18 @@ def q_scan_discover(spark, d):
 
 
 # ==================================================================== projections
-@register("select_all_stamped", f"SELECT *, '{PINNED}' AS load_dts FROM customer")
+@register("select_all_stamped", f"SELECT *, '{PINNED}' AS LOAD_DTS FROM customer")
 def q_select_all_stamped(spark, d):
-    return table(spark, d, "customer").select("*", load_dts(PINNED, "raw").alias("load_dts"))
+    return stamp_all(table(spark, d, "customer"), at=PINNED)
 
 
 @register("select_rename_stamp",
           f"SELECT o_orderkey AS order_key, o_orderstatus AS status, o_totalprice, "
-          f"'{PINNED}' AS load_dts FROM orders")
+          f"'{PINNED}' AS this_is_timestamp FROM orders")
 def q_select_rename_stamp(spark, d):
-    o = table(spark, d, "orders")
-    return o.select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"),
-                    "o_totalprice", load_dts(PINNED, "raw").alias("load_dts"))
+    return select_rename_stamp(table(spark, d, "orders"),
+                               [("o_orderkey", "order_key"), ("o_orderstatus", "status"), "o_totalprice"],
+                               at=PINNED)
 
 
 # ====================================================================== dedupe
@@ -546,12 +548,8 @@ def q_explode_struct_fields(spark, d):
     arr = F.transform(F.split("text", "\n"),
                       lambda x, i: F.struct(i.alias("test_column1"), x.alias("test_column2")))
     nested = conv.select("conv_id", "turn", arr.alias("column_with_array"))
-    ex = explode_field(nested, "column_with_array", "exploded", keep=["conv_id", "turn"])
-    return ex.select("conv_id", "turn",
-                     to_utf8("exploded.test_column1").alias("relational_1"),
-                     to_utf8("exploded.test_column2").alias("relational_2"),
-                     F.lit("this_is_my_source").alias("source_id"),
-                     format_ts(load_dts(PINNED, "raw")).alias("timestamp"))
+    return explode_encode(nested, "column_with_array", ["test_column1", "test_column2"],
+                          keep=["conv_id", "turn"], at=PINNED)
 
 
 def _conv_nested(spark, d):
@@ -578,6 +576,13 @@ def q_relationalize_child(spark, d):
     return relationalize(_conv_nested(spark, d), "root", key=["conv_id", "msg.turn"])["root_lines"]
 
 
+@register("relationalize_encoded",
+          f"SELECT hex(role) AS TESTKEY, 'this_is_my_source' AS SRC_FOR_ID, '{PINNED}' AS DTS "
+          f"FROM conversations")
+def q_relationalize_encoded(spark, d):
+    return relationalize_encode(_conv_nested(spark, d), "msg.role", key=["conv_id", "msg.turn"], at=PINNED)
+
+
 _PROVIDER_SQL = """SELECT c_mktsegment AS "drg definition",
   CASE WHEN c_custkey % 11 = 0 THEN 'P' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END
     AS "provider id",
