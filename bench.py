@@ -35,7 +35,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2))
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2))))
+    spark = local_session(cpus, shuffle_partitions=shuffle)
     qs = queries()
     times: dict[str, float] = {}
     for name in names:
