@@ -59,15 +59,26 @@ def unpivot_positional(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
     return out.distinct() if distinct else out
 
 
-def unpivot_cross(df: DataFrame, key, groups: Mapping[str, Sequence[str]]) -> DataFrame:
+def unpivot_cross(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
+                  derive: Mapping[str, Mapping[str, object]] | None = None) -> DataFrame:
+    """``derive`` adds columns computed on a group's distinct (key, value) rows
+    before the fan-out: ``{group: {name: Column}}`` (expressions over the key
+    and that group's value only).  Row growth happens in the joins, so such
+    columns are evaluated once per (key, value) instead of once per output row.
+    """
     keys = _keys(key)
+    derive = derive or {}
     out = None
+    extra: list[str] = []
     for g, cols in groups.items():
         # each branch explodes only its own slots from the shared parent, so
         # the parent's exchanges are identical across branches and reused
         part = explode_values(df, keys, cols, g)
+        if derive.get(g):
+            part = part.withColumns(dict(derive[g]))
+            extra += list(derive[g])
         out = part if out is None else out.join(part, keys, "inner")
-    return out.select(*keys, *groups)
+    return out.select(*keys, *groups, *extra)
 
 
 def unpivot_slots(df: DataFrame, key, groups: Mapping[str, Sequence[str]],

@@ -10,6 +10,7 @@ spec is plain data and needs no Spark session to define.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from landstage.functions.hashing import hash_of
 from landstage.functions.util import as_col
 from landstage.operators.dedupe import dedupe
 from landstage.operators.lookup import lookup
-from landstage.operators.unpivot import unpivot_slots
+from landstage.operators.unpivot import unpivot_cross, unpivot_slots
 
 
 # SQL builders for the tolerant conversions (same semantics as landstage.functions)
@@ -79,6 +80,34 @@ def _dedupe_cols(spec: LoadSpec):
     return cols
 
 
+_IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+
+
+def _before_fan_out(spec: LoadSpec, groups: dict[str, list[str]]):
+    """Split the select list of a cross-unpivot load into expressions that
+    depend on the key or on one group only (evaluated per (key, value) before
+    the joins) and the rest; likewise a hash_key over key columns only."""
+    key = spec.unpivot.key
+    names = set(groups) | {key}
+    derive: dict[str, dict] = {}
+    select = []
+    for i, (expr, name) in enumerate(spec.select):
+        refs = {t for t in _IDENT.findall(expr) if t in names}
+        owner = [g for g in groups if refs and refs <= {key, g} and g in refs]
+        if owner and expr.strip() != owner[0]:
+            col = f"__pre{i}"
+            derive.setdefault(owner[0], {})[col] = as_col(expr)
+            select.append((col, name))
+        else:
+            select.append((expr, name))
+    key_hash = None
+    if spec.hash_key and set(spec.hash_key) <= {key}:
+        first = next(iter(groups))
+        key_hash = "__key_hash"
+        derive.setdefault(first, {})[key_hash] = hash_of(*spec.hash_key)
+    return select, derive, key_hash
+
+
 def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
              stamp: str | None = "exact", broadcast="auto") -> DataFrame:
     """Build the staging frame of ``spec`` from named input frames (no action)."""
@@ -91,13 +120,19 @@ def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
     for lk in spec.lookups:
         df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take),
                     dim_unique=lk.unique, broadcast=broadcast)
+    select = list(spec.select)
+    key_hash = None
     if spec.unpivot is not None:
         u = spec.unpivot
         groups = {g: list(cols) for g, cols in u.groups}
-        df = unpivot_slots(df, u.key, groups, mode=u.mode)
-    cols = [as_col(e).alias(n) for e, n in spec.select]
+        if u.mode == "cross":
+            select, derive, key_hash = _before_fan_out(spec, groups)
+            df = unpivot_cross(df, u.key, groups, derive=derive)
+        else:
+            df = unpivot_slots(df, u.key, groups, mode=u.mode)
+    cols = [as_col(e).alias(n) for e, n in select]
     same = tuple(spec.hash_key) == tuple(spec.hash_diff)
-    cols.append(hash_of(*spec.hash_key).alias("hash_key"))
+    cols.append((F.col(key_hash) if key_hash else hash_of(*spec.hash_key)).alias("hash_key"))
     if not same:
         cols.append(hash_of(*spec.hash_diff).alias("hash_diff"))
     if stamp is None:
