@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landstage.functions.audit import audit_columns
+from landstage.functions.dates import parse_date_sql
 from landstage.functions.hashing import hash_of
 from landstage.functions.util import as_col
 from landstage.operators.dedupe import dedupe
@@ -35,7 +36,7 @@ def dec_of(c: str, p: int = 7, s: int = 2) -> str:
 
 
 def date_of(c: str, fmt: str) -> str:
-    return f"try_to_date(CAST({c} AS STRING), '{fmt}')"
+    return parse_date_sql(c, fmt)
 
 
 @dataclass(frozen=True)

@@ -70,8 +70,20 @@ def test_parse_date_formats_and_bad_values(spark):
 
 
 def test_parse_date_accepts_date_input(spark):
-    df = spark.createDataFrame([(dt.date(2020, 3, 4),)], "v date")
-    assert df.select(parse_date("v").alias("d")).first().d == dt.date(2020, 3, 4)
+    df = spark.createDataFrame([(dt.date(2020, 3, 4), dt.datetime(2020, 3, 4, 15, 0))], "v date, t timestamp")
+    r = df.select(parse_date("v").alias("a"), parse_date("v", "MM/dd/yyyy").alias("b"),
+                  parse_date("t", "MM/dd/yyyy").alias("c")).first()
+    assert r.a == r.b == r.c == dt.date(2020, 3, 4)
+
+
+def test_parse_date_fast_path_equals_pattern_parser(spark):
+    texts = ["01/05/2020", "02/29/2020", "02/29/2021", "13/01/2020", "00/10/2020", "12/31/9999",
+             "1/5/2020", "01/05/20201", "01-05-2020", " 01/05/2020", "01/05/2020 ", "ab/cd/efgh", None,
+             "2020-01-05", "2020-02-30", "2020-1-5", "99999-01-01"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for fmt in ("MM/dd/yyyy", "yyyy-MM-dd"):
+        got = df.select(parse_date("v", fmt).alias("a"), F.try_to_date("v", fmt).alias("b")).collect()
+        assert [r.a for r in got] == [r.b for r in got], fmt
 
 
 def test_clock12_matches_text_round_trip(spark):
