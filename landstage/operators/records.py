@@ -23,8 +23,24 @@ def map_columns(df: DataFrame, exprs: Mapping[str, object]) -> DataFrame:
     return df.withColumns({k: as_col(v) for k, v in exprs.items()})
 
 
+def _pickle_package_by_value() -> None:
+    """Send landstage code with the task instead of importing it on workers.
+
+    Functions from this package used in a Python worker (record functions,
+    helpers) are serialised by value, so executors need no copy of the
+    package on their path (no --py-files step).
+    """
+    import landstage
+    from pyspark import cloudpickle
+    try:
+        cloudpickle.register_pickle_by_value(landstage)
+    except ValueError:  # already registered
+        pass
+
+
 def map_records(df: DataFrame, fn: Callable, schema: StructType | str | None = None,
                 vectorized: bool = False) -> DataFrame:
+    _pickle_package_by_value()
     out_schema = schema if schema is not None else df.schema
     names = out_schema.fieldNames() if isinstance(out_schema, StructType) else None
 
