@@ -196,3 +196,17 @@ def test_surrogate_id_is_stable_and_from_hash(spark):
     b = with_surrogate_id(df.repartition(3), "broker_id").first().broker_id
     import hashlib
     assert a == b == int(hashlib.sha1(b"B1ACME").hexdigest()[:15], 16)
+
+
+def test_relationalize_array_in_array(spark):
+    df = spark.createDataFrame([(1, [[1, 2], [], None, [3]]), (2, [])], "id int, m array<array<int>>")
+    frames = relationalize(df, "root", key=["id"])
+    assert set(frames) == {"root", "root_m", "root_m_m_val"}
+    child = frames["root_m"]
+    # one child row per outer element (empty inner arrays and null elements included)
+    assert child.count() == 4
+    inner = sorted(r["m.val.val"] for r in frames["root_m_m_val"].collect())
+    assert inner == [1, 2, 3]
+    # every grandchild id is the id of a child row
+    child_ids = {r["m.val"] for r in child.collect() if r["m.val"] is not None}
+    assert {r.id for r in frames["root_m_m_val"].collect()} <= child_ids

@@ -173,3 +173,17 @@ def test_clean_and_nest(spark):
     assert r[0].charges.covered == 10.5 and r[0].charges.total_pay is None
     assert r[0].charges.medicare_pay is None
     assert flatten(out).columns[1] == "provider_id"
+
+
+def test_beneficiary_full_and_empty_slot_rows(spark):
+    full = {f"beneficiary_{f}_{i}": f"{f[0]}{i}" for i in range(1, 6) for f in M.BENEFICIARY_FIELDS}
+    full.update({f"beneficiary_percentage_{i}": "20" for i in range(1, 6)})
+    up = dict(BASE, first_name="JANE", last_name="DOE")
+    empty = {c: None for c in M.beneficiary_slot_columns()}
+    land = captured(spark, [dict(up, **full), dict(up, id_number="2", **empty)])
+    member = with_surrogate_id(run_load(M.MEMBER, {M.CAPTURED: land}, stamp=None), "member_id")
+    out = run_load(M.MEMBER_BENEFICIARY, {M.CAPTURED: land, M.STG_MEMBER: member}, stamp=None)
+    counts = {r.member_id: r.n for r in out.groupBy("member_id").count().withColumnRenamed("count", "n").collect()}
+    # 5 names x 5 ids x 5 relations x 1 percentage x 5 cells; the empty member keeps one all-null row
+    assert counts == {"800101": 5 ** 4, "2": 1}
+    assert out.where("member_id = '2'").first().hash_diff is None
