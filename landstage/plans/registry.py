@@ -733,7 +733,7 @@ def q_incremental_dim_agent(spark, d):
     root = scratch_path(spark, "incremental")
     landing_path = written_paths(spark, d)[M.CAPTURED]
     run_incremental(spark, M.AGENT, landing_path, f"{root}/out", f"{root}/checkpoint", stamp=None)
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
 def queries() -> dict[str, QueryFn]:

@@ -6,10 +6,12 @@ is a streaming file source, the checkpoint folder (in the shared folder)
 records which files were processed, and ``trigger(availableNow=True)``
 processes everything new and stops, so the job can be scheduled like a
 batch job.  Each micro-batch runs the same load spec as the batch path,
-with static dimension frames for lookups, and appends to the staging
+with static dimension frames for lookups, and writes to the staging
 output.  After a lost executor or a failed run, the next run resumes from
-the checkpoint; ``foreachBatch`` appends keyed by batch id are retried as a
-whole.
+the checkpoint.  A micro-batch whose output was committed but whose
+checkpoint entry was not is run again; each batch therefore overwrites its
+own ``batch_id=<n>`` folder instead of appending, so a rerun replaces its
+rows rather than duplicating them.
 """
 
 from __future__ import annotations
@@ -25,7 +27,10 @@ def run_incremental(spark: SparkSession, spec: LoadSpec, landing_path: str, targ
                     checkpoint: str, dims: Mapping[str, DataFrame] | None = None,
                     fmt: str = "parquet", at=None, stamp: str | None = "exact",
                     max_files_per_batch: int | None = None, target_format: str = "parquet") -> int:
-    """Load the landing files not seen before; returns the number of micro-batches run."""
+    """Load the landing files not seen before; returns the number of micro-batches run.
+
+    Reading ``target_path`` back gives every batch's rows plus a ``batch_id`` column.
+    """
     schema = spark.read.format(fmt).load(landing_path).schema
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_batch:
@@ -38,7 +43,7 @@ def run_incremental(spark: SparkSession, spec: LoadSpec, landing_path: str, targ
         inputs = dict(static)
         inputs[spec.source] = batch
         out = run_load(spec, inputs, at=at, stamp=stamp)
-        out.write.mode("append").format(target_format).save(target_path)
+        out.write.mode("overwrite").format(target_format).save(f"{target_path.rstrip('/')}/batch_id={batch_id}")
         batches.append(batch_id)
 
     query = (landing.writeStream.foreachBatch(load_batch)

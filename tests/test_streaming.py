@@ -19,3 +19,16 @@ def test_incremental_load_only_processes_new_files(spark, tmp_path):
     run_incremental(spark, M.AGENT, landing, out, ckpt, stamp=None)
     got = sorted(r.agent_code for r in spark.read.parquet(out).collect())
     assert got == ["A1", "A2", "A3"]
+    assert sorted({r.batch_id for r in spark.read.parquet(out).collect()}) == [0, 1]
+
+
+def test_rerun_of_a_batch_replaces_its_output(spark, tmp_path):
+    """A batch replayed after a failure (same id) must not duplicate rows."""
+    from landstage.plans.spec import run_load
+    cols = ["agent_code", "agent", "contact_number"]
+    land = spark.createDataFrame([("A1", "Ann", "0821")], ", ".join(f"{c} string" for c in cols))
+    out = str(tmp_path / "out")
+    for _ in range(2):  # the same batch id written twice
+        run_load(M.AGENT, {M.CAPTURED: land}, stamp=None).write.mode("overwrite") \
+            .parquet(f"{out}/batch_id=0")
+    assert spark.read.parquet(out).count() == 1
