@@ -210,3 +210,14 @@ def test_relationalize_array_in_array(spark):
     # every grandchild id is the id of a child row
     child_ids = {r["m.val"] for r in child.collect() if r["m.val"] is not None}
     assert {r.id for r in frames["root_m_m_val"].collect()} <= child_ids
+
+
+def test_unmatched_rows_of_a_lookup(dims):
+    """D9: the landing rows an inner lookup would drop, via a left-anti lookup."""
+    broker, landing = dims
+    on = [("broker_code", "broker_code"), ("upper(broker)", "broker_name")]
+    missing = lookup(landing, broker, on, how="left_anti")
+    assert missing.columns == landing.columns
+    assert rows(missing, "amount") == [(30,), (40,)]
+    kept = lookup(landing, broker, on, ["broker_id"]).select("amount").distinct().count()
+    assert kept + missing.count() == landing.count()
