@@ -88,8 +88,11 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
     cond = [F.col(f"{k}l") == F.col(k) for k in lk]
 
     if salt and salt > 1:
+        # the dimension is replicated to every bucket, so any bucket choice is
+        # exact; mixing in the row position also spreads identical rows
         row_cols = [F.col(f"`{c}`") for c in df.columns]
-        left = left.withColumn("__salt", F.pmod(F.xxhash64(*row_cols), F.lit(salt)))
+        left = left.withColumn("__salt", F.pmod(F.xxhash64(*row_cols, F.monotonically_increasing_id()),
+                                                F.lit(salt)))
         d = d.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
         cond.append(left["__salt"] == d["__salt"])
         out = left.join(d, cond, how).drop(left["__salt"]).drop(d["__salt"])

@@ -78,6 +78,15 @@ def test_lookup_keeps_clashing_names_apart(spark):
     assert out.first().hash_key == "left-hash"
 
 
+def test_salted_lookup_spreads_identical_hot_rows(spark):
+    left = spark.createDataFrame([("k", 1)] * 400 + [("j", 2)] * 4, "k string, v int").repartition(4)
+    dim = spark.createDataFrame([("k", 10), ("j", 20)], "k string, w int")
+    out = lookup(left, dim, ["k"], ["w"], salt=8)
+    assert out.count() == 404 and out.agg(F.sum("w")).first()[0] == 400 * 10 + 4 * 20
+    salts = left.select(F.pmod(F.xxhash64("k", "v", F.monotonically_increasing_id()), F.lit(8)).alias("s"))
+    assert salts.where("s IS NOT NULL").select("s").distinct().count() > 1
+
+
 def test_lookup_rejects_duplicate_output_names(dims):
     broker, landing = dims
     with pytest.raises(ValueError):
