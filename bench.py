@@ -1,7 +1,7 @@
 """Benchmark headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3), BENCH_QUERIES (comma list),
+BENCH_RUNS (timed runs per query, default 5), BENCH_QUERIES (comma list),
 BENCH_SHUFFLE_PARTITIONS (default 2 x cpus).  All queries run once to warm
 up; then each query runs once more and BENCH_RUNS timed times, and the
 median is reported.  A run executes the whole plan into the ``noop`` sink
@@ -34,7 +34,7 @@ HEADLINE = [
 def main() -> None:
     d = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
     shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2))))
     spark = local_session(cpus, shuffle_partitions=shuffle)
