@@ -6,7 +6,8 @@ functions  column expressions (hashes, tolerant casts, date parsing, audit stamp
 operators  DataFrame -> DataFrame steps (dedupe, lookup, unpivot, nesting, record maps)
 sources    readers (catalog tables, path sets, JDBC, file discovery)
 sinks      writers (tables, Parquet, JSON documents, tree copy)
-plans      declarative load specs and the staging model's loads
+plans      declarative load specs, the staging model's loads, job shapes, the job
+           runner, and the registered queries over the shared test tables
 streaming  incremental (bookmarked) runs of the same specs
 """
 
