@@ -60,14 +60,23 @@ def unpivot_positional(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
 
 
 def unpivot_cross(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
-                  derive: Mapping[str, Mapping[str, object]] | None = None) -> DataFrame:
+                  derive: Mapping[str, Mapping[str, object]] | None = None,
+                  checkpoint_parent: bool = False) -> DataFrame:
     """``derive`` adds columns computed on a group's distinct (key, value) rows
     before the fan-out: ``{group: {name: Column}}`` (expressions over the key
     and that group's value only).  Row growth happens in the joins, so such
     columns are evaluated once per (key, value) instead of once per output row.
+
+    ``checkpoint_parent`` materialises the parent once (reliable checkpoint in
+    the shared ``spark.checkpoint.dir``, lineage cut) before the groups read
+    it; useful when the parent is expensive and has no exchange the branches
+    could reuse.  This runs a job when called.
     """
     keys = _keys(key)
     derive = derive or {}
+    if checkpoint_parent:
+        cols = list(dict.fromkeys([*keys, *(c for cs in groups.values() for c in cs)]))
+        df = df.select(*[F.col(f"`{c}`") for c in cols]).checkpoint(eager=True)
     out = None
     extra: list[str] = []
     for g, cols in groups.items():

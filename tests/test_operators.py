@@ -125,6 +125,14 @@ def test_unpivot_cross_is_product_of_distinct_values(slot_frame):
     assert all(r[0] is not None for r in got)
 
 
+def test_unpivot_cross_checkpointed_parent_gives_the_same_rows(slot_frame):
+    plain = rows(unpivot_cross(slot_frame, "m", SLOTS), "m", "name", "rel")
+    ckpt = unpivot_cross(slot_frame, "m", SLOTS, checkpoint_parent=True)
+    assert rows(ckpt, "m", "name", "rel") == plain
+    assert "ExistingRDD" in ckpt._jdf.queryExecution().optimizedPlan().toString() or \
+        "LogicalRDD" in ckpt._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_unpivot_positional_keeps_slots_aligned(slot_frame):
     out = unpivot_positional(slot_frame, "m", SLOTS)
     assert rows(out, "m", "name", "rel") == sorted(
