@@ -55,14 +55,19 @@ def apply_mapping(df: DataFrame, mappings: Sequence[tuple]) -> DataFrame:
     """Rename, cast and nest in one ``select``.
 
     mappings -- (source, source_type, target, target_type) tuples.  Dotted
-    targets build structs (``provider.id``); casts are tolerant; source
-    columns not listed are dropped.
+    targets build structs (``provider.id``); a dotted source that is not a
+    top-level column reads a struct field, so a mapping can also flatten;
+    casts are tolerant; source columns not listed are dropped.
     """
     tree: dict = {}
     types = {f.name: f.dataType for f in df.schema.fields}
     for m in mappings:
         src, _src_type, target, target_type = m
-        leaf = tolerant_cast(F.col(q(src)), target_type, types.get(src))
+        if src in types:                       # a top-level column (may contain spaces or dots)
+            source = F.col(q(src))
+        else:                                  # a dotted path into a struct
+            source = F.col(".".join(q(part) for part in src.split(".")))
+        leaf = tolerant_cast(source, target_type, types.get(src))
         _insert(tree, target.split("."), leaf)
     return df.select(*_build(tree))
 

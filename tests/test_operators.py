@@ -165,6 +165,17 @@ def test_apply_mapping_nests_casts_and_drops_unlisted(spark):
     assert r.provider.id == 12 and r.provider.name == "Clinic" and r.charges.covered == 99.0
 
 
+def test_apply_mapping_flattens_dotted_sources(spark):
+    df = spark.createDataFrame([({"id": "7", "name": "Clinic"}, "x")],
+                               "provider struct<id:string,name:string>, `a.b` string")
+    out = apply_mapping(df, [("provider.id", "string", "provider_id", "long"),
+                             ("provider.name", "string", "info.name", "string"),
+                             ("a.b", "string", "ab", "string")])
+    r = out.first()
+    assert out.columns == ["provider_id", "info", "ab"]
+    assert r.provider_id == 7 and r.info.name == "Clinic" and r.ab == "x"
+
+
 def test_resolve_choice_cast_nulls_bad_values(spark):
     df = spark.createDataFrame([("123",), ("abc",), ("1.5",)], "`provider id` string")
     got = [r[0] for r in resolve_choice(df, [("provider id", "cast:long")]).collect()]
