@@ -13,9 +13,9 @@ Join strategy
 dimension when its estimated size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with runtime
 sizes; larger dimensions get a shuffle join, with AQE splitting skewed
-partitions.  ``broadcast=<rows>`` forces the hint only after a bounded
-row count shows the dimension has at most that many rows; otherwise the
-automatic plan is kept.  ``salt=n`` spreads each left key over ``n``
+partitions.  ``broadcast=<rows>`` forces the hint only after a row count
+of the (pruned) dimension shows it has at most that many rows; otherwise
+the automatic plan is kept.  ``salt=n`` spreads each left key over ``n``
 buckets (dimension rows replicated ``n`` times) for a key that holds a
 large share of the rows in a shuffle join.
 """
@@ -51,8 +51,13 @@ def _take(take) -> list[tuple[str, str]]:
 
 
 def dim_fits(dim: DataFrame, max_rows: int) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """True when ``dim`` has at most ``max_rows`` rows.
+
+    A plain count: partial counts per partition and a one-row-per-task
+    shuffle, reading no column data.  (A ``limit`` would funnel up to
+    ``max_rows`` rows per partition through a single task on a large table.)
+    """
+    return dim.count() <= max_rows
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",

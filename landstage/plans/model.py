@@ -37,6 +37,11 @@ PRODUCT_COLS = ("policy_code", "policy_description", "relate_to", "age_from", "a
                 "product_type", "broker_code", "broker_name", "client", "underwriter")
 
 
+# Product lookups broadcast up to this many catalogue rows (~50 bytes each after
+# pruning to the four keys and the id, so ~100 MB); beyond it, a shuffle join.
+PRODUCT_BROADCAST_ROWS = 2_000_000
+
+
 def beneficiary_slot_columns() -> list[str]:
     """beneficiary_<field>_<i> for i = 1..5, slot by slot."""
     return [f"beneficiary_{f}_{i}" for i in range(1, BENEFICIARY_SLOTS + 1) for f in BENEFICIARY_FIELDS]
@@ -126,10 +131,13 @@ POLICY = LoadSpec(
         Lookup(STG_CLIENT, (("upper(client)", "client_name"),), (("client_id", "client_id"),)),
         Lookup(STG_BROKER_CLIENT, (("broker_id", "broker_id"), ("client_id", "client_id")),
                (("broker_client_id", "broker_client_id"),)),
+        # the product catalogue is bounded by the business, not by the landing
+        # volume: broadcast it once its size is proven (saves a full shuffle of
+        # the fact rows); a larger catalogue keeps the shuffle join
         Lookup(STG_PRODUCT, (("broker_client_id", "broker_client_id"),
                              ("policy_description", "policy_description"),
                              (int_of("cover"), "cover"), ("member_type", "relate_to")),
-               (("product_id", "product_id"),)),
+               (("product_id", "product_id"),), broadcast_rows=PRODUCT_BROADCAST_ROWS),
     ),
     select=(("policy_number", "policy_number"), ("member_id", "member_id"),
             ("product_id", "product_id"),

@@ -45,6 +45,7 @@ class Lookup:
     on: tuple[tuple[str, str], ...]            # (left expression, dimension column)
     take: tuple[tuple[str, str], ...]          # (dimension column, output name)
     unique: bool = False                       # one dim row per key (no fan-out)
+    broadcast_rows: int | None = None          # broadcast when the dim proves to have <= rows
 
 
 @dataclass(frozen=True)
@@ -119,8 +120,8 @@ def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
     if spec.dedupe is not None:
         df = dedupe(df, _dedupe_cols(spec))
     for lk in spec.lookups:
-        df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take),
-                    dim_unique=lk.unique, broadcast=broadcast)
+        df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take), dim_unique=lk.unique,
+                    broadcast=lk.broadcast_rows if lk.broadcast_rows else broadcast)
     select = list(spec.select)
     key_hash = None
     if spec.unpivot is not None:
