@@ -110,6 +110,15 @@ def _before_fan_out(spec: LoadSpec, groups: dict[str, list[str]]):
     return select, derive, key_hash
 
 
+def _broadcast_bound(df: DataFrame, lk: Lookup) -> int | None:
+    """The spec's row bound for a lookup; a deployment overrides it with the
+    session setting ``landstage.broadcastRows.<dimension>`` (0 disables)."""
+    override = df.sparkSession.conf.get(f"landstage.broadcastRows.{lk.dim}", None)
+    if override is not None:
+        return int(override) or None
+    return lk.broadcast_rows
+
+
 def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
              stamp: str | None = "exact", broadcast="auto") -> DataFrame:
     """Build the staging frame of ``spec`` from named input frames (no action)."""
@@ -121,7 +130,7 @@ def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
         df = dedupe(df, _dedupe_cols(spec))
     for lk in spec.lookups:
         df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take), dim_unique=lk.unique,
-                    broadcast=lk.broadcast_rows if lk.broadcast_rows else broadcast)
+                    broadcast=_broadcast_bound(df, lk) or broadcast)
     select = list(spec.select)
     key_hash = None
     if spec.unpivot is not None:

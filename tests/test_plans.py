@@ -187,3 +187,24 @@ def test_beneficiary_full_and_empty_slot_rows(spark):
     # 5 names x 5 ids x 5 relations x 1 percentage x 5 cells; the empty member keeps one all-null row
     assert counts == {"800101": 5 ** 4, "2": 1}
     assert out.where("member_id = '2'").first().hash_diff is None
+
+
+def test_broadcast_bound_can_be_overridden_per_session(spark, extract):
+    land = captured(spark, [BASE])
+    inputs = _dims(spark, land, extract)
+    key = f"landstage.broadcastRows.{M.STG_PRODUCT}"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.conf.set(key, "0")
+        off = run_load(M.POLICY, inputs, stamp=None)
+        off_plan = off._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset(key)
+        on = run_load(M.POLICY, inputs, stamp=None)
+        on_plan = on._jdf.queryExecution().executedPlan().toString()
+        assert on_plan.count("BroadcastHashJoin") == off_plan.count("BroadcastHashJoin") + 1
+        assert sorted(r.policy_number for r in on.collect()) == sorted(r.policy_number for r in off.collect())
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
