@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landstage.llm import minhash as M
 from landstage.llm import repetition as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -57,11 +62,29 @@ SELECT * EXCLUDE (too_long), n_words < {R.MIN_WORDS} OR 100 * n_repeat_words > {
 FROM base
 """
 
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({SQL_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= {M.SHINGLE} THEN [array_to_string(w[i:i + {M.SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {M.SHINGLE - 2})]
+                               ELSE [array_to_string(w, ' ')] END) AS s FROM d WHERE len(w) > 0)),
+sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN sz p ON p.doc_id = a JOIN sz q ON q.doc_id = b WHERE 100 * c >= {M.THRESHOLD} * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, b FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a),
+comp AS (SELECT a AS doc_id, min(b) AS lo FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(sz.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(comp.lo, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(comp.lo, d.doc_id) AS kept
+FROM d LEFT JOIN sz USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": OP1_SQL,
     "op8_quality_rules": OP8_SQL,
 }
 
