@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landstage.llm import decontam as D
 from landstage.llm import minhash as M
 from landstage.llm import repetition as R
 
@@ -25,6 +26,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -78,13 +83,30 @@ SELECT d.doc_id, coalesce(sz.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coales
 FROM d LEFT JOIN sz USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
 
+#: Independent of the masks: at most three of 13 words differ, so three in a row are equal.
+OP2_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({SQL_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+v AS (SELECT item_id, regexp_extract_all({SQL_LOWER}, '[^\x20\x09-\x0D]+') AS v FROM benchmark WHERE item_id IS NOT NULL),
+dt AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+vt AS (SELECT item_id, i, v[i] || ' ' || v[i + 1] || ' ' || v[i + 2] AS s FROM (SELECT item_id, v, unnest(range(1, len(v) - 1)) AS i FROM v)),
+hit AS (SELECT DISTINCT doc_id, item_id, dt.i - vt.i AS shift FROM dt JOIN vt USING (s)),
+face AS (SELECT doc_id, item_id, shift, len(v) AS n, unnest(range(1, len(v) + 1)) AS j, w, v FROM hit JOIN d USING (doc_id) JOIN v USING (item_id) WHERE len(v) >= {D.SHORTEST}),
+eq AS (SELECT doc_id, item_id, shift, n, j, CASE WHEN shift + j >= 1 AND w[shift + j] = v[j] THEN 1 ELSE 0 END AS e FROM face),
+win AS (SELECT doc_id, item_id, shift, n, j, sum(e) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j ROWS BETWEEN {D.WINDOW - 1} PRECEDING AND CURRENT ROW) AS m FROM eq),
+best AS (SELECT doc_id, item_id, shift, n, max(m) AS best FROM win WHERE j >= least(n, {D.WINDOW}) GROUP BY ALL)
+SELECT doc_id, item_id, count(DISTINCT shift) AS n_alignments, min(shift)::BIGINT AS first_shift, max(best)::BIGINT AS best_matches
+FROM best WHERE best >= CASE WHEN n >= {D.WINDOW} THEN {D.NEED} ELSE n END GROUP BY doc_id, item_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_decontamination": op2_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }
 
 SQL: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
+    "op2_decontamination": OP2_SQL,
     "op8_quality_rules": OP8_SQL,
 }
 
