@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from landstage.llm import decontam as D
 from landstage.llm import minhash as M
+from landstage.llm import pii as P
 from landstage.llm import repetition as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return P.personal_data(docs, P.train(docs))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -101,6 +107,7 @@ FROM best WHERE best >= CASE WHEN n >= {D.WINDOW} THEN {D.NEED} ELSE n END GROUP
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_personal_data": op3_personal_data,
     "op8_quality_rules": op8_quality_rules,
 }
 
