@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from landstage.llm import decontam as D
 from landstage.llm import minhash as M
+from landstage.llm import mixing as X
 from landstage.llm import pii as P
 from landstage.llm import repetition as R
 
@@ -36,6 +37,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.personal_data(docs, P.train(docs))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -104,16 +109,43 @@ SELECT doc_id, item_id, count(DISTINCT shift) AS n_alignments, min(shift)::BIGIN
 FROM best WHERE best >= CASE WHEN n >= {D.WINDOW} THEN {D.NEED} ELSE n END GROUP BY doc_id, item_id
 """
 
+_SQL_NUMBER = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+OP5_SQL = rf"""
+WITH RECURSIVE counted AS (SELECT doc_id, source, n_tokens FROM (SELECT doc_id, source, len({SQL_WORDS})::BIGINT AS n_tokens FROM documents) WHERE n_tokens > 0),
+each AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS docs FROM counted GROUP BY source),
+total AS (SELECT sum(tokens)::BIGINT AS total FROM each),
+shares AS (SELECT list(tokens::DOUBLE / total::DOUBLE ORDER BY source NULLS FIRST) AS p FROM each, total),
+bis AS (SELECT 0 AS k, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, p FROM shares
+  UNION ALL SELECT k + 1, CASE WHEN fits THEN lo ELSE mid END, CASE WHEN fits THEN mid ELSE hi END, p FROM (
+    SELECT *, (lo + hi) / 2 AS mid, list_max(list_transform(p, lambda x: pow(x, (lo + hi) / 2 - 1))) / list_sum(list_transform(p, lambda x: pow(x, (lo + hi) / 2))) <= {X.MAX_REPEATS} AS fits
+    FROM bis WHERE k < {X.HALVINGS})),
+last AS (SELECT hi AS a, list_sum(list_transform(p, lambda x: pow(x, hi))) AS z FROM bis WHERE k = {X.HALVINGS}),
+plan AS (SELECT source, tokens, docs, floor(pow(tokens::DOUBLE / total::DOUBLE, a) / z * total + 0.5)::BIGINT AS budget FROM each, total, last),
+parts AS (SELECT source, budget // tokens AS full_, budget % tokens AS rest, ceil(sqrt(docs))::BIGINT AS n_blocks FROM plan),
+base AS (SELECT doc_id, c.source, n_tokens, full_, rest, {_SQL_NUMBER.format("coalesce(doc_id::VARCHAR, 'null')")} % n_blocks AS block, unnest(range(0, full_ + 1)) AS epoch
+  FROM counted c JOIN parts p ON c.source IS NOT DISTINCT FROM p.source),
+r AS (SELECT * FROM base WHERE epoch < full_ OR rest > 0),
+b AS (SELECT source, epoch, block, sum(n_tokens) AS s FROM r GROUP BY ALL),
+br AS (SELECT source, epoch, block, row_number() OVER w AS block_rank, sum(s) OVER w - s AS before FROM b
+  WINDOW w AS (PARTITION BY source, epoch ORDER BY {_SQL_NUMBER.format("block || ':' || epoch")}, block ROWS UNBOUNDED PRECEDING)),
+placed AS (SELECT r.*, block_rank, row_number() OVER w AS doc_rank, before + sum(n_tokens) OVER w AS upto
+  FROM r JOIN br ON r.source IS NOT DISTINCT FROM br.source AND r.epoch = br.epoch AND r.block = br.block
+  WINDOW w AS (PARTITION BY r.source, r.epoch, r.block ORDER BY {_SQL_NUMBER.format("coalesce(doc_id::VARCHAR, 'null') || ':' || r.epoch")}, doc_id NULLS FIRST, n_tokens ROWS UNBOUNDED PRECEDING))
+SELECT doc_id, source, epoch, block_rank, doc_rank, n_tokens FROM placed WHERE epoch < full_ OR upto <= rest
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_personal_data": op3_personal_data,
+    "op5_source_mixing": op5_source_mixing,
     "op8_quality_rules": op8_quality_rules,
 }
 
 SQL: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
     "op2_decontamination": OP2_SQL,
+    "op5_source_mixing": OP5_SQL,
     "op8_quality_rules": OP8_SQL,
 }
 
