@@ -15,6 +15,7 @@ from landstage.llm import decontam as D
 from landstage.llm import minhash as M
 from landstage.llm import mixing as X
 from landstage.llm import pii as P
+from landstage.llm import quality as Q
 from landstage.llm import repetition as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,11 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.personal_data(docs, P.train(docs))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return Q.classify(docs, Q.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.mix(table(spark, sf_dir, "documents"))
 
@@ -138,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_personal_data": op3_personal_data,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_source_mixing": op5_source_mixing,
     "op8_quality_rules": op8_quality_rules,
 }
