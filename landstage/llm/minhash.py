@@ -12,12 +12,17 @@ concentration of independent draws.
 Bands of ``ROWS`` coordinates give bucket keys.  A pair at the similarity 0.75
 agrees in at least one of the 48 bands but for about 2 in a million.
 
-Work per bucket stays linear: equal sets are one node; in a bucket, every node is
-compared with the bucket's smallest node, and links are confirmed on the full
-sets.  Only buckets whose nodes then still lie in several components are looked
-at again, and only pairs from different components (of fitting set sizes) are
-compared.  Every candidate pair of two components has then been checked, so the
-components are those of all candidate links; no bucket is capped.
+Equal sets are one node.  In a bucket, every node is compared with the bucket's
+smallest node, and links are confirmed on the full sets, which is linear.  Only
+buckets whose nodes then still lie in several components are looked at again, for
+links between components.  Those of at most ``SMALL`` nodes yield their pairs from
+different components (a constant number a row).  Larger ones are cut into blocks of
+about ``BLOCK`` nodes; a task takes two blocks, counts all common shingles with
+matrix products and returns one link for each node and component, so no pair row
+is ever made for a pair that is not linked.  Every candidate pair of two
+components has then been checked, and the components are those of all candidate
+links; no bucket is capped.  In a large bucket of documents that are alike but not
+linked the comparisons (not the rows) grow with the square of its size.
 
 Defined results: a null or empty text, or one without words, has the empty set, is
 linked with nothing and stays.  With fewer than five words the whole sequence is
@@ -44,6 +49,9 @@ ROWS = 5
 BANDS = 48
 COORDS = ROWS * BANDS
 THRESHOLD = 75          # per cent
+SMALL = 32              # nodes of a bucket
+BLOCK = 256
+WIDE = 4096             # shingles of one matrix product
 
 _OPEN = np.uint64(0xFFFFFFFFFFFFFFFF)
 SKETCH_SCHEMA = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
@@ -110,7 +118,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(node, items): the sorted shingle hashes of (doc_id, text) rows."""
+    """(node, items, brief): the sorted shingle hashes of (doc_id, text) rows, and their upper halves as bytes."""
     C.ship_package()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,9 +127,60 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 t = C.flat(part.column(1))
                 doc, h = C.shingles(t._replace(buf=C.LOWER[t.buf]), SHINGLE)
                 offsets = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))], ["node", "items"])
+                halves = (h >> np.uint64(32)).astype(np.uint32)
+                brief = pa.array([halves[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64))), brief], ["node", "items", "brief"])
+
+    return docs.mapInArrow(run, "node bigint, items array<bigint>, brief binary")
+
+
+def linked_blocks(table: pa.Table, low: int, high: int, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes (rows of two blocks) that reach the threshold, one for each node and other component.
+
+    Rows: node, root, brief, block.  The halves of the hashes may make a pair look closer than it is
+    (by two shingles at most are allowed for); the caller confirms on the full hashes.
+    """
+    node, root, block = (table.column(c).to_numpy() for c in ("node", "root", "block"))
+    items = [np.frombuffer(b, np.uint32) for b in table.column("brief").to_pylist()]
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    size = np.array([len(x) for x in items])
+    row = np.repeat(np.arange(len(items)), size)
+    _, name, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    row, name = row[shared[name]], column[name[shared[name]]]
+    order = np.argsort(name, kind="stable")
+    row, name = row[order], name[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for a in range(0, int(shared.sum()), WIDE):
+        lo, hi = np.searchsorted(name, (a, a + WIDE))
+        m = np.zeros((len(items), WIDE), np.float32)
+        m[row[lo:hi], name[lo:hi] - a] = 1
+        both += m[left] @ m[right].T
+    either = size[left][:, None] + size[right][None, :] - both
+    near = (100 * (both + 2) >= threshold * (either - 2)) & (root[left][:, None] != root[right][None, :])
+    i, j = np.nonzero(near)
+    closest = np.argsort(-(both[i, j] / either[i, j]), kind="stable")
+    i, j = left[i[closest]], right[j[closest]]
+    _, first = np.unique(np.column_stack((node[i], root[j])), axis=0, return_index=True)
+    i, j = i[first], j[first]
+    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+
+
+def links_in_blocks(rows: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Candidate links (a, b) between components inside large buckets; rows (key, node, root, size)."""
+    C.ship_package()
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    dealt = (rows.join(sets.select("node", "brief"), "node").withColumn("blocks", blocks)
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "root", "brief", "block"))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        a, b = linked_blocks(table, key[1].as_py(), key[2].as_py(), threshold)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return docs.mapInArrow(run, "node bigint, items array<bigint>")
+    return dealt.groupBy("key", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -152,12 +211,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # buckets whose nodes still lie in several components: pairs across components
     placed = member.select("key", "node", "n")
     placed = placed.withColumn("root", F.col("node")) if roots is None else placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    rest = C.materialise(placed.join(mixed, "key", "left_semi"), "rest")
-    other = rest.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
-    more = (rest.withColumnRenamed("node", "a").join(other, "key").where("a < b and root <> root_b").where(fits)
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
+    rest = C.materialise(placed.join(mixed, "key"), "rest")
+    few = rest.where(F.col("size") <= SMALL)
+    other = few.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
+    near = (few.withColumnRenamed("node", "a").join(other, "key").where("a < b and root <> root_b").where(fits)
             .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    more = C.materialise(confirmed(more, sets, threshold), "more-links")
+    near = near.union(links_in_blocks(rest.where(F.col("size") > SMALL), sets, threshold))
+    more = C.materialise(confirmed(near, sets, threshold), "more-links")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
 
