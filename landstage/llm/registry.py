@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from landstage.llm import decontam as D
+from landstage.llm import langid as L
 from landstage.llm import minhash as M
 from landstage.llm import mixing as X
 from landstage.llm import pii as P
@@ -47,6 +48,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return L.identify(docs, L.train(docs))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -146,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op3_personal_data": op3_personal_data,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_source_mixing": op5_source_mixing,
+    "op6_language_id": op6_language_id,
     "op8_quality_rules": op8_quality_rules,
 }
 
