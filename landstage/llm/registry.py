@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landstage.llm import decontam as D
 from landstage.llm import langid as L
@@ -18,6 +19,7 @@ from landstage.llm import mixing as X
 from landstage.llm import pii as P
 from landstage.llm import quality as Q
 from landstage.llm import repetition as R
+from landstage.llm import warc as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +55,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.identify(docs, L.train(docs))
 
 
+def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = V.resolve_revisits(V.records_of_pages(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", V.header_lines(F.col("headers")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
@@ -146,6 +153,23 @@ placed AS (SELECT r.*, block_rank, row_number() OVER w AS doc_rank, before + sum
 SELECT doc_id, source, epoch, block_rank, doc_rank, n_tokens FROM placed WHERE epoch < full_ OR upto <= rest
 """
 
+_SQL_HOST = "regexp_replace(regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)', 1)), ':(80|443)$', ''), '^www\\.', '')"
+_SQL_PATH = "regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*([^?#]*)', 1), '/+$', '')"
+_SQL_FIELDS = "list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_')))"
+OP7_SQL = rf"""
+WITH p AS (SELECT page_id AS i, {_SQL_HOST} || {_SQL_PATH} || CASE WHEN len({_SQL_FIELDS}) > 0 THEN '?' || array_to_string({_SQL_FIELDS}, '&') ELSE '' END AS page,
+    md5(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS size, 10 * page_id AS ts, 'day ' || (page_id // 100) AS stamp FROM pages),
+v AS (SELECT i, page, 10 * i + (i * 37 % 406) * 10 - 455 AS ts, CASE WHEN i % 13 = 0 OR i % 7 = 0 THEN NULL WHEN i % 11 = 0 THEN 'other' ELSE substr(digest, 1, 16) END AS tag,
+    CASE WHEN i % 13 <> 0 THEN stamp END AS stamp FROM p),
+j AS (SELECT v.i, v.page, v.ts, v.tag, v.stamp, p.i AS base, p.digest, p.size, p.stamp AS base_stamp, row_number() OVER (PARTITION BY v.i ORDER BY p.ts DESC NULLS LAST, p.i DESC) AS k
+  FROM v LEFT JOIN p ON p.page = v.page AND p.ts < v.ts),
+o AS (SELECT *, CASE WHEN base IS NULL THEN 'orphan' WHEN tag IS NOT NULL THEN CASE WHEN tag = substr(digest, 1, 16) THEN 'resolved' ELSE 'changed' END
+    WHEN stamp IS NOT NULL THEN CASE WHEN stamp = base_stamp THEN 'resolved' ELSE 'changed' END ELSE 'unverified' END AS outcome FROM j WHERE k = 1)
+SELECT 2 * i + 1 AS record_id, page, ts AS "at", 2 * base AS refers_to, outcome, CASE WHEN outcome IN ('resolved', 'unverified') THEN digest END AS digest,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN array_to_string(['age: 1', 'cache-control: max-age=' || (i % 9), 'content-length: ' || size, 'content-type: text/html',
+    'date: t' || ts, 'x-server: s' || (base % 5)], chr(10)) END AS headers FROM o
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -153,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_source_mixing": op5_source_mixing,
     "op6_language_id": op6_language_id,
+    "op7_revisits": op7_revisits,
     "op8_quality_rules": op8_quality_rules,
 }
 
@@ -160,6 +185,7 @@ SQL: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
     "op2_decontamination": OP2_SQL,
     "op5_source_mixing": OP5_SQL,
+    "op7_revisits": OP7_SQL,
     "op8_quality_rules": OP8_SQL,
 }
 
