@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from landstage.llm import decontam as D
 from landstage.llm import langid as L
+from landstage.llm import lm as N
 from landstage.llm import minhash as M
 from landstage.llm import mixing as X
 from landstage.llm import pii as P
@@ -64,6 +65,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = N.backoff_scores(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", *(F.round(c, 4).alias(c) for c in ("log10_total", "log10_mean")))
+
+
 #: Words of a text, as a DuckDB expression.
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 SQL_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -170,6 +176,18 @@ SELECT 2 * i + 1 AS record_id, page, ts AS "at", 2 * base AS refers_to, outcome,
     'date: t' || ts, 'x-server: s' || (base % 5)], chr(10)) END AS headers FROM o
 """
 
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce({SQL_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS u FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+uni AS (SELECT w, count(*) AS c FROM t GROUP BY w),
+bi AS (SELECT u, w, count(*) AS c FROM t WHERE u IS NOT NULL GROUP BY u, w),
+s AS (SELECT t.doc_id, CASE WHEN t.u IS NOT NULL AND bi.c >= {N.SEEN} THEN log10(bi.c / prev.c::DOUBLE)
+    ELSE log10(CASE WHEN t.u IS NULL THEN 1.0::DOUBLE ELSE {N.BACKOFF}::DOUBLE END * uni.c / (SELECT count(*) FROM t)) END AS s
+  FROM t JOIN uni ON uni.w = t.w LEFT JOIN bi ON bi.u = t.u AND bi.w = t.w LEFT JOIN uni prev ON prev.w = t.u),
+g AS (SELECT doc_id, count(*) AS n, sum(s) AS s FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(g.n, 0)::BIGINT AS n_words, round(g.s, 4) AS log10_total, round(g.s / g.n, 4) AS log10_mean FROM d LEFT JOIN g USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -179,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
     "op7_revisits": op7_revisits,
     "op8_quality_rules": op8_quality_rules,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 SQL: dict[str, str] = {
@@ -187,6 +206,7 @@ SQL: dict[str, str] = {
     "op5_source_mixing": OP5_SQL,
     "op7_revisits": OP7_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op10_lm_scores": OP10_SQL,
 }
 
 
