@@ -20,6 +20,7 @@ from landstage.llm import mixing as X
 from landstage.llm import pii as P
 from landstage.llm import quality as Q
 from landstage.llm import repetition as R
+from landstage.llm import suffix as S
 from landstage.llm import warc as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.quality_rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = S.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = N.backoff_scores(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", *(F.round(c, 4).alias(c) for c in ("log10_total", "log10_mean")))
@@ -188,6 +194,20 @@ g AS (SELECT doc_id, count(*) AS n, sum(s) AS s FROM s GROUP BY doc_id)
 SELECT d.doc_id, coalesce(g.n, 0)::BIGINT AS n_words, round(g.s, 4) AS log10_total, round(g.s / g.n, 4) AS log10_mean FROM d LEFT JOIN g USING (doc_id)
 """
 
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pos AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, {2 * S.LENGTH}) AS w FROM pos WHERE 2 * i + {2 * S.LENGTH} <= length(h)),
+hit AS (SELECT doc_id, i FROM win QUALIFY min(doc_id) OVER (PARTITION BY w) < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {S.LENGTH})) AS i FROM hit),
+span AS (SELECT doc_id, count(*) AS n, count(*) FILTER (step IS DISTINCT FROM 1) AS spans
+  FROM (SELECT doc_id, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM gone) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * i + 1, 2), '' ORDER BY i) AS k FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(span.n, 0)::BIGINT AS n_removed, coalesce(span.spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept.k, ''))) AS kept_sha256
+FROM d LEFT JOIN span USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -197,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
     "op7_revisits": op7_revisits,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scores": op10_lm_scores,
 }
 
@@ -206,6 +227,7 @@ SQL: dict[str, str] = {
     "op5_source_mixing": OP5_SQL,
     "op7_revisits": OP7_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op9_suffix_dedup": OP9_SQL,
     "op10_lm_scores": OP10_SQL,
 }
 
