@@ -185,6 +185,14 @@ def shingles(t: Texts, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], h[new]
 
 
+def stretches(group: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of every stretch of equal values; none for an empty array."""
+    if not len(group):
+        return []
+    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist()
+    return list(zip(cut, [*cut[1:], len(group)], strict=True))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)

@@ -150,8 +150,7 @@ def _asks(docs: np.ndarray, h: np.ndarray, back: np.ndarray, buckets: int) -> It
     """Rows that ask the bucket of each word for its count; ``back``: 1 where the score is backed off."""
     to = (C.mix(h) % U64(buckets)).astype(np.int64)
     order = np.argsort(to, kind="stable")
-    cuts = np.flatnonzero(np.append(True, np.diff(to[order]) != 0)) if len(order) else []
-    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+    for a, b in C.stretches(to[order]):
         some = order[a:b]
         yield _row(int(to[some[0]]), "ask", docs[some], h[some], back[some].astype(np.int8))
 
@@ -190,8 +189,7 @@ def packed_pairs(docs: DataFrame, top: Frequent, buckets: int) -> DataFrame:
             new2[1:] |= h2[1:] != h2[:-1]
             new3 = new2.copy()
             new3[1:] |= d[1:] != d[:-1]
-            cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(o) else np.zeros(0, np.int64)
-            for a, b in zip(cuts, np.append(cuts[1:], len(o)), strict=True):
+            for a, b in C.stretches(to):
                 s1, s2, s3 = (np.flatnonzero(x[a:b]) for x in (new1, new2, new3))
                 pairs_of = np.diff(np.append(np.searchsorted(s2, s1), len(s2))).astype(np.uint32)
                 posts_of = np.diff(np.append(np.searchsorted(s3, s2), len(s3))).astype(np.uint32)

@@ -127,8 +127,7 @@ def nodes(t: C.Texts, texts: list[str | None]) -> Nodes:
     start, end = (heads[x[place]] - heads[t.start[doc]] for x in (w.start, w.end))
     label = np.zeros(len(place), np.int64)
     core = [""] * len(place)
-    bounds = np.append(np.flatnonzero(np.append(True, doc[1:] != doc[:-1])), len(doc)) if len(doc) else [0]
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+    for a, b in C.stretches(doc):
         d = int(doc[a])
         text = texts[d] or ""
         base[d] = base_spans(text)
