@@ -28,11 +28,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
     Of rows that repeat an id one stays.  Rows with a null id belong to no group and stay.
+    The texts are shuffled once, to a hash join that builds on the ids that go, at every
+    size of the input; the second join is planned only if an id is repeated.
     """
     found = materialise(minhash.near_duplicates(docs), "near-duplicates").where("doc_id is not null")
     gone = found.where("not kept").select("doc_id").distinct()
     repeated = materialise(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    docs = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    docs = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
+    if repeated.isEmpty():
+        return docs
     once = docs.join(repeated, "doc_id", "left_anti").select(docs.columns)
     return once.union(docs.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
 
