@@ -204,9 +204,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def bounded_rows(df: DataFrame, key: str, most: int) -> list:
-    """At most ``most`` rows, those with the smallest hash of ``key``: a bounded sample, the same at every run."""
-    order = F.xxhash64(F.col(key).cast("string"))
-    return df.orderBy(order, F.col(key)).limit(most).collect()
+def sampled(df: DataFrame, key: str, most: int, total: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest hash of ``key``: a bounded sample, the same at every run.
+
+    ``total`` rows (or more) are there: a first cut at a hash that about ``2 * most`` of them pass keeps
+    what the tasks hand on bounded however many tasks there are.
+    """
+    order = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
+    share = min(1.0, 2 * most / max(total, 1))
+    return df.where(order < int(share * (1 << 40)) + 1).orderBy(order, F.col(key)).limit(most)
 
 

@@ -17,7 +17,8 @@ written once in a form that a pattern knows is also found where its form is brok
 
 Weights are fitted by pseudo-likelihood on at most ``SAMPLE`` documents (those with
 the smallest hash of the id among texts of at most ``SAMPLE_CHARS`` characters that
-hold a digit or an at sign), with the base spans as labels.  Everything else
+hold a digit or an at sign, looked for among about ``20 * SAMPLE`` documents), with the
+base spans as labels.  Everything else
 reads whole texts of all rows in one pass, without a shuffle.
 
 Defined results: a null or empty text has no spans (and a null text stays null when
@@ -284,7 +285,7 @@ def all_spans(t: C.Texts, texts: list[str | None], model: Model) -> tuple[list[l
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Weights from a bounded sample of the documents (see the module's text)."""
     some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    texts = [r["text"] for r in C.bounded_rows(some, "doc_id", sample)]
+    texts = [r["text"] for r in C.sampled(some, "doc_id", sample, docs.count() // 10).collect()]
     return fit(nodes(C.flat(pa.array(texts, pa.string())), texts))
 
 
