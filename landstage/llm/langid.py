@@ -135,8 +135,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
              .where("text is not null and lang is not null").where(~held_out(F.col("doc_id"), folds, fold)))
     n, df = document_frequency(known.select("text"))
     idf = np.log((1 + n) / (1 + df)) + 1
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    picked = known.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= sample)
+    # a first cut at a hash that about 4 * sample rows of each language pass, then the smallest hashes
+    order = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
+    share = known.groupBy(F.col("lang").alias("cut_lang")).agg((F.lit(4.0 * sample * (1 << 40)) / F.count("*")).alias("cut"))
+    first = Window.partitionBy("lang").orderBy("order", "doc_id")
+    some = known.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "lang", order.alias("order")).join(share, F.col("lang") == F.col("cut_lang")).where("order <= cut")
+    picked = some.select("doc_id", "lang", F.row_number().over(first).alias("k")).where(F.col("k") <= sample)
     ids = F.broadcast(picked.select("doc_id").distinct())           # at most ``sample`` rows per language
     rows = known.join(ids, "doc_id", "left_semi").where(F.length("text").between(1, SAMPLE_CHARS)).select("lang", "doc_id", "text").toPandas()
     rows = rows.sort_values(["lang", "doc_id", "text"]).groupby("lang", sort=True).head(sample)

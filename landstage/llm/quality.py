@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           folds: int = 3, fold: int = 1, sample: int = SAMPLE) -> Trees:
     """Trees from at most ``sample`` labelled rows outside the held-out fold."""
     marked = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("y is not null").where(~held_out(F.col("doc_id"), folds, fold))
-    some = marked.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(sample)
+    some = C.sampled(marked, "doc_id", sample, marked.count())
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     ids = F.broadcast(some.select("doc_id").distinct())         # at most ``sample`` rows
     x = with_statistics(texts.join(ids, "doc_id", "left_semi"))
