@@ -28,11 +28,13 @@ def clock12(ts) -> Column:
 
     ``hh`` writes the hour on a 01-12 clock and reading it back without an
     am/pm marker takes the morning, so afternoon hours lose 12 hours
-    (13:05 -> 01:05, 12:30 -> 00:30).  Computed arithmetically (no string
-    round trip) with the same result.
+    (13:05 -> 01:05, 12:30 -> 00:30).  Computed on the wall clock of the
+    session's time zone, as the text is, so a day with a clock change gives
+    the same result as the text.
     """
     t = second_trunc(ts)
-    return F.when(F.hour(t) >= 12, t - F.expr("INTERVAL 12 HOURS")).otherwise(t)
+    wall = t.cast("timestamp_ntz") - F.expr("INTERVAL 12 HOURS")
+    return F.when(F.hour(t) >= 12, wall.cast("timestamp")).otherwise(t)
 
 
 def load_dts(at=None, mode: str = "exact") -> Column:

@@ -13,10 +13,6 @@ def chop_prefix(c, n: int = 1) -> Column:
     return F.substring(as_col(c), n + 1, 2_147_483_647)
 
 
-def add_constant(c, k) -> Column:
-    return as_col(c) + F.lit(k)
-
-
 def to_utf8(c) -> Column:
     """``encode(cast(c as string), 'UTF-8')`` -> binary."""
     return F.encode(as_col(c).cast("string"), "UTF-8")

@@ -1,6 +1,6 @@
 from landstage.operators.dedupe import dedupe
 from landstage.operators.keys import id_from_hash, with_surrogate_id
-from landstage.operators.lookup import chain, dim_fits, lookup
+from landstage.operators.lookup import chain, lookup
 from landstage.operators.nesting import (apply_mapping, explode_field, relationalize,
                                          resolve_choice, row_id)
 from landstage.operators.records import map_columns, map_records
@@ -8,7 +8,7 @@ from landstage.operators.unpivot import (explode_values, slot_names, unpivot_cro
                                          unpivot_positional, unpivot_slots)
 
 __all__ = [
-    "apply_mapping", "chain", "dedupe", "dim_fits", "explode_field", "explode_values",
+    "apply_mapping", "chain", "dedupe", "explode_field", "explode_values",
     "id_from_hash", "lookup", "map_columns", "map_records", "relationalize", "resolve_choice",
     "row_id", "slot_names", "unpivot_cross", "unpivot_positional", "unpivot_slots",
     "with_surrogate_id",

@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 from landstage.functions.util import as_col
 
 
-def key_columns(keys) -> list:
+def key_columns(keys, df: DataFrame | None = None) -> list:
     if isinstance(keys, (str,)):
         keys = [keys]
-    return [as_col(k) for k in keys]
+    return [as_col(k, df) for k in keys]
 
 
 def dedupe(df: DataFrame, keys=None, keep_count: bool = False, count_name: str = "count") -> DataFrame:
     """Distinct rows of ``keys`` (all columns when None); optionally with the group size."""
-    cols = key_columns(keys) if keys is not None else [F.col(f"`{c}`") for c in df.columns]
+    cols = key_columns(keys, df) if keys is not None else [F.col(f"`{c}`") for c in df.columns]
     if keep_count:
         return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_name))
     return df.select(*cols).distinct()

@@ -9,12 +9,11 @@ from landstage.functions.util import as_col
 
 
 def id_from_hash(hash_col="hash_key") -> Column:
-    """60-bit id from an 80-character staging hash (first 15 digits of the sha1 it encodes).
+    """Text id from an 80-character staging hash: the whole sha1 digest it encodes (160 bits).
 
     Stable across runs and computed per row (no shuffle, no global counter).
     """
-    digest = F.decode(F.unhex(as_col(hash_col)), "UTF-8")
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return F.decode(F.unhex(as_col(hash_col)), "UTF-8")
 
 
 def with_surrogate_id(df: DataFrame, name: str, hash_col: str = "hash_key") -> DataFrame:

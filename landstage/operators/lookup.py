@@ -9,13 +9,11 @@ columns.
 
 Join strategy
 -------------
-``broadcast="auto"`` (default) adds no hint: Catalyst broadcasts the
+No hint is added: Catalyst broadcasts the
 dimension when its estimated size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with runtime
 sizes; larger dimensions get a shuffle join, with AQE splitting skewed
-partitions.  ``broadcast=<rows>`` forces the hint only after a row count
-of the (pruned) dimension shows it has at most that many rows; otherwise
-the automatic plan is kept.  ``salt=n`` spreads each left key over ``n``
+partitions.  No size is counted and no hint is forced.  ``salt=n`` spreads each left key over ``n``
 buckets (dimension rows replicated ``n`` times) for a key that holds a
 large share of the rows in a shuffle join.
 """
@@ -50,18 +48,8 @@ def _take(take) -> list[tuple[str, str]]:
     return [(t, t) if isinstance(t, str) else tuple(t) for t in take]
 
 
-def dim_fits(dim: DataFrame, max_rows: int) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.
-
-    A plain count: partial counts per partition and a one-row-per-task
-    shuffle, reading no column data.  (A ``limit`` would funnel up to
-    ``max_rows`` rows per partition through a single task on a large table.)
-    """
-    return dim.count() <= max_rows
-
-
 def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
-           dim_unique: bool = False, broadcast="auto", salt: int = 0,
+           dim_unique: bool = False, salt: int = 0,
            prefix: str = "__lk") -> DataFrame:
     """Join ``df`` to ``dim`` on ``on`` and append ``take`` columns.
 
@@ -75,8 +63,6 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
     clash = sorted({dst for _, dst in takes} & set(df.columns))
     if clash:
         raise ValueError(f"lookup would duplicate columns {clash}; take them under other names")
-    if not (broadcast in ("auto", None) or (isinstance(broadcast, int) and not isinstance(broadcast, bool))):
-        raise ValueError("broadcast must be 'auto' or a maximum dimension row count")
     lk = [f"{prefix}{i}" for i in range(len(pairs))]
 
     d = dim.select(*[F.col(f"`{dc}`").alias(k) for (_, dc), k in zip(pairs, lk)],
@@ -88,7 +74,7 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
         else:
             d = d.select(*lk).distinct()
 
-    left_keys = [as_col(le).alias(f"{k}l") for (le, _), k in zip(pairs, lk)]
+    left_keys = [as_col(le, df).alias(f"{k}l") for (le, _), k in zip(pairs, lk)]
     left = df.select("*", *left_keys)
     cond = [F.col(f"{k}l") == F.col(k) for k in lk]
 
@@ -102,8 +88,6 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
         cond.append(left["__salt"] == d["__salt"])
         out = left.join(d, cond, how).drop(left["__salt"]).drop(d["__salt"])
     else:
-        if isinstance(broadcast, int) and dim_fits(d, broadcast):
-            d = F.broadcast(d)
         out = left.join(d, cond, how)
     return out.drop(*lk, *[f"{k}l" for k in lk])
 

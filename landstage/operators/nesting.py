@@ -86,10 +86,15 @@ def resolve_choice(df: DataFrame, specs: Sequence[tuple[str, str]]) -> DataFrame
 
 
 # ----------------------------------------------------------------- relationalize
-def row_id(*cols, sep: str = "\u001f") -> Column:
-    """Stable 60-bit id of a key: the first 15 hex digits of sha1(keys joined by ``sep``)."""
-    text = F.concat_ws(sep, *[as_col(c).cast("string") for c in cols])
-    return F.conv(F.substring(F.sha1(F.encode(text, "UTF-8")), 1, 15), 16, 10).cast("bigint")
+def row_id(*cols) -> Column:
+    """Stable text id of a key: the sha1 digest of its parts.
+
+    Every part is written as its length and text, or ``-`` for null, so
+    (null, 'a') and ('a', null) differ and no part can run into the next.
+    """
+    parts = [as_col(c).cast("string") for c in cols]
+    text = F.concat(*[F.when(p.isNull(), F.lit("-")).otherwise(F.concat(F.length(p).cast("string"), F.lit(":"), p)) for p in parts])
+    return F.sha1(F.encode(text, "UTF-8"))
 
 
 def _flatten(dtype: DataType, expr: Column, path: str, sep: str,
@@ -113,8 +118,9 @@ def relationalize(df: DataFrame, name: str = "root", key: Sequence[str] | None =
     frame ``{name}_{path}`` with ``id`` (the parent's id), ``index`` (0-based)
     and the element flattened under ``{path}.val``.  Arrays nested in elements
     recurse, keyed by (parent id, index).  Ids come from ``key`` columns
-    (default: all non-array columns), so they are stable across reruns and
-    executor retries.
+    (default: all columns, arrays included), so they are stable across reruns
+    and executor retries.  Rows that are equal in the key share an id; without
+    a key these are true duplicates, whose children are equal too.
     """
     frames: dict[str, DataFrame] = {}
     _relationalize(df, name, key, sep, frames, id_expr=None)
@@ -133,7 +139,7 @@ def _relationalize(df: DataFrame, name: str, key, sep: str, frames: dict, id_exp
         if key:
             id_expr = row_id(*[F.col(k) for k in key])
         else:
-            id_expr = row_id(*[e for _, e in scalars]) if scalars else row_id(F.to_json(F.struct("*")))
+            id_expr = row_id(*[e for _, e in scalars], *[F.to_json(e) for _, e, _ in arrays])
     base = df.withColumn("__rid", id_expr)
 
     cols = [e.alias(p) for p, e in scalars]

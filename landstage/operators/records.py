@@ -2,18 +2,20 @@
 
 ``map_columns`` is the fast path: column expressions evaluated in the JVM
 inside whole-stage codegen.  ``map_records`` runs an opaque Python function
-over Arrow batches with ``mapInPandas`` (one Python worker per task, batch
+over Arrow batches with ``mapInArrow`` (one Python worker per task, batch
 transfer); the function either takes one record dict at a time or, with
-``vectorized=True``, a whole pandas batch.
+``vectorized=True``, a whole Arrow record batch.  Records are built from Arrow,
+not pandas, so longs beyond 2**53 and nulls reach the function as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from landstage.functions.util import as_col
 
@@ -40,20 +42,23 @@ def _pickle_package_by_value() -> None:
 
 def map_records(df: DataFrame, fn: Callable, schema: StructType | str | None = None,
                 vectorized: bool = False) -> DataFrame:
+    """Map every record with ``fn``.
+
+    ``fn`` takes and returns a dict (missing fields become null), or with
+    ``vectorized=True`` a ``pyarrow.RecordBatch`` and returns a batch or table.
+    """
     _pickle_package_by_value()
-    out_schema = schema if schema is not None else df.schema
-    names = out_schema.fieldNames() if isinstance(out_schema, StructType) else None
+    out = df.schema if schema is None else _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(out)
 
     def run(batches):
-        for pdf in batches:
+        for batch in batches:
             if vectorized:
-                res = fn(pdf)
+                res = fn(batch)
+                table = pa.Table.from_batches([res]) if isinstance(res, pa.RecordBatch) else res
+                table = table.select(arrow.names).cast(arrow)
             else:
-                res = pd.DataFrame([fn(dict(r)) for r in pdf.to_dict("records")])
-                if res.empty:
-                    res = pd.DataFrame(columns=names or list(pdf.columns))
-            if names is not None:
-                res = res[names]
-            yield res
-
-    return df.mapInPandas(run, out_schema)
+                table = pa.Table.from_pylist([fn(rec) for rec in batch.to_pylist()], schema=arrow)
+            yield from table.to_batches()
+
+    return df.mapInArrow(run, out)

@@ -7,16 +7,17 @@ Two layouts:
                 one distinct.
 ``cross``       the legacy layout: per key, the distinct values of each
                 group over all of the key's rows and slots, and every
-                combination of them across groups (an inner join per group
-                on the key).  Row count per key is the product of the
-                distinct counts; this is what the landing job defines.
-
-In ``cross`` mode each group is exploded from the shared parent and
-de-duplicated on (key, value) with a map-side partial aggregation before
-the shuffle; the groups are then joined on the key.  The parent's
-exchanges are identical in every branch, so Spark computes them once and
-reuses them.  The join chain is an equi-join on the key, so a hot key is
-split by AQE's skew handling rather than collected into one task.
+                combination of them across groups.  Row count per key is the
+                product of the distinct counts, so it is an explicit option;
+                loads use ``positional``.
+
+In ``cross`` mode the parent is exploded once to (key, group, value) rows and
+de-duplicated with a map-side partial aggregation before the shuffle; every
+group reads that one exchange.  The groups are then joined on the key and a
+salt: each value of the first group has one of ``salt`` buckets by its hash,
+the other groups' (few, distinct) rows are repeated for every bucket.  So the
+product of a hot key is made by up to ``salt`` tasks instead of one; no row is
+dropped and none is made twice.
 """
 
 from __future__ import annotations
@@ -60,33 +61,33 @@ def unpivot_positional(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
 
 
 def unpivot_cross(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
-                  derive: Mapping[str, Mapping[str, object]] | None = None,
-                  checkpoint_parent: bool = False) -> DataFrame:
-    """``derive`` adds columns computed on a group's distinct (key, value) rows
-    before the fan-out: ``{group: {name: Column}}`` (expressions over the key
-    and that group's value only).  Row growth happens in the joins, so such
-    columns are evaluated once per (key, value) instead of once per output row.
+                  derive: Mapping[str, Mapping[str, object]] | None = None, salt: int = 8) -> DataFrame:
+    """Every combination of a key's distinct values across the groups.
 
-    ``checkpoint_parent`` materialises the parent once (reliable checkpoint in
-    the shared ``spark.checkpoint.dir``, lineage cut) before the groups read
-    it; useful when the parent is expensive and has no exchange the branches
-    could reuse.  This runs a job when called.
+    ``derive`` adds columns computed on a group's distinct (key, value) rows
+    before the fan-out: ``{group: {name: Column}}`` (expressions over the key
+    and that group's value only), so they are evaluated once per (key, value)
+    instead of once per output row.  ``salt`` (1: off) spreads each key.
     """
     keys = _keys(key)
     derive = derive or {}
-    if checkpoint_parent:
-        cols = list(dict.fromkeys([*keys, *(c for cs in groups.values() for c in cs)]))
-        df = df.select(*[F.col(f"`{c}`") for c in cols]).checkpoint(eager=True)
+    names = list(groups)
+    cells = [F.struct(F.lit(i).alias("g"), F.col(f"`{c}`").cast("string").alias("v")) for i, g in enumerate(names) for c in groups[g]]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    values = df.select(*[F.col(f"`{k}`") for k in keys], F.explode(F.array(*cells)).alias("__cell")) \
+        .select(*keys, F.col("__cell.g").alias("__g"), F.col("__cell.v").alias("__v")).distinct()
     out = None
     extra: list[str] = []
-    for g, cols in groups.items():
-        # each branch explodes only its own slots from the shared parent, so
-        # the parent's exchanges are identical across branches and reused
-        part = explode_values(df, keys, cols, g)
+    on = [*keys, "__salt"] if salt > 1 else keys
+    for i, g in enumerate(names):
+        part = values.where(F.col("__g") == i).select(*keys, F.col("__v").cast(types[groups[g][0]]).alias(g))
         if derive.get(g):
             part = part.withColumns(dict(derive[g]))
             extra += list(derive[g])
-        out = part if out is None else out.join(part, keys, "inner")
+        if salt > 1:
+            bucket = F.pmod(F.xxhash64(F.col(f"`{g}`")), F.lit(salt)).cast("int")
+            part = part.withColumn("__salt", bucket if out is None else F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        out = part if out is None else out.join(part, on, "inner")
     return out.select(*keys, *groups, *extra)
 
 
@@ -95,7 +96,7 @@ def unpivot_slots(df: DataFrame, key, groups: Mapping[str, Sequence[str]],
     if mode == "positional":
         return unpivot_positional(df, key, groups, **kw)
     if mode == "cross":
-        return unpivot_cross(df, key, groups)
+        return unpivot_cross(df, key, groups, **kw)
     raise ValueError(f"unknown unpivot mode {mode!r}")
 
 

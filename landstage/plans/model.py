@@ -12,6 +12,8 @@ kept as the model defines them; a spec can be copied with
 
 from __future__ import annotations
 
+import dataclasses
+
 from landstage.plans.spec import LoadSpec, Lookup, Unpivot, date_of, dec_of, int_of
 
 # ---- fixed values: table names and source_table literals ----------------------------
@@ -37,11 +39,6 @@ PRODUCT_COLS = ("policy_code", "policy_description", "relate_to", "age_from", "a
                 "product_type", "broker_code", "broker_name", "client", "underwriter")
 
 
-# Product lookups broadcast up to this many catalogue rows (~50 bytes each after
-# pruning to the four keys and the id, so ~100 MB); beyond it, a shuffle join.
-PRODUCT_BROADCAST_ROWS = 2_000_000
-
-
 def beneficiary_slot_columns() -> list[str]:
     """beneficiary_<field>_<i> for i = 1..5, slot by slot."""
     return [f"beneficiary_{f}_{i}" for i in range(1, BENEFICIARY_SLOTS + 1) for f in BENEFICIARY_FIELDS]
@@ -86,30 +83,32 @@ MEMBER = LoadSpec(
     hash_diff=("id_number", "first_name", "last_name", "gender", "date_of_birth"),
 )
 
-# L5 member address: member looked up on names + id as written; gender and
-# date_of_birth are carried from the landing row for the change hash
+# L5 member address: deduplicated on names, id and address; the member is looked up on
+# names + id as written and gives gender and birth date for the change hash (the
+# birth date as the ISO text of the member dimension's date)
 MEMBER_ADDRESS = LoadSpec(
     name="member_address", source=CAPTURED, target=STG_MEMBER_ADDRESS, source_table=CAPTURED,
-    dedupe=("first_name", "last_name", "id_number", "gender", "date_of_birth") + ADDRESS_COLS,
+    dedupe=("first_name", "last_name", "id_number") + ADDRESS_COLS,
     lookups=(Lookup(STG_MEMBER, (("first_name", "first_name"), ("last_name", "last_name"),
                                  ("id_number", "id_number")),
-                    (("id_number", "member_id"),)),),
+                    (("id_number", "member_id"), ("gender", "gender"), ("birth_date", "birth_date"))),),
     select=(("member_id", "member_id"),) + tuple((c, c) for c in ADDRESS_COLS),
     hash_key=("id_number", "first_name", "last_name"),
-    hash_diff=("id_number", "first_name", "last_name", "gender", "date_of_birth"),
+    hash_diff=("id_number", "first_name", "last_name", "gender", "birth_date"),
 )
 
-# L6 member beneficiary: five numbered slot groups, every combination per member
+# L6 member beneficiary: five numbered slots, the fields of a slot stay together.  The
+# distinct at the end covers the landing dedupe (an equal landing row gives equal
+# slots), so the landing side is shuffled for the lookup and for the distinct only.
 MEMBER_BENEFICIARY = LoadSpec(
     name="member_beneficiary", source=CAPTURED, target=STG_MEMBER_BENEFICIARY,
     source_table=MEMBER_LIST,
-    dedupe=("first_name", "last_name", "id_number") + tuple(beneficiary_slot_columns()),
     lookups=(Lookup(STG_MEMBER, (("first_name", "first_name"), ("last_name", "last_name"),
                                  ("id_number", "id_number")),
                     (("id_number", "member_id"),)),),
     unpivot=Unpivot("member_id", tuple(
         (f"beneficiary_{f}", tuple(f"beneficiary_{f}_{i}" for i in range(1, BENEFICIARY_SLOTS + 1)))
-        for f in BENEFICIARY_FIELDS), mode="cross"),
+        for f in BENEFICIARY_FIELDS), mode="positional"),
     select=(("member_id", "member_id"), ("beneficiary_full_name", "beneficiary_full_name"),
             ("beneficiary_id_number", "beneficiary_id_number"),
             ("beneficiary_relation", "beneficiary_relation"),
@@ -120,6 +119,12 @@ MEMBER_BENEFICIARY = LoadSpec(
                "beneficiary_relation", "beneficiary_percentage", "beneficiary_cell"),
 )
 
+# L6 in the legacy layout: every combination of a member's distinct values, an explicit option
+MEMBER_BENEFICIARY_CROSS = dataclasses.replace(
+    MEMBER_BENEFICIARY, name="member_beneficiary_cross",
+    dedupe=("first_name", "last_name", "id_number") + tuple(beneficiary_slot_columns()),
+    unpivot=dataclasses.replace(MEMBER_BENEFICIARY.unpivot, mode="cross"))
+
 # L7 policy (fact): five lookups, later keys come from earlier lookups
 POLICY = LoadSpec(
     name="policy", source=CAPTURED, target=STG_POLICY, source_table=CAPTURED,
@@ -131,13 +136,10 @@ POLICY = LoadSpec(
         Lookup(STG_CLIENT, (("upper(client)", "client_name"),), (("client_id", "client_id"),)),
         Lookup(STG_BROKER_CLIENT, (("broker_id", "broker_id"), ("client_id", "client_id")),
                (("broker_client_id", "broker_client_id"),)),
-        # the product catalogue is bounded by the business, not by the landing
-        # volume: broadcast it once its size is proven (saves a full shuffle of
-        # the fact rows); a larger catalogue keeps the shuffle join
         Lookup(STG_PRODUCT, (("broker_client_id", "broker_client_id"),
                              ("policy_description", "policy_description"),
                              (int_of("cover"), "cover"), ("member_type", "relate_to")),
-               (("product_id", "product_id"),), broadcast_rows=PRODUCT_BROADCAST_ROWS),
+               (("product_id", "product_id"),)),
     ),
     select=(("policy_number", "policy_number"), ("member_id", "member_id"),
             ("product_id", "product_id"),
@@ -216,6 +218,6 @@ PRODUCT = LoadSpec(
                "age_to"),
 )
 
-LOADS = {s.name: s for s in (AGENT, BROKER, CLIENT, MEMBER, MEMBER_ADDRESS, MEMBER_BENEFICIARY,
+LOADS = {s.name: s for s in (AGENT, BROKER, CLIENT, MEMBER, MEMBER_ADDRESS, MEMBER_BENEFICIARY, MEMBER_BENEFICIARY_CROSS,
                              POLICY, MEMBER_FROM_LIST, BROKER_FROM_EXTRACT, BROKER_CLIENT,
                              CLIENT_FROM_EXTRACT, PRODUCT)}

@@ -24,8 +24,8 @@ from landstage.plans import model as M
 from landstage.plans.cleaning import clean_and_nest, flatten
 from landstage.plans.skeletons import (explode_encode, relationalize_encode, select_rename_stamp,
                                        stamp_all)
-from landstage.plans.spec import run_load
-from landstage.plans.staging import written
+from landstage.plans.spec import run_load, unmatched
+from landstage.plans.staging import two_feeds, unique_lookups, written
 from landstage.plans.testbed import (TABLES, captured_list_sql, member_list_sql,
                                      product_extract_sql, table)
 from landstage.session import scratch_path
@@ -71,7 +71,7 @@ def H(*cols: str) -> str:
 
 
 def SID(*cols: str) -> str:
-    return "CAST('0x' || substr(sha1(" + " || ".join(_txt(c) for c in cols) + "), 1, 15) AS BIGINT)"
+    return "sha1(" + " || ".join(_txt(c) for c in cols) + ")"
 
 
 def INT(c: str) -> str:
@@ -162,11 +162,8 @@ _FILE_COUNTS_SQL = " UNION ALL ".join(
 @register("scan_discover", _FILE_COUNTS_SQL)
 def q_scan_discover(spark, d):
     files = discover_files(spark, d).select(F.col("relative").alias("file_name"))
-    root = d.rstrip("/") + "/"
-    counts = (read_tree(spark, d)
-              .select(F.substring_index("source_file", root, -1).alias("file_name"))
-              .groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows")))
-    return files.join(counts, "file_name")
+    counts = read_tree(spark, d).groupBy(F.col("relative").alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return files.join(counts, "file_name", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("bigint")))
 
 
 # ==================================================================== projections
@@ -348,7 +345,7 @@ def q_lookup_cast_key(spark, d):
 
 
 # ============================================================== staging loads
-def _load(spec, spark, d, with_dims: bool = False):
+def _load(spec, spark, d):
     """Run a load over the written landing (and staging) tables."""
     return run_load(spec, written(spark, d), stamp=None)
 
@@ -420,13 +417,13 @@ def q_dim_client_extract(spark, d):
 @register("link_broker_client", with_staging(
     "SELECT broker_id, client_id, hash_key, hash_diff, source_table FROM stg_bc"))
 def q_link_broker_client(spark, d):
-    return _load(M.BROKER_CLIENT, spark, d, with_dims=True)
+    return _load(M.BROKER_CLIENT, spark, d)
 
 
 @register("dim_product", with_staging(
     "SELECT * EXCLUDE (product_id) FROM stg_product"))
 def q_dim_product(spark, d):
-    return _load(M.PRODUCT, spark, d, with_dims=True)
+    return _load(M.PRODUCT, spark, d)
 
 
 _POLICY_HASH = H("x.policy_number", "m.member_id", "p.product_id", "x.capture_date", "x.inception",
@@ -448,7 +445,7 @@ JOIN stg_product p ON bc.broker_client_id = p.broker_client_id
                   AND x.policy_description = p.policy_description
                   AND {INT('x.cover')} = p.cover AND x.member_type = p.relate_to"""))
 def q_fact_policy(spark, d):
-    return _load(M.POLICY, spark, d, with_dims=True)
+    return _load(M.POLICY, spark, d)
 
 
 _ADDR = ", ".join(M.ADDRESS_COLS)
@@ -457,53 +454,111 @@ _ADDR = ", ".join(M.ADDRESS_COLS)
 @register("load_member_address", with_staging(f"""
 SELECT m.id_number AS member_id, {", ".join("x." + c for c in M.ADDRESS_COLS)},
        {H('x.id_number', 'x.first_name', 'x.last_name')} AS hash_key,
-       {H('x.id_number', 'x.first_name', 'x.last_name', 'x.gender', 'x.date_of_birth')} AS hash_diff,
+       {H('x.id_number', 'x.first_name', 'x.last_name', 'm.gender', 'm.birth_date')} AS hash_diff,
        '{CAP}' AS source_table
-FROM (SELECT DISTINCT first_name, last_name, id_number, gender, date_of_birth, {_ADDR} FROM cap) x
+FROM (SELECT DISTINCT first_name, last_name, id_number, {_ADDR} FROM cap) x
 JOIN stg_member m ON x.first_name = m.first_name AND x.last_name = m.last_name
                  AND x.id_number = m.id_number"""))
 def q_load_member_address(spark, d):
-    return _load(M.MEMBER_ADDRESS, spark, d, with_dims=True)
+    return _load(M.MEMBER_ADDRESS, spark, d)
 
 
-def _beneficiary_sql() -> str:
-    slots = M.beneficiary_slot_columns()
-    groups = []
-    for f in M.BENEFICIARY_FIELDS:
-        arr = ", ".join(f"beneficiary_{f}_{i}" for i in range(1, M.BENEFICIARY_SLOTS + 1))
-        groups.append(f"g_{f} AS (SELECT DISTINCT member_id, v AS beneficiary_{f} FROM "
-                      f"(SELECT member_id, unnest([{arr}]) AS v FROM base) u)")
+def _beneficiary_sql(cross: bool) -> str:
     fields = [f"beneficiary_{f}" for f in M.BENEFICIARY_FIELDS]
-    joins = " ".join(f"JOIN g_{f} USING (member_id)" for f in M.BENEFICIARY_FIELDS[1:])
+    slots = range(1, M.BENEFICIARY_SLOTS + 1)
+    if cross:
+        groups = [f"g_{f} AS (SELECT DISTINCT member_id, v AS {f} FROM (SELECT member_id, "
+                  f"unnest([{', '.join(f'{f}_{i}' for i in slots)}]) AS v FROM base) u)" for f in fields]
+        joins = " ".join(f"JOIN g_{f} USING (member_id)" for f in fields[1:])
+        tail = ", ".join(groups) + f", rows_ AS (SELECT * FROM g_{fields[0]} {joins})"
+    else:
+        parts = " UNION ".join(
+            f"SELECT member_id, {', '.join(f'{f}_{i} AS {f}' for f in fields)} FROM base "
+            f"WHERE coalesce({', '.join(f'{f}_{i}' for f in fields)}) IS NOT NULL" for i in slots)
+        tail = f"rows_ AS ({parts})"
     return with_staging(f""",
 base AS (
-  SELECT m.id_number AS member_id, {", ".join("x." + s for s in slots)}
-  FROM (SELECT DISTINCT first_name, last_name, id_number, {", ".join(slots)} FROM cap) x
-  JOIN stg_member m ON x.first_name = m.first_name AND x.last_name = m.last_name
-                   AND x.id_number = m.id_number),
-{", ".join(groups)}
+  SELECT m.id_number AS member_id, {", ".join("x." + c for c in M.beneficiary_slot_columns())}
+  FROM cap x JOIN stg_member m ON x.first_name = m.first_name AND x.last_name = m.last_name
+                              AND x.id_number = m.id_number),
+{tail}
 SELECT member_id, beneficiary_full_name, beneficiary_id_number, beneficiary_relation,
        {INT('beneficiary_percentage')} AS beneficiary_percentage, beneficiary_cell,
        {H('member_id')} AS hash_key, {H('member_id', *fields)} AS hash_diff,
        '{LST}' AS source_table
-FROM g_{M.BENEFICIARY_FIELDS[0]} {joins}""")
+FROM rows_""")
 
 
-@register("load_member_beneficiary", _beneficiary_sql())
+@register("load_member_beneficiary", _beneficiary_sql(cross=False))
 def q_load_member_beneficiary(spark, d):
-    return _load(M.MEMBER_BENEFICIARY, spark, d, with_dims=True)
+    return _load(M.MEMBER_BENEFICIARY, spark, d)
+
+
+@register("policy_unmatched", with_staging(f"""
+, m AS (SELECT DISTINCT first_name, last_name, id_number FROM stg_member WHERE gender = 'F'),
+hit AS (SELECT x.policy_number, x.id_number, m.id_number IS NOT NULL AS found FROM cap x
+  LEFT JOIN m ON upper(x.last_name) = m.last_name AND upper(x.first_name) = m.first_name AND x.id_number = m.id_number)
+SELECT policy_number, id_number, '{M.STG_MEMBER}' AS missing FROM hit WHERE NOT found
+UNION ALL
+SELECT x.policy_number, x.id_number, '{M.STG_PRODUCT}' FROM cap x JOIN hit USING (policy_number)
+JOIN (SELECT DISTINCT broker_code, broker_name, broker_id FROM stg_broker) b ON x.broker_code = b.broker_code AND upper(x.broker) = b.broker_name
+JOIN (SELECT DISTINCT client_name, client_id FROM stg_client) c ON upper(x.client) = c.client_name
+JOIN (SELECT DISTINCT broker_id, client_id, broker_client_id FROM stg_bc) bc ON b.broker_id = bc.broker_id AND c.client_id = bc.client_id
+WHERE hit.found AND NOT EXISTS (SELECT 1 FROM stg_product p WHERE bc.broker_client_id = p.broker_client_id
+  AND x.policy_description = p.policy_description AND {INT('x.cover')} = p.cover AND x.member_type = p.relate_to)"""))
+def q_policy_unmatched(spark, d):
+    """Landing policies that find no member (only women are in the dimension here) or no product."""
+    inputs = written(spark, d)
+    inputs[M.STG_MEMBER] = inputs[M.STG_MEMBER].where("gender = 'F'")
+    return unmatched(M.POLICY, inputs).select("policy_number", "id_number", "missing")
+
+
+_TWO_FEEDS = f"""
+m2 AS (SELECT last_name, first_name, id_number, min(member_id) AS member_id FROM (
+    SELECT member_id, first_name, last_name, id_number FROM stg_member
+    UNION ALL SELECT {SID('id_number', 'first_name', 'last_name')}, first_name, last_name, id_number FROM lst) GROUP BY ALL),
+b2 AS (SELECT broker_code, broker_name, min(broker_id) AS broker_id FROM (
+    SELECT broker_id, broker_code, broker_name FROM stg_broker
+    UNION ALL SELECT {SID('broker_code', 'broker', 'branch_name')}, broker_code, broker FROM cap) GROUP BY ALL),
+c2 AS (SELECT client_name, min(client_id) AS client_id FROM (
+    SELECT client_id, client_name FROM stg_client UNION ALL SELECT {SID('client')}, client FROM cap) GROUP BY ALL),
+bc2 AS (SELECT broker_id, client_id, {SID('broker_id', 'client_id')} AS broker_client_id FROM (
+    SELECT DISTINCT broker_id, client_id FROM (SELECT DISTINCT upper(broker_code) AS bcode, upper(broker_name) AS bname, upper(client) AS cl FROM ext) x
+    JOIN b2 ON bcode = b2.broker_code AND bname = b2.broker_name JOIN c2 ON cl = c2.client_name)),
+p2 AS (SELECT bc2.broker_client_id, x.policy_description, {INT('x.cover')} AS cover, x.relate_to,
+    min({SID('x.policy_code', 'x.policy_description', 'bc2.broker_client_id', 'x.relate_to', 'x.age_from', 'x.age_to')}) AS product_id
+  FROM (SELECT DISTINCT * FROM ext) x JOIN b2 ON x.broker_code = b2.broker_code AND x.broker_name = b2.broker_name
+  JOIN c2 ON x.client = c2.client_name JOIN bc2 ON b2.broker_id = bc2.broker_id AND c2.client_id = bc2.client_id GROUP BY ALL)"""
+_TWO_HASH = H("x.policy_number", "m.member_id", "p.product_id", "x.capture_date", "x.inception", "x.status")
+
+
+@register("fact_policy_two_feeds", with_staging(f""", lst AS ({member_list_sql()}), {_TWO_FEEDS}
+SELECT x.policy_number, m.member_id, p.product_id,
+       {DATE('x.capture_date', '%m/%d/%Y')} AS capture_date, {DATE('x.inception', '%m/%d/%Y')} AS inception_date, x.status,
+       {_TWO_HASH} AS hash_key, {_TWO_HASH} AS hash_diff, '{CAP}' AS source_table
+FROM cap x
+JOIN m2 m ON upper(x.last_name) = m.last_name AND upper(x.first_name) = m.first_name AND x.id_number = m.id_number
+JOIN b2 b ON x.broker_code = b.broker_code AND upper(x.broker) = b.broker_name
+JOIN c2 c ON upper(x.client) = c.client_name
+JOIN bc2 bc ON b.broker_id = bc.broker_id AND c.client_id = bc.client_id
+JOIN p2 p ON bc.broker_client_id = p.broker_client_id AND x.policy_description = p.policy_description
+         AND {INT('x.cover')} = p.cover AND x.member_type = p.relate_to"""))
+def q_fact_policy_two_feeds(spark, d):
+    """The policy fact over staging tables that two feeds have filled, one dimension row per key."""
+    return run_load(unique_lookups(M.POLICY), two_feeds(spark, d), stamp=None)
 
 
 # ====================================================================== unpivot
 _SLOTS_SQL = ("SELECT l_orderkey, l_returnflag AS flag_1, l_linestatus AS flag_2, "
-              "CAST(l_linenumber % 3 AS VARCHAR) AS band_1, CAST(NULL AS VARCHAR) AS band_2 FROM lineitem")
+              "CAST(l_linenumber % 3 AS VARCHAR) AS band_1, "
+              "CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_suppkey % 5 AS VARCHAR) END AS band_2 FROM lineitem")
 
 
 def _slots(spark, d):
     return table(spark, d, "lineitem").select(
         "l_orderkey", F.col("l_returnflag").alias("flag_1"), F.col("l_linestatus").alias("flag_2"),
         (F.col("l_linenumber") % 3).cast("string").alias("band_1"),
-        F.lit(None).cast("string").alias("band_2"))
+        F.when(F.col("l_linenumber") % 2 == 0, (F.col("l_suppkey") % 5).cast("string")).alias("band_2"))
 
 
 _GROUPS = {"flag": ["flag_1", "flag_2"], "band": ["band_1", "band_2"]}
@@ -554,33 +609,33 @@ def q_explode_struct_fields(spark, d):
 
 def _conv_nested(spark, d):
     conv = table(spark, d, "conversations")
-    return conv.select("conv_id", F.struct("turn", "role").alias("msg"),
+    return conv.select("conv_id", F.struct("turn", "role").alias("msg"), F.expr("nullif(turn, 1)").alias("part"),
                        F.split("text", "\n").alias("lines"))
 
 
-_ROOT_ID = ("CAST('0x' || substr(sha1(CAST(conv_id AS VARCHAR) || chr(31) || CAST(turn AS VARCHAR)), "
-            "1, 15) AS BIGINT)")
+_ROOT_ID = "sha1(" + " || ".join(
+    f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("conv_id", "nullif(turn, 1)")) + ")"
 
 
 @register("relationalize_root",
-          f"SELECT conv_id, turn AS msg_turn, role AS msg_role, "
+          f"SELECT conv_id, turn AS msg_turn, role AS msg_role, nullif(turn, 1) AS part, "
           f"CASE WHEN text IS NOT NULL THEN {_ROOT_ID} END AS lines FROM conversations")
 def q_relationalize_root(spark, d):
-    return relationalize(_conv_nested(spark, d), "root", key=["conv_id", "msg.turn"])["root"]
+    return relationalize(_conv_nested(spark, d), "root", key=["conv_id", "part"])["root"]
 
 
 @register("relationalize_child",
           f"SELECT {_ROOT_ID} AS id, CAST(i - 1 AS INTEGER) AS \"index\", arr[i] AS lines_val "
           f"FROM {_LINES_SQL}")
 def q_relationalize_child(spark, d):
-    return relationalize(_conv_nested(spark, d), "root", key=["conv_id", "msg.turn"])["root_lines"]
+    return relationalize(_conv_nested(spark, d), "root", key=["conv_id", "part"])["root_lines"]
 
 
 @register("relationalize_encoded",
           f"SELECT hex(role) AS TESTKEY, 'this_is_my_source' AS SRC_FOR_ID, '{PINNED}' AS DTS "
           f"FROM conversations")
 def q_relationalize_encoded(spark, d):
-    return relationalize_encode(_conv_nested(spark, d), "msg.role", key=["conv_id", "msg.turn"], at=PINNED)
+    return relationalize_encode(_conv_nested(spark, d), "msg.role", key=["conv_id", "part"], at=PINNED)
 
 
 _PROVIDER_SQL = """SELECT c_mktsegment AS "drg definition",
@@ -676,14 +731,43 @@ def q_map_records_expr(spark, d):
     return map_columns(_records(spark, d), {"channel": "channel + 10"})
 
 
-def process_channel(rec: dict) -> dict:
-    rec["channel"] = rec["channel"] + 10
-    return rec
+_BIG = 9_007_199_254_740_992       # 2**53: longs above it have no exact double
+
+
+def band_record(rec: dict) -> dict:
+    """A wide channel number and a label from two fields; both null where the channel is."""
+    channel = rec["channel"]
+    wide = None if channel is None else channel + _BIG + 1
+    return {"this_id": rec["this_id"], "wide": wide, "label": None if channel is None else f"{rec['my_band']}/{channel % 7}"}
+
+
+def band_batch(batch):
+    """The same for a whole Arrow batch."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    channel = batch.column("channel").cast(pa.int64())
+    seven = pc.subtract(channel, pc.multiply(pc.divide(channel, 7), 7))
+    label = pc.binary_join_element_wise(batch.column("my_band"), seven.cast(pa.string()), "/")
+    return pa.table({"this_id": batch.column("this_id"), "wide": pc.add(channel, _BIG + 1), "label": label})
+
+
+def _sparse_records(spark, d):
+    return _records(spark, d).withColumn("channel", F.expr("CASE WHEN this_id % 5 <> 0 THEN abs(channel) END"))
+
 
+_BAND_SQL = ("SELECT event_id AS this_id, c + 9007199254740993 AS wide, event_type || '/' || (c % 7) AS label FROM ("
+             "SELECT event_id, event_type, CASE WHEN event_id % 5 <> 0 THEN abs(CAST(json_extract_string(props, '$.k') AS INTEGER)) END AS c FROM events) t")
+_BAND_SCHEMA = "this_id bigint, wide bigint, label string"
 
-@register("map_records_pandas", _RECORDS_SQL)
-def q_map_records_pandas(spark, d):
-    return map_records(_records(spark, d), process_channel)
+
+@register("map_records_pandas", _BAND_SQL)
+def q_map_records(spark, d):
+    return map_records(_sparse_records(spark, d), band_record, _BAND_SCHEMA)
+
+
+@register("map_records_batch", _BAND_SQL)
+def q_map_records_batch(spark, d):
+    return map_records(_sparse_records(spark, d), band_batch, _BAND_SCHEMA, vectorized=True)
 
 
 @register("project_to_json",
@@ -698,6 +782,26 @@ def q_project_to_json(spark, d):
     return rec.select("id", F.to_json(F.struct(*rec.columns)).alias("document"))
 
 
+_JSON_FIELDS = ("id", "created", "url", "selftext", "upvote_ratio", "author", "author_premium", "over_18", "treatment_tags")
+_JSON_SQL = ("SELECT doc_id AS id, CASE WHEN doc_id % 7 <> 0 THEN n_chars END AS created, source AS url, text AS selftext, "
+             "(doc_id % 100) / 100.0::DOUBLE AS upvote_ratio, lang AS author, doc_id % 3 = 0 AS author_premium, "
+             "CASE WHEN doc_id % 4 <> 0 THEN doc_id % 2 = 0 END AS over_18, CASE WHEN doc_id % 5 = 0 THEN 'tag' END AS treatment_tags, 9 AS n_keys FROM documents")
+
+
+@register("sink_json_documents", _JSON_SQL)
+def q_sink_json_documents(spark, d):
+    """Nine-field documents written as JSON lines and read back; ``n_keys`` counts the keys of each written line."""
+    from landstage.sinks import json_documents, write_json
+    i = F.col("doc_id")
+    rec = json_documents(table(spark, d, "documents"), list(zip(_JSON_FIELDS, (
+        i, F.when(i % 7 != 0, F.col("n_chars")), F.col("source"), F.col("text"), (i % 100) / F.lit(100.0), F.col("lang"),
+        i % 3 == 0, F.when(i % 4 != 0, i % 2 == 0), F.when(i % 5 == 0, F.lit("tag"))), strict=True)), as_text=["author"])
+    path = scratch_path(spark, "json")
+    write_json(rec, path)
+    lines = spark.read.text(path)
+    return lines.select(F.from_json("value", rec.schema).alias("r"), F.size(F.json_object_keys("value")).alias("n_keys")).select("r.*", "n_keys")
+
+
 # ======================================================================== sinks
 @register("sink_append_table",
           "SELECT c_mktsegment, 2 * count(*) AS n_rows FROM customer GROUP BY c_mktsegment")
@@ -707,7 +811,10 @@ def q_sink_append_table(spark, d):
     src = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     write_table(src, name, mode="append", path=path)
     write_table(src, name, mode="append", path=path)
-    return spark.table(name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_rows"))
+    out = scratch_path(spark, "appended")
+    spark.table(name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_rows")).write.parquet(out)
+    spark.sql(f"DROP TABLE {name}")          # the catalog keeps nothing of this run
+    return spark.read.parquet(out)
 
 
 @register("sink_parquet_roundtrip", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
@@ -717,12 +824,22 @@ def q_sink_parquet_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
-@register("copy_parquet_tree",
-          _FILE_COUNTS_SQL.replace("AS file_name", "AS source_path"))
+_COPY_SQL = " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS source_path, {k} AS k, {v} AS v FROM {t}"
+    for t, k, v in (("customer", "c_custkey", "c_name"), ("orders", "o_orderkey", "o_orderpriority"), ("part", "p_partkey", "p_name"),
+                    ("documents", "doc_id", "text"))) \
+    + " UNION ALL SELECT f.file_name, f.n_rows, NULL FROM (" + _FILE_COUNTS_SQL + ") f"
+
+
+@register("copy_parquet_tree", _COPY_SQL)
 def q_copy_parquet_tree(spark, d):
+    """The values of four tables of the copy, and the row count of every file."""
     dst = scratch_path(spark, "copy")
     copied = copy_parquet_tree(spark, d, dst)
-    return copied.groupBy("source_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    values = copied.select("source_path", F.coalesce("c_custkey", "o_orderkey", "p_partkey", F.when(F.col("source_path") == "documents.parquet", F.col("doc_id"))).alias("k"),
+                           F.coalesce("c_name", "o_orderpriority", "p_name", F.when(F.col("source_path") == "documents.parquet", F.col("text"))).alias("v")) \
+        .where(F.col("source_path").isin("customer.parquet", "orders.parquet", "part.parquet", "documents.parquet"))
+    return values.union(copied.groupBy("source_path").agg(F.count(F.lit(1)), F.lit(None).cast("string")))
 
 
 @register("incremental_dim_agent", ORACLES["dim_agent"])

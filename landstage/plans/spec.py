@@ -45,14 +45,15 @@ class Lookup:
     on: tuple[tuple[str, str], ...]            # (left expression, dimension column)
     take: tuple[tuple[str, str], ...]          # (dimension column, output name)
     unique: bool = False                       # one dim row per key (no fan-out)
-    broadcast_rows: int | None = None          # broadcast when the dim proves to have <= rows
+    salt: int = 0                              # spread a hot landing key over so many buckets
 
 
 @dataclass(frozen=True)
 class Unpivot:
     key: str
     groups: tuple[tuple[str, tuple[str, ...]], ...]
-    mode: str = "cross"
+    mode: str = "positional"
+    salt: int = 8                              # cross mode: buckets a hot key is spread over
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ class LoadSpec:
         return [self.source] + [lk.dim for lk in self.lookups]
 
 
-def _dedupe_cols(spec: LoadSpec):
+def dedupe_columns(spec: LoadSpec):
     names = spec.dedupe_names or tuple([None] * len(spec.dedupe))
     cols = []
     for e, n in zip(spec.dedupe, names):
@@ -82,6 +83,28 @@ def _dedupe_cols(spec: LoadSpec):
     return cols
 
 
+def unmatched(spec: LoadSpec, inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """Landing rows that the load's inner lookups drop, with the first lookup that misses.
+
+    One row per (deduplicated) landing row: its columns and ``missing``, the name of
+    the dimension without a match.  Rows that pass all lookups are absent.
+    """
+    df = inputs[spec.source]
+    if spec.dedupe is not None:
+        df = dedupe(df, dedupe_columns(spec))
+    landing = [F.col(f"`{c}`") for c in df.columns]
+    out = None
+    for lk in spec.lookups:
+        dim = inputs[lk.dim]
+        lost = lookup(df, dim, list(lk.on), how="left_anti").select(*landing, F.lit(lk.dim).alias("missing"))
+        out = lost if out is None else out.union(lost)
+        # a landing row counts once, however many dimension rows it meets
+        df = lookup(df, dim, list(lk.on), list(lk.take), dim_unique=True, salt=lk.salt)
+    if out is None:
+        raise ValueError(f"{spec.name} has no lookups")
+    return out
+
+
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -110,27 +133,17 @@ def _before_fan_out(spec: LoadSpec, groups: dict[str, list[str]]):
     return select, derive, key_hash
 
 
-def _broadcast_bound(df: DataFrame, lk: Lookup) -> int | None:
-    """The spec's row bound for a lookup; a deployment overrides it with the
-    session setting ``landstage.broadcastRows.<dimension>`` (0 disables)."""
-    override = df.sparkSession.conf.get(f"landstage.broadcastRows.{lk.dim}", None)
-    if override is not None:
-        return int(override) or None
-    return lk.broadcast_rows
-
-
 def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
-             stamp: str | None = "exact", broadcast="auto") -> DataFrame:
+             stamp: str | None = "exact") -> DataFrame:
     """Build the staging frame of ``spec`` from named input frames (no action)."""
     missing = [n for n in spec.needs() if n not in inputs]
     if missing:
         raise KeyError(f"{spec.name}: missing inputs {missing}")
     df = inputs[spec.source]
     if spec.dedupe is not None:
-        df = dedupe(df, _dedupe_cols(spec))
+        df = dedupe(df, dedupe_columns(spec))
     for lk in spec.lookups:
-        df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take), dim_unique=lk.unique,
-                    broadcast=_broadcast_bound(df, lk) or broadcast)
+        df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take), dim_unique=lk.unique, salt=lk.salt)
     select = list(spec.select)
     key_hash = None
     if spec.unpivot is not None:
@@ -138,7 +151,7 @@ def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
         groups = {g: list(cols) for g, cols in u.groups}
         if u.mode == "cross":
             select, derive, key_hash = _before_fan_out(spec, groups)
-            df = unpivot_cross(df, u.key, groups, derive=derive)
+            df = unpivot_cross(df, u.key, groups, derive=derive, salt=u.salt)
         else:
             df = unpivot_slots(df, u.key, groups, mode=u.mode)
     cols = [as_col(e).alias(n) for e, n in select]

@@ -10,11 +10,13 @@ so a lost executor reruns only the current load's tasks.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 
 from landstage.operators.keys import with_surrogate_id
 from landstage.plans import model as M
-from landstage.plans.spec import run_load
+from landstage.plans.spec import LoadSpec, run_load
 from landstage.plans.testbed import captured_list, member_list, product_extract
 from landstage.session import scratch_path, session_id
 
@@ -28,21 +30,6 @@ def landing(spark: SparkSession, d: str) -> dict[str, DataFrame]:
             M.MEMBER_LIST: member_list(spark, d)}
 
 
-def staging_inputs(spark: SparkSession, d: str, inputs: dict | None = None) -> dict[str, DataFrame]:
-    """Landing frames plus staging member/broker/client/broker_client/product (lazy plans)."""
-    inputs = dict(inputs or landing(spark, d))
-
-    def load(spec, id_name):
-        return with_surrogate_id(run_load(spec, inputs, stamp=None), id_name)
-
-    inputs[M.STG_MEMBER] = load(M.MEMBER, "member_id")
-    inputs[M.STG_BROKER] = load(M.BROKER_FROM_EXTRACT, "broker_id")
-    inputs[M.STG_CLIENT] = load(M.CLIENT_FROM_EXTRACT, "client_id")
-    inputs[M.STG_BROKER_CLIENT] = load(M.BROKER_CLIENT, "broker_client_id")
-    inputs[M.STG_PRODUCT] = load(M.PRODUCT, "product_id")
-    return inputs
-
-
 def _key(spark: SparkSession, d: str) -> tuple[str, str]:
     return (session_id(spark), d.rstrip("/"))
 
@@ -86,3 +73,27 @@ def written(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 def written_paths(spark: SparkSession, d: str) -> dict[str, str]:
     written(spark, d)
     return dict(_PATHS[_key(spark, d)])
+
+
+def unique_lookups(spec: LoadSpec) -> LoadSpec:
+    """The load with one dimension row per key in every lookup (the smallest taken values)."""
+    return dataclasses.replace(spec, lookups=tuple(dataclasses.replace(lk, unique=True) for lk in spec.lookups))
+
+
+def two_feeds(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Staging inputs where member, broker and client are each appended to by both of their loads.
+
+    A key then occurs once per feed, so later loads look up one row per key.
+    """
+    cur = dict(written(spark, d))
+
+    def both(name: str, specs, id_name: str) -> None:
+        frames = [with_surrogate_id(run_load(s, cur, stamp=None), id_name) for s in specs]
+        cur[name] = frames[0].unionByName(frames[1])
+
+    both(M.STG_MEMBER, (M.MEMBER, M.MEMBER_FROM_LIST), "member_id")
+    both(M.STG_BROKER, (M.BROKER_FROM_EXTRACT, M.BROKER), "broker_id")
+    both(M.STG_CLIENT, (M.CLIENT_FROM_EXTRACT, M.CLIENT), "client_id")
+    for name, spec, id_name in ((M.STG_BROKER_CLIENT, M.BROKER_CLIENT, "broker_client_id"), (M.STG_PRODUCT, M.PRODUCT, "product_id")):
+        cur[name] = with_surrogate_id(run_load(unique_lookups(spec), cur, stamp=None), id_name)
+    return cur

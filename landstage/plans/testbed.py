@@ -69,9 +69,9 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- captured list
 def _beneficiary_templates() -> list[tuple[str, str]]:
-    """Slot k is filled when k <= c_custkey % 4 (0-3 beneficiaries, slots 4-5 empty)."""
+    """Slot k is filled when k <= c_custkey % 6 (0-5 beneficiaries)."""
     out = []
-    n = "(c_custkey % 4)"
+    n = "(c_custkey % 6)"
     for k in range(1, 6):
         filled = f"{k} <= {n}"
         out += [
@@ -102,8 +102,8 @@ CAPTURED_COLS = [
     ("first_name", "upper(c_name)"),
     ("last_name", "c_mktsegment"),
     ("id_number", "CAST(c_custkey AS STRING)"),
-    ("gender", "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END"),
-    ("date_of_birth", "CASE WHEN c_custkey % 97 = 13 THEN '1980-13-01' ELSE {day:c_custkey % 18000} END"),
+    ("gender", "CASE WHEN (c_custkey + CASE WHEN c_custkey % 31 = 5 THEN l_linenumber ELSE 0 END) % 2 = 0 THEN 'F' ELSE 'M' END"),
+    ("date_of_birth", "CASE WHEN c_custkey % 29 = 3 AND l_linenumber = 2 THEN '1970-02-03' WHEN c_custkey % 97 = 13 THEN '1980-13-01' ELSE {day:c_custkey % 18000} END"),
     ("postal_add_1", "'BOX ' || CAST(c_custkey % 1000 AS STRING)"),
     ("postal_add_2", "o_orderpriority"),
     ("postal_add_3", "n_name"),

@@ -44,28 +44,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-_LOCAL_CKPT: dict[str, str] = {}
+def is_local(master: str) -> bool:
+    """True for a single-machine master (``local``, ``local[n]``), not for ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is; a temporary local folder is only created when nothing is set
-    (local tests).
+    as is; a temporary local folder is only created when nothing is set and
+    the master is local (tests).  Elsewhere a machine-local folder could not be
+    shared, so a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext, read the setting only
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
         if not conf_dir:
-            conf_dir = _LOCAL_CKPT.setdefault("dir", tempfile.mkdtemp(prefix="landstage-ckpt-"))
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
         return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="landstage-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -79,14 +84,19 @@ def session_id(spark: SparkSession) -> str:
         return str(id(spark))
 
 
-def parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
 def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh folder under the shared checkpoint root for intermediate tables."""
+    """A path for an intermediate table under the shared checkpoint root.
+
+    Its folder is removed when the application ends.
+    """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/landstage-{name}-{uuid.uuid4().hex}"
+    folder = f"{root}/landstage-{name}-{uuid.uuid4().hex}"
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the folder stays
+        return f"{folder}/data"
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/data"

@@ -12,15 +12,25 @@ the checkpoint.  A micro-batch whose output was committed but whose
 checkpoint entry was not is run again; each batch therefore overwrites its
 own ``batch_id=<n>`` folder instead of appending, so a rerun replaces its
 rows rather than duplicating them.
+
+A load that removes duplicates does so over all batches: the distinct keys of
+each batch are kept beside the checkpoint, and a batch only loads keys that no
+earlier batch had.  So the rows do not depend on how files arrive or how many
+of them a batch takes.
 """
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from landstage.plans.spec import LoadSpec, run_load
+from landstage.operators.dedupe import dedupe
+from landstage.plans.spec import LoadSpec, dedupe_columns, run_load
 
 
 def run_incremental(spark: SparkSession, spec: LoadSpec, landing_path: str, target_path: str,
@@ -39,10 +49,27 @@ def run_incremental(spark: SparkSession, spec: LoadSpec, landing_path: str, targ
     static = dict(dims or {})
     batches: list[int] = []
 
+    keys_root = f"{checkpoint.rstrip('/')}-keys"
+
+    def fresh_keys(batch: DataFrame, batch_id: int) -> DataFrame:
+        """Distinct keys of this batch that no earlier batch had, written for later batches."""
+        keys = dedupe(batch, dedupe_columns(spec))
+        path = f"{keys_root}/batch_id={batch_id}"
+        if batch_id:
+            seen = spark.read.schema(StructType([*keys.schema.fields, StructField("batch_id", LongType())])).option("basePath", keys_root).parquet(keys_root)
+            seen = seen.where(F.col("batch_id") < batch_id).select(*[F.col(f"`{c}`").alias(f"__seen_{c}") for c in keys.columns])
+            same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__seen_{c}`")) for c in keys.columns])
+            keys = keys.join(seen, same, "left_anti")
+        keys.write.mode("overwrite").parquet(path)
+        return spark.read.schema(keys.schema).parquet(path)
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         inputs = dict(static)
+        once = spec
+        if spec.dedupe is not None:
+            batch, once = fresh_keys(batch, batch_id), dataclasses.replace(spec, dedupe=None)
         inputs[spec.source] = batch
-        out = run_load(spec, inputs, at=at, stamp=stamp)
+        out = run_load(once, inputs, at=at, stamp=stamp)
         out.write.mode("overwrite").format(target_format).save(f"{target_path.rstrip('/')}/batch_id={batch_id}")
         batches.append(batch_id)
 

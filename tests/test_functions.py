@@ -117,3 +117,17 @@ def test_chop_prefix_is_null_safe(spark):
     df = spark.createDataFrame([("$12.50",), ("$",), ("",), (None,)], "v string")
     got = [r.c for r in df.select(chop_prefix("v").alias("c")).collect()]
     assert got == ["12.50", "", "", None]
+
+
+def test_clock12_equals_the_text_round_trip_on_a_clock_change(spark):
+    from pyspark.sql import functions as F
+
+    from landstage.functions import clock12
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10 13:05:07",), ("2024-03-10 12:30:00",), ("2024-11-03 13:10:00",), ("2024-03-10 01:00:00",)], "t string")
+        got = [r[0] for r in df.select(F.date_format(clock12(F.col("t").cast("timestamp")), "yyyy-MM-dd HH:mm:ss")).collect()]
+        assert got == ["2024-03-10 01:05:07", "2024-03-10 00:30:00", "2024-11-03 01:10:00", "2024-03-10 01:00:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -41,3 +41,50 @@ def test_json_documents_round_trip(spark, tmp_path):
     write_json(docs, str(tmp_path / "j"))
     back = spark.read.json(str(tmp_path / "j")).first()
     assert back.id == "id1" and back.treatment_tags == ["a"] and back.o18 is True
+
+
+def test_tree_paths_are_safe_and_shared(spark, tmp_path):
+    """Spaces, a repeated root name, empty files and parts without an extension: found, read and copied alike."""
+    root = tmp_path / "my data" / "data"
+    spark.range(3).coalesce(1).write.parquet(str(root / "x.parquet"))
+    spark.range(2).coalesce(1).write.parquet(str(root / "sub" / "data" / "x.parquet"))
+    spark.range(0).coalesce(1).write.parquet(str(root / "empty one.parquet"))
+    part = next((root / "x.parquet").glob("part-*"))
+    part.rename(root / "x.parquet" / "part-0000")
+    found = {r.relative for r in discover_files(spark, str(root)).collect() if "_SUCCESS" not in r.relative}
+    assert "x.parquet/part-0000" in found and any(p.startswith("sub/data/x.parquet/part-") for p in found) and len(found) == 3
+    counts = {r.relative: r.n for r in read_tree(spark, str(root)).groupBy("relative").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sorted(counts.values()) == [2, 3] and counts["x.parquet/part-0000"] == 3 and set(counts) < found
+    copied = copy_parquet_tree(spark, str(root), str(tmp_path / "copy"))
+    assert {r.source_path: r.n for r in copied.groupBy("source_path").agg(F.count(F.lit(1)).alias("n")).collect()} == counts
+
+
+def test_json_keeps_null_fields(spark, tmp_path):
+    df = spark.createDataFrame([("a", None)], "id string, url string")
+    write_json(df, str(tmp_path / "j"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "j")).collect()] == ['{"id":"a","url":null}']
+
+
+def test_shared_folder_is_required_off_local_masters():
+    import pytest
+
+    from landstage.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

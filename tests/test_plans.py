@@ -1,4 +1,3 @@
-import dataclasses
 import datetime as dt
 
 import pytest
@@ -7,7 +6,7 @@ from pyspark.sql import functions as F
 from landstage.operators import with_surrogate_id
 from landstage.plans import model as M
 from landstage.plans.cleaning import clean_and_nest, flatten
-from landstage.plans.spec import run_load
+from landstage.plans.spec import run_load, unmatched
 
 CAPTURED_COLS = ["agent_code", "agent", "contact_number", "broker_code", "broker", "branch_name", "client",
                  "first_name", "last_name", "id_number", "gender", "date_of_birth",
@@ -127,16 +126,13 @@ def test_beneficiary_cross_and_positional(spark):
     land = captured(spark, [up, dict(up, beneficiary_full_name_2="Bobby")])
     member = with_surrogate_id(run_load(M.MEMBER, {M.CAPTURED: land}, stamp=None), "member_id")
     inputs = {M.CAPTURED: land, M.STG_MEMBER: member}
-    out = run_load(M.MEMBER_BENEFICIARY, inputs, stamp=None)
+    out = run_load(M.MEMBER_BENEFICIARY_CROSS, inputs, stamp=None)
     # names {Ann, Bob, Bobby, null}, ids {1,2,null}, relations {SPOUSE, CHILD, null},
     # percentages {60, 40, null}, cells {071, 072, null}: 4*3*3*3*3 rows
     assert out.count() == 4 * 3 ** 4
     assert out.select("member_id").distinct().first().member_id == "800101"
     assert out.where(F.col("beneficiary_full_name").isNull()).first().hash_diff is None
-    positional = dataclasses.replace(M.MEMBER_BENEFICIARY,
-                                     unpivot=dataclasses.replace(M.MEMBER_BENEFICIARY.unpivot,
-                                                                 mode="positional"))
-    pos = run_load(positional, inputs, stamp=None)
+    pos = run_load(M.MEMBER_BENEFICIARY, inputs, stamp=None)
     assert sorted(r.beneficiary_full_name for r in pos.collect()) == ["Ann", "Bob", "Bobby"]
 
 
@@ -182,29 +178,39 @@ def test_beneficiary_full_and_empty_slot_rows(spark):
     empty = {c: None for c in M.beneficiary_slot_columns()}
     land = captured(spark, [dict(up, **full), dict(up, id_number="2", **empty)])
     member = with_surrogate_id(run_load(M.MEMBER, {M.CAPTURED: land}, stamp=None), "member_id")
-    out = run_load(M.MEMBER_BENEFICIARY, {M.CAPTURED: land, M.STG_MEMBER: member}, stamp=None)
+    slots = run_load(M.MEMBER_BENEFICIARY, {M.CAPTURED: land, M.STG_MEMBER: member}, stamp=None)
+    assert sorted((r.member_id, r.beneficiary_full_name, r.beneficiary_cell) for r in slots.collect()) == [
+        ("800101", f"f{i}", f"c{i}") for i in range(1, 6)]
+    out = run_load(M.MEMBER_BENEFICIARY_CROSS, {M.CAPTURED: land, M.STG_MEMBER: member}, stamp=None)
     counts = {r.member_id: r.n for r in out.groupBy("member_id").count().withColumnRenamed("count", "n").collect()}
     # 5 names x 5 ids x 5 relations x 1 percentage x 5 cells; the empty member keeps one all-null row
     assert counts == {"800101": 5 ** 4, "2": 1}
     assert out.where("member_id = '2'").first().hash_diff is None
 
 
-def test_broadcast_bound_can_be_overridden_per_session(spark, extract):
-    land = captured(spark, [BASE])
-    inputs = _dims(spark, land, extract)
-    key = f"landstage.broadcastRows.{M.STG_PRODUCT}"
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+def test_building_a_load_starts_no_job(spark, extract):
+    inputs = _dims(spark, captured(spark, [BASE]), extract)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "building a plan")
     try:
-        spark.conf.set(key, "0")
-        off = run_load(M.POLICY, inputs, stamp=None)
-        off_plan = off._jdf.queryExecution().executedPlan().toString()
-        spark.conf.unset(key)
-        on = run_load(M.POLICY, inputs, stamp=None)
-        on_plan = on._jdf.queryExecution().executedPlan().toString()
-        assert on_plan.count("BroadcastHashJoin") == off_plan.count("BroadcastHashJoin") + 1
-        assert sorted(r.policy_number for r in on.collect()) == sorted(r.policy_number for r in off.collect())
+        run_load(M.POLICY, inputs, stamp=None)
+        assert not tracker.getJobIdsForGroup("plan-only")
     finally:
-        spark.conf.unset(key)
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_address_keeps_the_jobs_own_keys(spark):
+    up = dict(BASE, first_name="JANE", last_name="DOE")
+    land = captured(spark, [dict(up, gender="F"), dict(up, gender="M")])
+    member = run_load(M.MEMBER, {M.CAPTURED: land}, stamp=None)
+    out = run_load(M.MEMBER_ADDRESS, {M.CAPTURED: land, M.STG_MEMBER: member}, stamp=None).collect()
+    # one address, two member rows: each member row's own gender is hashed
+    assert len(out) == 2 and len({r.hash_diff for r in out}) == 2 and len({r.hash_key for r in out}) == 1
+
+
+def test_unmatched_rows_name_the_lookup_that_misses(spark, extract):
+    land = captured(spark, [dict(BASE, policy_number="P1"), dict(BASE, policy_number="P2", broker_code="none")])
+    inputs = _dims(spark, land, extract)
+    hit = {r.policy_number for r in run_load(M.POLICY, inputs, stamp=None).collect()}
+    lost = {r.policy_number: r.missing for r in unmatched(M.POLICY, inputs).collect()}
+    assert lost["P2"] == M.STG_BROKER and not hit & set(lost)

@@ -75,3 +75,32 @@ def test_skewed_cross_unpivot_is_complete(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_key_of_five_groups_is_spread_over_tasks(spark):
+    """Without the salt one task makes the whole product of the hot key; with it several do."""
+    from landstage.operators import unpivot_cross
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        names = ["a", "b", "c", "d", "e"]
+        base = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 100 + 1).alias("m"),
+            *[((F.col("id") / (3 + 2 * i)).cast("long") % (24 if n == "a" else 4)).cast("string").alias(n) for i, n in enumerate(names)])
+
+        def largest(salt):
+            out = unpivot_cross(base, "m", {n: [n] for n in names}, salt=salt).where("m = 0")
+            sizes = [r.n for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+            return max(sizes), sum(sizes), len(sizes)
+
+        alone, total, tasks = largest(1)
+        spread, same, many = largest(8)
+        assert same == total == 24 * 4 ** 4 and tasks == 1 and alone == total
+        assert many >= 3 and spread <= total * 2 // 3
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -32,3 +32,17 @@ def test_rerun_of_a_batch_replaces_its_output(spark, tmp_path):
         run_load(M.AGENT, {M.CAPTURED: land}, stamp=None).write.mode("overwrite") \
             .parquet(f"{out}/batch_id=0")
     assert spark.read.parquet(out).count() == 1
+
+
+def test_rows_do_not_depend_on_files_per_batch(spark, tmp_path):
+    schema = "agent_code string, agent string, contact_number string"
+    landing = str(tmp_path / "landing")
+    for rows in ([("A1", "Ann", "1"), ("A2", None, "x")], [("A1", "Ann", "1")], [("A1", "Ann", "1"), ("A2", None, "x"), ("A3", "Cy", None)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(landing, mode="append")
+    got = []
+    for n in (None, 1, 2):
+        out = str(tmp_path / f"out{n}")
+        batches = run_incremental(spark, M.AGENT, landing, out, str(tmp_path / f"ckpt{n}"), stamp=None, max_files_per_batch=n)
+        assert batches == {None: 1, 1: 3, 2: 2}[n]
+        got.append(sorted((tuple(r) for r in spark.read.parquet(out).drop("batch_id").collect()), key=repr))
+    assert got[0] == got[1] == got[2] and len(got[0]) == 3
