@@ -170,10 +170,11 @@ def packed_pairs(docs: DataFrame, top: Frequent, buckets: int) -> DataFrame:
             pair_at, known = Frequent.find(f.pairs, ph)
             known &= often & (nxt != 0)
             known[known] = f.pair_count[pair_at[known]] >= SEEN
-            sums = np.bincount(doc[known], weights=np.log10(f.pair_count[pair_at[known]] / f.word_count[word_at[known]]), minlength=n_docs)
+            sums = np.zeros(n_docs)
+            sums += np.bincount(doc[known], weights=np.log10(f.pair_count[pair_at[known]] / f.word_count[word_at[known]]), minlength=n_docs).astype(np.float64)
             first = np.append(True, doc[1:] != doc[:-1]) if len(doc) else np.zeros(0, bool)
             easy = first & often
-            sums += np.bincount(doc[easy], weights=np.log10(f.word_count[word_at[easy]] / f.total), minlength=n_docs)
+            sums += np.bincount(doc[easy], weights=np.log10(f.word_count[word_at[easy]] / f.total), minlength=n_docs).astype(np.float64)
             rows.append(_row(-1, "sum", ids, sums, np.bincount(doc, minlength=n_docs)))
             hard = first & ~often
             rows += _asks(ids[doc[hard]], h[hard], np.zeros(int(hard.sum()), bool), buckets)
@@ -205,7 +206,7 @@ def _added(ids: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, n
     if not ids:
         return np.zeros(0, np.int64), np.zeros(0)
     name, at = np.unique(np.concatenate(ids), return_inverse=True)
-    return name, np.bincount(at, weights=np.concatenate(sums), minlength=len(name))
+    return name, np.bincount(at, weights=np.concatenate(sums), minlength=len(name)).astype(np.float64)
 
 
 def counted_pairs(rows: DataFrame, top: Frequent, buckets: int) -> DataFrame:

@@ -1,0 +1,352 @@
+"""Every operator against a plain Python version, held-out labels or exact invariants on small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import corpus_pipeline
+from landstage.llm import common as C
+from landstage.llm import decontam, langid, lm, minhash, mixing, pii, quality, repetition, suffix
+from tests.llm.data import SF, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def tokens(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return sorted(docs.collect(), key=lambda r: r["doc_id"])
+
+
+# ------------------------------------------------------------------ 1 near duplicates
+def shingle_set(text):
+    w = tokens(text)
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def brute_components(sets):
+    parent = {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {d: root(d) for d in sets}
+
+
+def test_near_duplicates_on_documents(docs, rows):
+    sets = {r["doc_id"]: shingle_set(r["text"]) for r in rows}
+    want = brute_components(sets)
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(docs).collect()}
+    assert {d: got[d]["component_id"] for d in got} == want
+    assert all(got[d]["n_shingles"] == len(sets[d]) and got[d]["kept"] == (want[d] == d) for d in got)
+
+
+def test_near_duplicates_in_large_groups(spark):
+    """Copies with more and more changed words around the threshold, in buckets beyond SMALL and BLOCK."""
+    r = random.Random(5)
+    base = words(1, 120).split()
+    texts = []
+    for _ in range(330):
+        w = list(base)
+        for _ in range(r.choice((1, 2, 3, 4, 5, 6))):
+            w[r.randrange(len(w))] = f"new{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    want = brute_components({i: shingle_set(t) for i, t in enumerate(texts)})
+    assert len(set(want.values())) > 20
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(df).collect()}
+    assert got == want
+
+
+def test_sketch_fills_every_coordinate():
+    for n in (1, 2, 7, 300):
+        item = C.mix(np.arange(n, dtype=np.uint64))
+        table = minhash.sketch(np.zeros(n, np.int64), item, 1)
+        assert (table != minhash._OPEN).all()
+    a, b = C.mix(np.arange(1000, dtype=np.uint64)), C.mix(np.arange(250, 1250, dtype=np.uint64))
+    table = minhash.sketch(np.repeat([0, 1], 1000), np.concatenate((a, b)), 2)
+    assert abs((table[0] == table[1]).mean() - 0.6) < 5 * math.sqrt(0.24 / minhash.COORDS)
+
+
+# ------------------------------------------------------------------ 2 decontamination
+def test_masks_are_lossless_for_three_substitutions():
+    for wrong in itertools.combinations(range(decontam.WINDOW), decontam.WINDOW - decontam.NEED):
+        assert any(not set(wrong) & {p + o for p in m} for m in decontam.MASKS for o in range(decontam.WINDOW - m[-1]))
+
+
+def brute_overlaps(texts, items):
+    out = {}
+    for d, text in texts.items():
+        w = tokens(text)
+        for i, item in items.items():
+            v = tokens(item)
+            if len(v) < decontam.SHORTEST:
+                continue
+            span = min(len(v), decontam.WINDOW)
+            need = decontam.NEED if len(v) >= decontam.WINDOW else len(v)
+            good = {}
+            for shift in range(-len(v), len(w)):
+                equal = [0 <= shift + j < len(w) and w[shift + j] == x for j, x in enumerate(v)]
+                best = max(sum(equal[k:k + span]) for k in range(len(v) - span + 1))
+                if best >= need:
+                    good[shift] = best
+            if good:
+                out[d, i] = (len(good), min(good), max(good.values()))
+    return out
+
+
+def test_overlaps(spark):
+    r = random.Random(2)
+    items = {i: words(100 + i, n, 60) for i, n in enumerate((40, 20, 13, 9, 5))}
+    texts = {}
+    for d in range(60):
+        w = words(1000 + d, 30).split()
+        v = items[d % 5].split()
+        part = v[r.randrange(3):]
+        for _ in range(r.randrange(9)):
+            part[r.randrange(len(part))] = "other"
+        texts[d] = " ".join(w[:d % 20] + part[:r.randrange(5, 41)] + w[d % 20:])
+    got = decontam.overlaps(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()
+    want = brute_overlaps(texts, items)
+    assert want and len(want) < 60
+    assert {(x["doc_id"], x["item_id"]): (x["n_alignments"], x["first_shift"], x["best_matches"]) for x in got} == want
+
+
+# ------------------------------------------------------------------ 3 personal data
+BASE = ((0, re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")), (1, re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+        (2, re.compile(r"[0-9]([\x20-]?[0-9])+")), (3, re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")))
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in BASE:
+        for m in pattern.finditer(text):
+            digits = re.sub("[^0-9]", "", m.group())
+            double = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+            ok = (True, kind == 1 and all(int(p) <= 255 for p in m.group().split(".")),
+                  14 <= len(digits) <= 19 and sum(x - 9 * (x > 9) for x in double) % 10 == 0, 10 <= len(digits) <= 15)[kind]
+            if ok:
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_on_random_texts():
+    r = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(r.choice("a@..1+ 4-()é7900@b\n") for _ in range(r.randrange(60)))
+        assert pii.base_spans(text) == brute_spans(text), text
+
+
+def test_personal_data_on_documents(docs, rows):
+    text = {r["doc_id"]: r["text"] or "" for r in rows}
+    for r in pii.personal_data(docs, pii.train(docs)).collect():
+        want = brute_spans(text[r["doc_id"]])
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == i for _, k, _ in want) for i in range(4)]
+        assert r["base_sha256"] == hashlib.sha256(pii.span_text(want).encode()).hexdigest()
+        spans = [x for x in r["spans"].split(",") if x]
+        assert set(pii.span_text(want).split(",")) - {""} <= set(spans) and len(spans) == len(want) + r["n_added"]
+
+
+def test_field_finds_a_broken_repeat():
+    """A number known once by its form is found where the form is broken; message passing agrees with enumeration."""
+    texts = ["call +1 (743) 555-3824 now", "ip 10.2.3.4", "x 7 y"] * 40 + ["plain 12 text 99"] * 40
+    t = C.flat(pa.array(texts))
+    model = pii.fit(pii.nodes(t, texts))
+    probe = ["first +17435553824 then much later 17435553824 again"]
+    _, added = pii.all_spans(C.flat(pa.array(probe)), probe, model._replace(tie=12.0))
+    assert [(k, probe[0][s:e]) for s, k, e in added[0]] == [(3, "17435553824")]
+    n = pii.nodes(C.flat(pa.array(["a1 b2 c3"])), ["a1 b2 c3"])
+    weak = pii.Model({"all": 0}, np.array([[0.3, 0.1, 0.0, -0.2, 0.2]]), np.linspace(-1, 1, 25).reshape(5, 5), 0.5)
+    got = pii.marginals(n, weak, rounds=60)
+    score = {y: 0.3 * 0 + sum(weak.weight[0, k] for k in y) + weak.step[0, y[0]] + weak.step[y[0], y[1]] + weak.step[y[1], y[2]] + weak.step[y[2], 0] for y in itertools.product(range(5), repeat=3)}
+    total = sum(math.exp(v) for v in score.values())
+    for i in range(3):
+        for k in range(5):
+            assert got[i, k] == pytest.approx(sum(math.exp(v) for y, v in score.items() if y[i] == k) / total, abs=1e-6)
+
+
+# ------------------------------------------------------------------ 4, 6 held-out accuracy
+def test_quality_on_held_out_documents(spark):
+    sf = SF.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    got = [r for r in quality.classify(docs, quality.train(docs, labels)).collect() if r["doc_id"] in truth]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert len(held) > 50 and np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.95
+
+
+def test_flat_trees_equal_a_walk():
+    r = np.random.default_rng(1)
+    x = r.normal(size=(800, 5))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] < -0.1)).astype(float)
+    model = quality.fit(x, y, trees=12, depth=3)
+    got = quality.scores(model, x)
+    assert np.mean((got >= 0.5) == (y == 1)) > 0.95
+    for i in range(0, 800, 97):
+        total = model.start
+        for k in range(12):
+            node = 0
+            while node < 7:
+                node = 2 * node + (2 if x[i, model.stat[k, node]] > model.cut[k, node] else 1)
+            total += model.leaf[k, node - 7]
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_language_on_held_out_documents(spark):
+    docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
+    truth = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    got = langid.identify(docs, langid.train(docs)).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert len(held) > 100 and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.97
+
+
+def test_grams_equal_a_count():
+    texts = ["Äb  C1!ä", "", "abab"]
+    got = langid.grams(C.flat(pa.array(texts)))
+    for text, row in zip(texts, got, strict=True):
+        folded = re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower().encode())
+        want = Counter()
+        for n in (1, 2, 3):
+            for i in range(len(folded) - n + 1):
+                key = (int.from_bytes(folded[i:i + n], "big") + (n << 24)) & 0xFFFFFFFF
+                want[(key * 2654435761 & 0xFFFFFFFF) >> 20] += 1
+        assert {i: int(c) for i, c in enumerate(row) if c} == dict(want)
+
+
+# ------------------------------------------------------------------ 5 mixing
+def test_mix_meets_its_budget(docs, rows):
+    size = {r["doc_id"]: len(tokens(r["text"])) for r in rows}
+    source = {r["doc_id"]: r["source"] for r in rows}
+    per = Counter()
+    for d, n in size.items():
+        per[source[d]] += n
+    total = sum(per.values())
+    for limit in (1.5, 3.0):
+        got = mixing.mix(docs, max_repeats=limit).collect()
+        used, epochs = Counter(), defaultdict(set)
+        for r in got:
+            assert r["n_tokens"] == size[r["doc_id"]] and r["source"] == source[r["doc_id"]]
+            used[r["source"]] += r["n_tokens"]
+            epochs[r["source"], r["epoch"]].add(r["doc_id"])
+        assert len(got) == sum(map(len, epochs.values()))
+        longest = max(size.values())
+        assert max(used[s] / per[s] for s in per) <= limit + 1 / min(per.values())
+        assert all(len(ids) == sum(1 for d in size if source[d] == s and size[d]) for (s, e), ids in epochs.items() if (s, e + 1) in epochs)
+        assert total - len(per) * longest <= sum(used.values()) <= total + len(per)
+    even = mixing.source_plan(docs.selectExpr("source", "cast(size(split(text, ' ')) as bigint) as n_tokens"), target_entropy=2.5).collect()
+    weights = [r["weight"] for r in even]
+    assert sum(weights) == pytest.approx(1) and -sum(w * math.log(w) for w in weights) == pytest.approx(2.5, abs=1e-6)
+
+
+# ------------------------------------------------------------------ 8 repetition
+def brute_repeats(s, least):
+    covered, longest = set(), 0
+    for i, j in itertools.combinations(range(len(s)), 2):
+        k = 0
+        while j + k < len(s) and s[i + k] == s[j + k]:
+            k += 1
+        if k >= least:
+            longest = max(longest, k)
+            covered.update(range(i, i + k), range(j, j + k))
+    return len(covered), longest
+
+
+def test_repeats_on_random_texts():
+    r = random.Random(1)
+    texts = [None, "", "x" * 90, "hello world " * 12, "été ça va\nété ça va\n\n  \nété", "\U0001f600a" * 30]
+    texts += ["".join(r.choice("ab \né") for _ in range(r.randrange(120))) for _ in range(80)]
+    t = C.flat(pa.array(texts))
+    for least in (3, 10, 40):
+        covered, longest, _, _ = repetition.repeats(t, least)
+        assert [(int(a), int(b)) for a, b in zip(covered, longest, strict=True)] == [brute_repeats(s or "", least) for s in texts]
+
+
+# ------------------------------------------------------------------ 9 substrings
+def test_substrings(spark):
+    r = random.Random(4)
+    shared = [words(50 + k, 40) for k in range(6)]
+    texts = []
+    for d in range(80):
+        parts = [words(500 + d, r.randrange(1, 40))]
+        for _ in range(r.randrange(4)):
+            p = r.choice(shared)
+            a = r.randrange(len(p) - 50)
+            parts.append(p[a:a + r.randrange(30, 110)])
+        texts.append(r.choice((" ", "", "é")).join(parts))
+    texts += ["ab" * 200, "ab" * 120, "z" * 49, "z" * 50, "z" * 51, ""]
+    got = {x["doc_id"]: x for x in suffix.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)).collect()}
+    seen, removed = {}, 0
+    for d, text in enumerate(texts):
+        b = text.encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - 49):
+            if seen.setdefault(b[i:i + 50], d) < d:
+                gone[i:i + 50] = b"\1" * 50
+        removed += sum(gone)
+        assert bytes(got[d]["kept"]) == bytes(x for x, g in zip(b, gone, strict=True) if not g), d
+        assert got[d]["n_spans"] == len([x for x in bytes(gone).split(b"\0") if x]) and got[d]["n_bytes"] == len(b)
+    assert removed > 1000
+
+
+# ------------------------------------------------------------------ 10 language model
+@pytest.mark.parametrize("share", [lm.SHARE, 0.02])
+def test_backoff_scores(docs, rows, share):
+    text = {r["doc_id"]: tokens(r["text"]) for r in rows}
+    one, two = Counter(w for t in text.values() for w in t), Counter(p for t in text.values() for p in itertools.pairwise(t))
+    total = sum(one.values())
+    got = {r["doc_id"]: r for r in lm.backoff_scores(docs, share=share).collect()}
+    for d, t in text.items():
+        want = sum(math.log10(one[w] / total) for w in t[:1])
+        for u, w in itertools.pairwise(t):
+            want += math.log10(two[u, w] / one[u] if two[u, w] >= lm.SEEN else lm.BACKOFF * one[w] / total)
+        assert got[d]["n_words"] == len(t)
+        assert got[d]["log10_total"] == (pytest.approx(want, abs=1e-6) if t else None)
+
+
+# ------------------------------------------------------------------ pipeline
+def test_pipeline(spark, docs, rows):
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    left = {}
+    t = C.flat(pa.array([r["text"] for r in rows]))
+    for r, ok in zip(rows, repetition.judge(t)["kept"], strict=True):
+        if ok:
+            left[r["doc_id"]] = r
+    root = brute_components({d: shingle_set(r["text"]) for d, r in left.items()})
+    left = {d: r for d, r in left.items() if root[d] == d}
+    dirty = {d for d, _ in brute_overlaps({d: r["text"] for d, r in left.items()}, items)}
+    left = {d: r for d, r in left.items() if d not in dirty}
+    got = corpus_pipeline.run(spark, SF).collect()
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert len(names) == 5 and dirty
+    assert {r["doc_id"] for r in got} <= set(left)
+    per = {r["source"] for r in left.values()}
+    assert {r["source"] for r in got} == per
+    longest = max(r["n_tokens"] for r in got)
+    assert abs(sum(r["n_tokens"] for r in got) - sum(len(tokens(r["text"])) for r in left.values())) < len(per) * 2 * longest
