@@ -9,7 +9,7 @@ all (``KEEP``) of the centroid's own sample is marked ``rejected``: its predicti
 the nearest language, as the caller may prefer it to none.
 
 Document frequencies are counted over all documents that may be learned from.
-The centroids come from at most ``SAMPLE`` texts per language (the smallest hashes of the
+More than ``MAX_LANGS`` languages raise an error.  The centroids come from at most ``SAMPLE`` texts per language (the smallest hashes of the
 id, texts of at most ``SAMPLE_CHARS`` characters).  Scoring covers whole texts of all
 rows in one pass without a shuffle.
 
@@ -39,6 +39,7 @@ DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 500            # texts per language
 SAMPLE_CHARS = 20_000
+MAX_LANGS = 10_000      # so the broadcast counts of languages and the centroids stay small
 KEEP = 0.995
 ROWS = 256              # texts whose vectors are held at a time
 
@@ -138,8 +139,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # a first cut at a hash that about 4 * sample rows of each language pass, then the smallest hashes
     order = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
     share = known.groupBy(F.col("lang").alias("cut_lang")).agg((F.lit(4.0 * sample * (1 << 40)) / F.count("*")).alias("cut"))
+    share = C.materialise(share, "languages")
+    if share.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     first = Window.partitionBy("lang").orderBy("order", "doc_id")
-    some = known.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "lang", order.alias("order")).join(share, F.col("lang") == F.col("cut_lang")).where("order <= cut")
+    some = known.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "lang", order.alias("order")).join(F.broadcast(share), F.col("lang") == F.col("cut_lang")).where("order <= cut")
     picked = some.select("doc_id", "lang", F.row_number().over(first).alias("k")).where(F.col("k") <= sample)
     ids = F.broadcast(picked.select("doc_id").distinct())           # at most ``sample`` rows per language
     rows = known.join(ids, "doc_id", "left_semi").where(F.length("text").between(1, SAMPLE_CHARS)).select("lang", "doc_id", "text").toPandas()
