@@ -18,7 +18,7 @@ Counts are tables partitioned by hash, and documents' n-grams are joined to them
 4. The buckets' partial sums are added per document.
 
 The exchanges carry packed arrays, one row per batch and bucket; the number of buckets
-follows ``spark.sql.shuffle.partitions``.
+follows ``spark.sql.shuffle.partitions``.  Words are named by 56-bit fingerprints.
 
 Defined results: words are lower-cased (A-Z) runs without white space.  A text without words (null,
 empty) has n_words 0 and null scores.  The rows of one id (null ids too) are scored
@@ -40,15 +40,15 @@ from landstage.llm import common as C
 BACKOFF = 0.4
 SEEN = 2                # least count of a pair that is used
 SHARE = 2e-5
-BATCH_WORDS = 3_000_000
+BATCH_WORDS = 1_000_000
 BATCH_DOCS = 60_000
 BUCKETS = 64            # at least
 
 _NO_ID = np.iinfo(np.int64).min
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 U64 = np.uint64
-PACKED = "bucket int, kind string, docs binary, a binary, b binary, c binary, d binary, e binary"
-FIELDS = ("docs", "a", "b", "c", "d", "e")
+PACKED = "bucket int, kind string, docs binary, a binary, b binary, c binary, d binary, e binary, f binary"
+FIELDS = ("docs", "a", "b", "c", "d", "e", "f")
 
 
 def pair_hash(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -67,7 +67,8 @@ def batches_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.nda
                 yield np.concatenate(ids), np.concatenate(hashes), np.concatenate(docs)
                 ids, hashes, docs, n_docs, n_words = [], [], [], 0, 0
             ids.append(part.column(0).fill_null(_NO_ID).to_numpy())
-            hashes.append(C.range_hash(C.prefix_hash(t.buf), w.start, w.end) | U64(1))     # 0 is free for the end of a text
+            # 56 bits name a word; 0 is free for the end of a text
+            hashes.append(np.maximum(C.range_hash(C.prefix_hash(t.buf), w.start, w.end) >> U64(8), U64(1)))
             docs.append(w.doc + n_docs)
             n_docs, n_words = n_docs + part.num_rows, n_words + len(w.start)
     if n_docs:
@@ -137,8 +138,47 @@ def frequent(docs: DataFrame, share: float = SHARE) -> Frequent:
     return Frequent(total, *tables, *counts)
 
 
-def _row(bucket: int, kind: str, *fields: np.ndarray) -> tuple:
-    return (bucket, kind, *(x.tobytes() for x in fields), *(b"" for _ in range(len(FIELDS) - len(fields))))
+def _small(x: np.ndarray) -> bytes:
+    """Counts or steps as bytes, in the narrowest of four widths; the first byte is the width."""
+    top = int(x.max()) if len(x) else 0
+    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+    return bytes([width]) + x.astype(f"u{width}").tobytes()
+
+
+def _wide(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, f"u{b[0]}", offset=1).astype(np.int64)
+
+
+def _ids(x: np.ndarray) -> bytes:
+    """Ascending ids: the first and the steps between them."""
+    return x[:1].tobytes() + _small((x[1:] - x[:-1]).view(np.uint64)) if len(x) else b""
+
+
+def _from_ids(b: bytes) -> np.ndarray:
+    if not b:
+        return np.zeros(0, np.int64)
+    return np.cumsum(np.append(np.frombuffer(b[:8], np.int64), _wide(b[8:])))
+
+
+def _names(h: np.ndarray) -> bytes:
+    """Seven bytes of each word's name."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def _from_names(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(b, np.uint8).reshape(-1, 7)
+    return out.view(U64).ravel()
+
+
+def _row(bucket: int, kind: str, *fields: bytes) -> tuple:
+    return (bucket, kind, *fields, *(b"" for _ in range(len(FIELDS) - len(fields))))
+
+
+def _sum(bucket: int, ids: np.ndarray, sums: np.ndarray, words: np.ndarray | None = None) -> tuple:
+    """A row of partial sums; ``words``: the documents' words, sent once."""
+    o = np.argsort(ids, kind="stable")
+    return _row(bucket, "sum", _ids(ids[o]), sums[o].astype(np.float64).tobytes(), b"" if words is None else _small(words[o]))
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -149,10 +189,11 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def _asks(docs: np.ndarray, h: np.ndarray, back: np.ndarray, buckets: int) -> Iterator[tuple]:
     """Rows that ask the bucket of each word for its count; ``back``: 1 where the score is backed off."""
     to = (C.mix(h) % U64(buckets)).astype(np.int64)
-    order = np.argsort(to, kind="stable")
+    order = np.argsort(docs, kind="stable")
+    order = order[np.argsort(to[order], kind="stable")]
     for a, b in C.stretches(to[order]):
         some = order[a:b]
-        yield _row(int(to[some[0]]), "ask", docs[some], h[some], back[some].astype(np.int8))
+        yield _row(int(to[some[0]]), "ask", _ids(docs[some]), _names(h[some]), _small(back[some]))
 
 
 def packed_pairs(docs: DataFrame, top: Frequent, buckets: int) -> DataFrame:
@@ -165,6 +206,9 @@ def packed_pairs(docs: DataFrame, top: Frequent, buckets: int) -> DataFrame:
         for ids, h, doc in batches_of_words(batches):
             nxt = followers(h, doc)
             n_docs, rows = len(ids), []
+            order = np.argsort(ids, kind="stable")
+            sorted_ids, by_id = ids[order], np.empty(n_docs, np.int64)
+            by_id[order] = np.arange(n_docs)
             word_at, often = Frequent.find(f.words, h)
             ph = pair_hash(h, nxt)
             pair_at, known = Frequent.find(f.pairs, ph)
@@ -175,7 +219,7 @@ def packed_pairs(docs: DataFrame, top: Frequent, buckets: int) -> DataFrame:
             first = np.append(True, doc[1:] != doc[:-1]) if len(doc) else np.zeros(0, bool)
             easy = first & often
             sums += np.bincount(doc[easy], weights=np.log10(f.word_count[word_at[easy]] / f.total), minlength=n_docs).astype(np.float64)
-            rows.append(_row(-1, "sum", ids, sums, np.bincount(doc, minlength=n_docs)))
+            rows.append(_sum(int(C.mix(ids[:1].view(U64))[0] % U64(buckets)), ids, sums, np.bincount(doc, minlength=n_docs)))
             hard = first & ~often
             rows += _asks(ids[doc[hard]], h[hard], np.zeros(int(hard.sum()), bool), buckets)
             rest = ~known & ~(often & (nxt == 0))           # the end of a text only matters for counting its last word
@@ -192,11 +236,11 @@ def packed_pairs(docs: DataFrame, top: Frequent, buckets: int) -> DataFrame:
             new3[1:] |= d[1:] != d[:-1]
             for a, b in C.stretches(to):
                 s1, s2, s3 = (np.flatnonzero(x[a:b]) for x in (new1, new2, new3))
-                pairs_of = np.diff(np.append(np.searchsorted(s2, s1), len(s2))).astype(np.uint32)
-                posts_of = np.diff(np.append(np.searchsorted(s3, s2), len(s3))).astype(np.uint32)
-                times = np.diff(np.append(s3, b - a)).astype(np.uint32)
-                used, index = np.unique(d[a:b][s3], return_inverse=True)
-                rows.append((int(to[a]), "pairs", ids[used].tobytes(), h1[a:b][s1].tobytes(), pairs_of.tobytes(), h2[a:b][s2].tobytes(), posts_of.tobytes(), index.astype(np.uint16).tobytes() + times.tobytes()))
+                pairs_of = np.diff(np.append(np.searchsorted(s2, s1), len(s2)))
+                posts_of = np.diff(np.append(np.searchsorted(s3, s2), len(s3)))
+                times = np.diff(np.append(s3, b - a))
+                used, index = np.unique(by_id[d[a:b][s3]], return_inverse=True)
+                rows.append(_row(int(to[a]), "pairs", _ids(sorted_ids[used]), _names(h1[a:b][s1]), _small(pairs_of), _names(h2[a:b][s2]), _small(posts_of), _small(index), _small(times)))
             yield _rows(rows)
 
     return docs.mapInArrow(run, PACKED)
@@ -210,22 +254,26 @@ def _added(ids: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, n
 
 
 def counted_pairs(rows: DataFrame, top: Frequent, buckets: int) -> DataFrame:
-    """Per bucket: c(uw) and c(u), the sums of the pairs seen often enough, the counts of words, asks for the others."""
+    """Per bucket: c(uw) and c(u), the sums of the pairs seen often enough, the counts of words, asks for the others.
+
+    Rows of other kinds pass through."""
     shared = rows.sparkSession.sparkContext.broadcast(top)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         f, bucket = shared.value, key[0].as_py()
-        cols = {c: table.column(c).to_pylist() for c in FIELDS}
+        kind = np.array(table.column("kind").to_pylist())
+        other = table.filter(pa.array(kind != "pairs"))
+        mine = table.filter(pa.array(kind == "pairs"))
+        if not mine.num_rows:
+            return other
+        cols = {c: mine.column(c).to_pylist() for c in FIELDS}
         h1, h2, docs, times, posts = [], [], [], [], []
-        for i in range(table.num_rows):
-            ids = np.frombuffer(cols["docs"][i], np.int64)
-            posts_of = np.frombuffer(cols["d"][i], np.uint32)
-            n = len(cols["e"][i]) // 6
-            h1.append(np.repeat(np.frombuffer(cols["a"][i], U64), np.frombuffer(cols["b"][i], np.uint32)))
-            h2.append(np.frombuffer(cols["c"][i], U64))
-            posts.append(posts_of.astype(np.int64))
-            docs.append(ids[np.frombuffer(cols["e"][i], np.uint16, n)])
-            times.append(np.frombuffer(cols["e"][i][2 * n:], np.uint32))
+        for i in range(mine.num_rows):
+            h1.append(np.repeat(_from_names(cols["a"][i]), _wide(cols["b"][i])))
+            h2.append(_from_names(cols["c"][i]))
+            posts.append(_wide(cols["d"][i]))
+            docs.append(_from_ids(cols["docs"][i])[_wide(cols["e"][i])])
+            times.append(_wide(cols["f"][i]))
         h1, h2, posts, docs, times = (np.concatenate(x) for x in (h1, h2, posts, docs, times))
         first = np.concatenate(([0], np.cumsum(posts)[:-1]))
         uses = np.add.reduceat(times.astype(np.int64), first)
@@ -251,30 +299,32 @@ def counted_pairs(rows: DataFrame, top: Frequent, buckets: int) -> DataFrame:
         at, there = Frequent.find(f.words, word)
         ids.append(who[there])
         sums.append(np.log10(BACKOFF * f.word_count[at[there]] / f.total) * often_[there] if len(f.words) else np.zeros(0))
-        out = [_row(-1, "sum", *_added(ids, sums), np.zeros(0, np.int64)), _row(bucket, "count", np.zeros(0), words[~often], c1[~often].astype(np.int64))]
+        out = [_sum(bucket, *_added(ids, sums)), _row(bucket, "count", b"", _names(words[~often]), _small(c1[~often]))]
         who, word = np.repeat(who[~there], often_[~there]), np.repeat(word[~there], often_[~there])
         out += _asks(who, word, np.ones(len(word), bool), buckets)
-        return pa.Table.from_batches([_rows(out)])
+        return pa.concat_tables([other.cast(_rows([]).schema), pa.Table.from_batches([_rows(out)])])
 
     return rows.groupBy("bucket").applyInArrow(run, PACKED)
 
 
 def answered(rows: DataFrame, total: int) -> DataFrame:
-    """Per bucket: the asks' scores from the counts of words, summed per document."""
+    """Per bucket: the asks' scores from the counts of words, summed per document; sums pass through."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        kind = table.column("kind").to_pylist()
+        kind = np.array(table.column("kind").to_pylist())
+        sums = table.filter(pa.array(kind == "sum"))
         docs, a, b = (table.column(c).to_pylist() for c in ("docs", "a", "b"))
-        ask, count = [i for i, k in enumerate(kind) if k == "ask"], [i for i, k in enumerate(kind) if k == "count"]
-        if not ask:
-            return pa.Table.from_batches([_rows([])])
-        names = np.concatenate([np.frombuffer(a[i], U64) for i in count])
-        counts = np.concatenate([np.frombuffer(b[i], np.int64) for i in count])
+        ask, count = np.flatnonzero(kind == "ask"), np.flatnonzero(kind == "count")
+        if not len(ask):
+            return sums
+        names = np.concatenate([_from_names(a[i]) for i in count])
+        counts = np.concatenate([_wide(b[i]) for i in count])
         order = np.argsort(names)
-        ids = np.concatenate([np.frombuffer(docs[i], np.int64) for i in ask])
-        word = np.concatenate([np.frombuffer(a[i], U64) for i in ask])
-        back = np.concatenate([np.frombuffer(b[i], np.int8) for i in ask])
+        ids = np.concatenate([_from_ids(docs[i]) for i in ask])
+        word = np.concatenate([_from_names(a[i]) for i in ask])
+        back = np.concatenate([_wide(b[i]) for i in ask])
         c = counts[order][np.searchsorted(names[order], word)]
-        return pa.Table.from_batches([_rows([_row(-1, "sum", *_added([ids], [np.log10(np.where(back, BACKOFF, 1.0) * c / total)]), np.zeros(0, np.int64))])])
+        found = _sum(-1, *_added([ids], [np.log10(np.where(back, BACKOFF, 1.0) * c / total)]))
+        return pa.concat_tables([sums.cast(_rows([]).schema), pa.Table.from_batches([_rows([found])])])
 
     return rows.groupBy("bucket").applyInArrow(run, PACKED)
 
@@ -284,8 +334,8 @@ def summed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for docs, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = np.frombuffer(docs, np.int64)
-                n = np.frombuffer(b, np.int64) if b else np.zeros(len(ids), np.int64)
+                ids = _from_ids(docs)
+                n = _wide(b) if b else np.zeros(len(ids), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(np.frombuffer(a, np.float64))], ["doc_id", "n", "s"])
 
     flat = rows.where("kind = 'sum'").select("docs", "a", "b").mapInArrow(run, "doc_id bigint, n bigint, s double")
@@ -297,10 +347,7 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = max(BUCKETS, C.shuffle_partitions(docs.sparkSession))
     top = frequent(d, share)
-    read = C.materialise(packed_pairs(d, top, buckets), "pairs")
-    counted = C.materialise(counted_pairs(read.where("kind = 'pairs'"), top, buckets), "counts")
-    open_ = read.where("kind = 'ask'").union(counted.where("kind in ('ask', 'count')"))
-    replies = answered(open_, max(top.total, 1))
-    out = summed(read.union(counted).union(replies))
+    counted = counted_pairs(packed_pairs(d, top, buckets), top, buckets)
+    out = summed(answered(counted, max(top.total, 1)))
     total = F.when(F.col("n_words") > 0, F.col("total"))
     return out.select(F.when(F.col("doc_id") != F.lit(int(_NO_ID)), F.col("doc_id")).alias("doc_id"), "n_words", total.alias("log10_total"), (total / F.col("n_words")).alias("log10_mean"))
