@@ -2,6 +2,7 @@
 
 import importlib.util
 import os
+import re
 
 import pytest
 
@@ -25,8 +26,8 @@ def test_entry_runs_with_a_stable_schema(spark, entry_module):
     assert {"policy_number", "member_id", "product_id", "hash_key", "hash_diff"} <= set(a.columns)
 
 
-def test_every_query_has_an_oracle(entry_module):
+def test_every_load_query_has_an_oracle(entry_module):
     qs, sql = entry_module.queries(), entry_module.oracle_sql()
-    assert set(qs) == set(sql)
-    assert len(qs) >= 53
-    assert not any(k.startswith("op") or "pipeline" in k for k in qs)
+    own = {k for k in qs if not re.match(r"op\d+_|pipeline$", k)}
+    assert own <= set(sql) <= set(qs)
+    assert len(own) >= 57
