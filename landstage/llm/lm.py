@@ -42,6 +42,7 @@ SEEN = 2                # least count of a pair that is used
 SHARE = 2e-5
 BATCH_WORDS = 1_000_000
 BATCH_DOCS = 60_000
+PART_BYTES = 3_000_000   # packed bytes that a bucket unpacks at a time
 BUCKETS = 64            # at least
 
 _NO_ID = np.iinfo(np.int64).min
@@ -267,41 +268,54 @@ def counted_pairs(rows: DataFrame, top: Frequent, buckets: int) -> DataFrame:
         if not mine.num_rows:
             return other
         cols = {c: mine.column(c).to_pylist() for c in FIELDS}
-        h1, h2, docs, times, posts = [], [], [], [], []
-        for i in range(mine.num_rows):
-            h1.append(np.repeat(_from_names(cols["a"][i]), _wide(cols["b"][i])))
-            h2.append(_from_names(cols["c"][i]))
-            posts.append(_wide(cols["d"][i]))
-            docs.append(_from_ids(cols["docs"][i])[_wide(cols["e"][i])])
-            times.append(_wide(cols["f"][i]))
-        h1, h2, posts, docs, times = (np.concatenate(x) for x in (h1, h2, posts, docs, times))
-        first = np.concatenate(([0], np.cumsum(posts)[:-1]))
-        uses = np.add.reduceat(times.astype(np.int64), first)
-        o = np.argsort(h2, kind="stable")
-        o = o[np.argsort(h1[o], kind="stable")]
-        new1 = np.append(True, h1[o][1:] != h1[o][:-1])
-        new2 = new1.copy()
-        new2[1:] |= h2[o][1:] != h2[o][:-1]
-        c2 = np.add.reduceat(uses[o], np.flatnonzero(new2))[np.cumsum(new2) - 1]
-        words, c1 = h1[o][new1], np.add.reduceat(uses[o], np.flatnonzero(new1))
-        at, often = Frequent.find(f.words, words)
-        c1 = np.where(often, f.word_count[at] if len(f.words) else c1, c1)
-        value = np.empty(len(o))
-        pair_count = np.empty(len(o), np.int64)
-        value[o] = np.log10(c2 / c1[np.cumsum(new1) - 1])
-        pair_count[o] = c2
-        good, real = pair_count >= SEEN, h2 != 0
-        per_post = np.repeat(np.arange(len(h2)), posts)
-        use = (good & real)[per_post]
-        ids, sums = [docs[use]], [value[per_post[use]] * times[use]]
-        miss = np.flatnonzero((~good & real)[per_post])
-        word, who, often_ = h2[per_post[miss]], docs[miss], times[miss]
-        at, there = Frequent.find(f.words, word)
-        ids.append(who[there])
-        sums.append(np.log10(BACKOFF * f.word_count[at[there]] / f.total) * often_[there] if len(f.words) else np.zeros(0))
-        out = [_sum(bucket, *_added(ids, sums)), _row(bucket, "count", b"", _names(words[~often]), _small(c1[~often]))]
-        who, word = np.repeat(who[~there], often_[~there]), np.repeat(word[~there], often_[~there])
-        out += _asks(who, word, np.ones(len(word), bool), buckets)
+        # the bucket's words are counted in parts, so that the unpacked arrays stay small
+        parts = 1 + sum(len(x) for x in (*cols["c"], *cols["e"])) // PART_BYTES
+        ids, sums, out = [], [], []
+        for part in range(parts):
+            h1, h2, docs, times, posts = [], [], [], [], []
+            for i in range(mine.num_rows):
+                word, pairs_of, posts_of = _from_names(cols["a"][i]), _wide(cols["b"][i]), _wide(cols["d"][i])
+                own = (C.mix(word) >> U64(40)) % U64(parts) == part
+                pair = np.repeat(own, pairs_of)
+                post = np.repeat(pair, posts_of)
+                h1.append(np.repeat(word[own], pairs_of[own]))
+                h2.append(_from_names(cols["c"][i])[pair])
+                posts.append(posts_of[pair])
+                docs.append(_from_ids(cols["docs"][i])[_wide(cols["e"][i])[post]])
+                times.append(_wide(cols["f"][i])[post])
+            h1, h2, posts, docs, times = (np.concatenate(x) for x in (h1, h2, posts, docs, times))
+            if not len(h2):
+                continue
+            first = np.concatenate(([0], np.cumsum(posts)[:-1]))
+            uses = np.add.reduceat(times.astype(np.int64), first)
+            o = np.argsort(h2, kind="stable")
+            o = o[np.argsort(h1[o], kind="stable")]
+            new1 = np.append(True, h1[o][1:] != h1[o][:-1])
+            new2 = new1.copy()
+            new2[1:] |= h2[o][1:] != h2[o][:-1]
+            c2 = np.add.reduceat(uses[o], np.flatnonzero(new2))[np.cumsum(new2) - 1]
+            words, c1 = h1[o][new1], np.add.reduceat(uses[o], np.flatnonzero(new1))
+            at, often = Frequent.find(f.words, words)
+            c1 = np.where(often, f.word_count[at] if len(f.words) else c1, c1)
+            value = np.empty(len(o))
+            pair_count = np.empty(len(o), np.int64)
+            value[o] = np.log10(c2 / c1[np.cumsum(new1) - 1])
+            pair_count[o] = c2
+            good, real = pair_count >= SEEN, h2 != 0
+            per_post = np.repeat(np.arange(len(h2)), posts)
+            use = (good & real)[per_post]
+            ids.append(docs[use])
+            sums.append(value[per_post[use]] * times[use])
+            miss = np.flatnonzero((~good & real)[per_post])
+            word, who, often_ = h2[per_post[miss]], docs[miss], times[miss]
+            at, there = Frequent.find(f.words, word)
+            ids.append(who[there])
+            sums.append(np.log10(BACKOFF * f.word_count[at[there]] / f.total) * often_[there] if len(f.words) else np.zeros(0))
+            out.append(_row(bucket, "count", b"", _names(words[~often]), _small(c1[~often])))
+            who, word = np.repeat(who[~there], often_[~there]), np.repeat(word[~there], often_[~there])
+            out += _asks(who, word, np.ones(len(word), bool), buckets)
+            ids, sums = ([x] for x in _added(ids, sums))
+        out.append(_sum(bucket, ids[0], sums[0]))
         return pa.concat_tables([other.cast(_rows([]).schema), pa.Table.from_batches([_rows(out)])])
 
     return rows.groupBy("bucket").applyInArrow(run, PACKED)

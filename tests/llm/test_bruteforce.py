@@ -316,8 +316,9 @@ def test_substrings(spark):
 
 
 # ------------------------------------------------------------------ 10 language model
-@pytest.mark.parametrize("share", [lm.SHARE, 0.02])
-def test_backoff_scores(docs, rows, share):
+@pytest.mark.parametrize("share,part", [(lm.SHARE, lm.PART_BYTES), (0.02, 2000)])
+def test_backoff_scores(docs, rows, share, part, monkeypatch):
+    monkeypatch.setattr(lm, "PART_BYTES", part)
     text = {r["doc_id"]: tokens(r["text"]) for r in rows}
     one, two = Counter(w for t in text.values() for w in t), Counter(p for t in text.values() for p in itertools.pairwise(t))
     total = sum(one.values())
