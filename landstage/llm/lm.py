@@ -40,9 +40,9 @@ from landstage.llm import common as C
 BACKOFF = 0.4
 SEEN = 2                # least count of a pair that is used
 SHARE = 2e-5
-BATCH_WORDS = 1_000_000
+BATCH_WORDS = 500_000
 BATCH_DOCS = 60_000
-PART_BYTES = 3_000_000   # packed bytes that a bucket unpacks at a time
+PART_BYTES = 1_000_000   # packed bytes that a bucket unpacks at a time
 BUCKETS = 64            # at least
 
 _NO_ID = np.iinfo(np.int64).min
@@ -60,7 +60,7 @@ def batches_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.nda
     """(ids, word hashes, document index of each word) for batches of whole documents of about BATCH_WORDS words."""
     ids, hashes, docs, n_docs, n_words = [], [], [], 0, 0
     for batch in batches:
-        for part in C.chunks(batch):
+        for part in C.chunks(batch, most=1_000_000):
             t = C.flat(part.column(1))
             t = t._replace(buf=C.LOWER[t.buf])
             w = C.words(t)
