@@ -57,14 +57,14 @@ def pair_hash(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
 
 
 def batches_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, word hashes, document index of each word) for batches of whole documents of about BATCH_WORDS words."""
+    """(ids, word hashes, document index of each word) for batches of whole documents of about BATCH_WORDS words, at most BATCH_DOCS documents."""
     ids, hashes, docs, n_docs, n_words = [], [], [], 0, 0
     for batch in batches:
         for part in C.chunks(batch, most=1_000_000):
             t = C.flat(part.column(1))
             t = t._replace(buf=C.LOWER[t.buf])
             w = C.words(t)
-            if n_words and (n_words + len(w.start) > BATCH_WORDS or n_docs + part.num_rows > BATCH_DOCS):
+            if n_words and n_words + len(w.start) > BATCH_WORDS or n_docs and n_docs + part.num_rows > BATCH_DOCS:
                 yield np.concatenate(ids), np.concatenate(hashes), np.concatenate(docs)
                 ids, hashes, docs, n_docs, n_words = [], [], [], 0, 0
             ids.append(part.column(0).fill_null(_NO_ID).to_numpy())
@@ -224,7 +224,7 @@ def packed_pairs(docs: DataFrame, top: Frequent, buckets: int) -> DataFrame:
             hard = first & ~often
             rows += _asks(ids[doc[hard]], h[hard], np.zeros(int(hard.sum()), bool), buckets)
             rest = ~known & ~(often & (nxt == 0))           # the end of a text only matters for counting its last word
-            h1, h2, d = h[rest], nxt[rest], doc[rest].astype(np.uint16)
+            h1, h2, d = h[rest], nxt[rest], doc[rest].astype(np.uint16 if n_docs <= 1 << 16 else np.int64)
             to = (np.where(often[rest], ph[rest], C.mix(h1)) % U64(buckets)).astype(np.uint16 if buckets < 65536 else np.int64)
             o = np.argsort(h2, kind="stable")
             o = o[np.argsort(h1[o], kind="stable")]

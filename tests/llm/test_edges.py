@@ -139,6 +139,16 @@ def test_language_model(spark):
     assert lm.backoff_scores(empty_docs(spark)).collect() == []
 
 
+def test_language_model_after_many_empty_texts(spark):
+    """More wordless rows in one partition than 16 bits number, stored before the texts."""
+    empty = spark.range(1_000, 71_000, 1, 1).selectExpr("id as doc_id", "if(id % 2 = 0, '', cast(null as string)) as text")
+    texts = spark.createDataFrame([(i, f"{PROSE} tail{i % 3} end{i}") for i in range(12)], "doc_id bigint, text string").coalesce(1)
+    want = {r["doc_id"]: r for r in lm.backoff_scores(texts).collect()}
+    got = {r["doc_id"]: r for r in lm.backoff_scores(empty.union(texts).coalesce(1)).collect()}
+    assert len(got) == 70_012 and all(r["n_words"] == 0 and r["log10_total"] is None for d, r in got.items() if d >= 1_000)
+    assert all(got[d]["n_words"] == r["n_words"] and got[d]["log10_total"] == pytest.approx(r["log10_total"]) for d, r in want.items())
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages(spark, tmp_path, name, stage):
     spark.createDataFrame([(1, "no such words here " * 5)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
