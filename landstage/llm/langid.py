@@ -10,7 +10,8 @@ the nearest language, as the caller may prefer it to none.
 
 Document frequencies are counted over all documents that may be learned from.
 More than ``MAX_LANGS`` languages raise an error.  The centroids come from at most ``SAMPLE`` texts per language (the smallest hashes of the
-id, texts of at most ``SAMPLE_CHARS`` characters).  Scoring covers whole texts of all
+id among the texts with a letter, of any length): whole texts become gram counts on the
+executors, and each language is fitted there from its sample's counts.  Scoring covers whole texts of all
 rows in one pass without a shuffle.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0.  Rows
@@ -38,7 +39,6 @@ from landstage.llm.quality import held_out
 DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 500            # texts per language
-SAMPLE_CHARS = 20_000
 MAX_LANGS = 10_000      # so the broadcast counts of languages and the centroids stay small
 KEEP = 0.995
 ROWS = 256              # texts whose vectors are held at a time
@@ -130,6 +130,37 @@ def document_frequency(docs: DataFrame) -> tuple[int, np.ndarray]:
     return int(got.get(-1, 0)), df
 
 
+def with_counts(rows: DataFrame) -> DataFrame:
+    """The text replaced by its gram counts: the places that occur (16 bits each) and their counts (32 bits each)."""
+    C.ship_package()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in C.chunks(batch):
+                for a in range(0, part.num_rows, ROWS):
+                    some = part.slice(a, ROWS)
+                    counts = grams(C.flat(some.column(4)))
+                    places = [np.flatnonzero(x) for x in counts]
+                    yield pa.RecordBatch.from_arrays([*some.columns[:4], pa.array([p.astype(np.uint16).tobytes() for p in places], pa.binary()), pa.array([x[p].astype(np.uint32).tobytes() for p, x in zip(places, counts, strict=True)], pa.binary())],
+                                                     ["doc_id", "lang", "order", "tie", "places", "counts"])
+
+    return rows.mapInArrow(run, "doc_id bigint, lang string, order bigint, tie bigint, places binary, counts binary")
+
+
+def centroids_of(table: pa.Table, idf: np.ndarray) -> pa.Table:
+    """The centroids of one language's sample and the smallest cosine each does not reject."""
+    table = table.sort_by([("doc_id", "ascending"), ("tie", "ascending")])
+    counts = np.zeros((table.num_rows, DIMS))
+    for row, p, n in zip(counts, table.column("places").to_pylist(), table.column("counts").to_pylist(), strict=True):
+        row[np.frombuffer(p, np.uint16)] = np.frombuffer(n, np.uint32)
+    v = vectors(counts, idf)
+    c = clustered(v)
+    cos = v @ c.T
+    own = cos.argmax(axis=1)
+    edge = [float(np.quantile(cos[own == i, i], 1 - KEEP)) if (own == i).any() else 0.0 for i in range(len(c))]
+    return pa.table({"lang": table.column("lang").slice(0, 1).to_pylist() * len(c), "i": pa.array(range(len(c)), pa.int32()), "centroid": pa.array([x.tobytes() for x in c], pa.binary()), "edge": edge})
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, fold: int = 2, sample: int = SAMPLE) -> Model:
     """Centroids from the labelled rows outside the held-out fold."""
     known = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -138,29 +169,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     idf = np.log((1 + n) / (1 + df)) + 1
     # a first cut at a hash that about 4 * sample rows of each language pass, then the smallest hashes
     order = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
-    share = known.groupBy(F.col("lang").alias("cut_lang")).agg((F.lit(4.0 * sample * (1 << 40)) / F.count("*")).alias("cut"))
+    known = known.where(F.col("text").rlike(r"\p{L}"))
+    marks = C.materialise(known.select("doc_id", "lang", order.alias("order")), "learnable")
+    share = marks.groupBy(F.col("lang").alias("cut_lang")).agg((F.lit(4.0 * sample * (1 << 40)) / F.count("*")).alias("cut"))
     share = C.materialise(share, "languages")
     if share.count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
+    some = marks.join(F.broadcast(share), F.col("lang") == F.col("cut_lang")).where("order <= cut")
     first = Window.partitionBy("lang").orderBy("order", "doc_id")
-    some = known.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "lang", order.alias("order")).join(F.broadcast(share), F.col("lang") == F.col("cut_lang")).where("order <= cut")
     picked = some.select("doc_id", "lang", F.row_number().over(first).alias("k")).where(F.col("k") <= sample)
-    ids = F.broadcast(picked.select("doc_id").distinct())           # at most ``sample`` rows per language
-    rows = known.join(ids, "doc_id", "left_semi").where(F.length("text").between(1, SAMPLE_CHARS)).select("lang", "doc_id", "text").toPandas()
-    rows = rows.sort_values(["lang", "doc_id", "text"]).groupby("lang", sort=True).head(sample)
-    langs, centers, limits = [], [], []
-    for lang, part in rows.groupby("lang", sort=True):
-        texts = [x for x in part["text"] if has_letter(x)]
-        if not texts:
-            continue
-        v = vectors(np.concatenate([grams(C.flat(pa.array(texts[a:a + ROWS]))) for a in range(0, len(texts), ROWS)]), idf)
-        c = clustered(v)
-        cos = v @ c.T
-        own = cos.argmax(axis=1)
-        langs += [lang] * len(c)
-        centers.append(c)
-        limits += [float(np.quantile(cos[own == i, i], 1 - KEEP)) if (own == i).any() else 0.0 for i in range(len(c))]
-    return Model(langs, np.concatenate(centers) if centers else np.zeros((0, DIMS)), np.array(limits), idf)
+    ids = F.broadcast(picked.select("doc_id", "lang").distinct())   # at most ``sample`` rows per language
+    rows = known.join(ids, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", order.alias("order"), F.xxhash64("text").alias("tie"), "text")
+    first = Window.partitionBy("lang").orderBy("order", "doc_id", "tie")
+    rows = with_counts(rows).withColumn("k", F.row_number().over(first)).where(F.col("k") <= sample)
+    found = rows.groupBy("lang").applyInArrow(lambda table: centroids_of(table, idf), "lang string, i int, centroid binary, edge double").toPandas()
+    found = found.sort_values(["lang", "i"])
+    centers = [np.frombuffer(x) for x in found["centroid"]]
+    return Model(found["lang"].tolist(), np.stack(centers) if centers else np.zeros((0, DIMS)), found["edge"].to_numpy(np.float64), idf)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, fold: int = 2) -> DataFrame:

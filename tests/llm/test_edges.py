@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,20 @@ def test_language(spark):
     assert langid.identify(empty_docs(spark), none).collect() == []
 
 
+def test_language_of_long_texts_only(spark):
+    """Languages whose labelled texts are all long, or few among many empty ones, are learned too."""
+    r = random.Random(3)
+    text = lambda letters, n: " ".join("".join(r.choice(letters) for _ in range(5)) for _ in range(n))
+    rows = [(i, text("abcdefg", 60), "short") for i in range(20)] + [(i, text("hijklmn", 4_000), "long") for i in range(20, 40)]
+    rows += [(i, text("tuvwxyz", 60), "rare") for i in range(40, 48)] + [(i, "", "rare") for i in range(100, 2_100)]
+    rows += [(i, text("hijklmn", 60), None) for i in range(50, 55)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(docs, sample=10)
+    assert set(model.langs) == {"short", "long", "rare"}
+    got = {x["doc_id"]: x["lang_pred"] for x in langid.identify(docs.where("text <> ''"), model).collect()}
+    assert got == {i: lang or "long" for i, t, lang in rows if t}
+
+
 def test_revisits(spark):
     schema = "record_id bigint, kind string, url string, at bigint, etag string, last_modified string, digest string, headers map<string,string>"
     data = [(1, "response", "http://a.org/x", 10, '"t"', "m", "d1", {"A": "1", "Content-Length": "9"}), (2, "revisit", "https://www.A.org/x/#f", 20, 'W/"t"', None, None, {"a": "2", "Content-Length": "0"}),
