@@ -134,8 +134,11 @@ def _before_fan_out(spec: LoadSpec, groups: dict[str, list[str]]):
 
 
 def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
-             stamp: str | None = "exact") -> DataFrame:
-    """Build the staging frame of ``spec`` from named input frames (no action)."""
+             stamp: str | None = "exact", around_unpivot=None) -> DataFrame:
+    """Build the staging frame of ``spec`` from named input frames (no action).
+
+    ``around_unpivot(df, unpivot)``, if given, returns the frame after the unpivot in its place.
+    """
     missing = [n for n in spec.needs() if n not in inputs]
     if missing:
         raise KeyError(f"{spec.name}: missing inputs {missing}")
@@ -151,9 +154,13 @@ def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
         groups = {g: list(cols) for g, cols in u.groups}
         if u.mode == "cross":
             select, derive, key_hash = _before_fan_out(spec, groups)
-            df = unpivot_cross(df, u.key, groups, derive=derive, salt=u.salt)
+
+            def unpivot(x: DataFrame) -> DataFrame:
+                return unpivot_cross(x, u.key, groups, derive=derive, salt=u.salt)
         else:
-            df = unpivot_slots(df, u.key, groups, mode=u.mode)
+            def unpivot(x: DataFrame) -> DataFrame:
+                return unpivot_slots(x, u.key, groups, mode=u.mode)
+        df = around_unpivot(df, unpivot) if around_unpivot else unpivot(df)
     cols = [as_col(e).alias(n) for e, n in select]
     same = tuple(spec.hash_key) == tuple(spec.hash_diff)
     cols.append((F.col(key_hash) if key_hash else hash_of(*spec.hash_key)).alias("hash_key"))

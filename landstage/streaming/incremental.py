@@ -15,8 +15,11 @@ rows rather than duplicating them.
 
 A load that removes duplicates does so over all batches: the distinct keys of
 each batch are kept beside the checkpoint, and a batch only loads keys that no
-earlier batch had.  So the rows do not depend on how files arrive or how many
-of them a batch takes.
+earlier batch had.  The distinct rows that an unpivot makes are kept and compared
+in the same way; for a cross unpivot also each key's slots, so that its values of all
+batches are combined.  So the rows do not depend on how files arrive or how many
+of them a batch takes.  A checkpoint without these folders (of a load that kept none)
+cannot be continued: the next batch fails, and the load has to start anew.
 """
 
 from __future__ import annotations
@@ -49,27 +52,43 @@ def run_incremental(spark: SparkSession, spec: LoadSpec, landing_path: str, targ
     static = dict(dims or {})
     batches: list[int] = []
 
-    keys_root = f"{checkpoint.rstrip('/')}-keys"
+    beside = checkpoint.rstrip("/")
 
-    def fresh_keys(batch: DataFrame, batch_id: int) -> DataFrame:
-        """Distinct keys of this batch that no earlier batch had, written for later batches."""
-        keys = dedupe(batch, dedupe_columns(spec))
-        path = f"{keys_root}/batch_id={batch_id}"
+    def up_to(schema: StructType, root: str, batch_id: int) -> DataFrame:
+        """What the batches up to ``batch_id`` wrote below ``root``."""
+        rows = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).option("basePath", root).parquet(root)
+        return rows.where(F.col("batch_id") <= batch_id).drop("batch_id")
+
+    def unseen(rows: DataFrame, names: list[str], root: str, batch_id: int) -> DataFrame:
+        """The rows whose ``names`` no earlier batch had, written below ``root`` for later batches."""
+        path = f"{root}/batch_id={batch_id}"
         if batch_id:
-            seen = spark.read.schema(StructType([*keys.schema.fields, StructField("batch_id", LongType())])).option("basePath", keys_root).parquet(keys_root)
-            seen = seen.where(F.col("batch_id") < batch_id).select(*[F.col(f"`{c}`").alias(f"__seen_{c}") for c in keys.columns])
-            same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__seen_{c}`")) for c in keys.columns])
-            keys = keys.join(seen, same, "left_anti")
-        keys.write.mode("overwrite").parquet(path)
-        return spark.read.schema(keys.schema).parquet(path)
+            seen = up_to(rows.select(*[F.col(f"`{c}`") for c in names]).schema, root, batch_id - 1)
+            seen = seen.select(*[F.col(f"`{c}`").alias(f"__seen_{c}") for c in names])
+            same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__seen_{c}`")) for c in names])
+            rows = rows.join(seen, same, "left_anti")
+        rows.write.mode("overwrite").parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        def around_unpivot(df: DataFrame, unpivot) -> DataFrame:
+            u = spec.unpivot
+            if u.mode == "cross":
+                # a key's values of all batches so far are combined
+                root = f"{beside}-slots"
+                slots = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([u.key, *(c for _, cols in u.groups for c in cols)])]).distinct()
+                slots.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+                own = spark.read.schema(slots.schema).parquet(f"{root}/batch_id={batch_id}").select(F.col(f"`{u.key}`"))
+                df = up_to(slots.schema, root, batch_id).join(own.distinct(), u.key, "left_semi")
+            return unseen(unpivot(df), [u.key, *(g for g, _ in u.groups)], f"{beside}-rows", batch_id)
+
         inputs = dict(static)
         once = spec
         if spec.dedupe is not None:
-            batch, once = fresh_keys(batch, batch_id), dataclasses.replace(spec, dedupe=None)
+            keys = dedupe(batch, dedupe_columns(spec))
+            batch, once = unseen(keys, keys.columns, f"{beside}-keys", batch_id), dataclasses.replace(spec, dedupe=None)
         inputs[spec.source] = batch
-        out = run_load(once, inputs, at=at, stamp=stamp)
+        out = run_load(once, inputs, at=at, stamp=stamp, around_unpivot=around_unpivot)
         out.write.mode("overwrite").format(target_format).save(f"{target_path.rstrip('/')}/batch_id={batch_id}")
         batches.append(batch_id)
 

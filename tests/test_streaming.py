@@ -1,4 +1,7 @@
+import pytest
+
 from landstage.plans import model as M
+from landstage.plans.spec import LoadSpec, Unpivot
 from landstage.streaming import run_incremental
 
 
@@ -46,3 +49,36 @@ def test_rows_do_not_depend_on_files_per_batch(spark, tmp_path):
         assert batches == {None: 1, 1: 3, 2: 2}[n]
         got.append(sorted((tuple(r) for r in spark.read.parquet(out).drop("batch_id").collect()), key=repr))
     assert got[0] == got[1] == got[2] and len(got[0]) == 3
+
+
+@pytest.mark.parametrize("mode", ["positional", "cross"])
+@pytest.mark.parametrize("dedupe", [None, ("id_number", "first_name", "last_name", "a_1", "a_2", "b_1", "b_2")])
+def test_unpivoted_rows_do_not_depend_on_files_per_batch(spark, tmp_path, mode, dedupe):
+    spec = LoadSpec(name="slots", source="landing", target="t", source_table="landing", dedupe=dedupe,
+                    unpivot=Unpivot("id_number", (("a", ("a_1", "a_2")), ("b", ("b_1", "b_2"))), mode=mode),
+                    select=(("id_number", "id_number"), ("a", "a"), ("upper(b)", "b")), hash_key=("id_number",), hash_diff=("id_number", "a", "b"))
+    schema = ", ".join(f"{c} string" for c in ("id_number", "first_name", "last_name", "a_1", "a_2", "b_1", "b_2"))
+    landing = str(tmp_path / "landing")
+    same = ("1", "Ann", "X", "p", "q", "r", "s")
+    for rows in ([same, ("2", "Bo", "Y", "p", None, None, "s")], [same], [("1", "Anna", "X", "p", "q", "r", "s"), ("2", "Bo", "Y", "u", None, "v", None), same]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(landing, mode="append")
+    got = []
+    for n in (None, 1, 2):
+        out = str(tmp_path / f"out{n}")
+        batches = run_incremental(spark, spec, landing, out, str(tmp_path / f"ckpt{n}"), stamp=None, max_files_per_batch=n)
+        assert batches == {None: 1, 1: 3, 2: 2}[n]
+        got.append(sorted((tuple(r) for r in spark.read.parquet(out).drop("batch_id").collect()), key=repr))
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(set(got[0]))
+
+
+def test_beneficiaries_do_not_depend_on_files_per_batch(spark, tmp_path):
+    names = ["first_name", "last_name", "id_number", *(c for _, cols in M.MEMBER_BENEFICIARY.unpivot.groups for c in cols)]
+    row = tuple("1" if c == "id_number" else c if not c.startswith("beneficiary") or c.endswith("_1") else None for c in names)
+    landing = str(tmp_path / "landing")
+    for _ in range(2):
+        spark.createDataFrame([row], ", ".join(f"{c} string" for c in names)).coalesce(1).write.parquet(landing, mode="append")
+    dims = {M.STG_MEMBER: spark.createDataFrame([("first_name", "last_name", "1")], "first_name string, last_name string, id_number string")}
+    for n in (None, 1):
+        out = str(tmp_path / f"out{n}")
+        run_incremental(spark, M.MEMBER_BENEFICIARY, landing, out, str(tmp_path / f"ckpt{n}"), dims=dims, stamp=None, max_files_per_batch=n)
+        assert spark.read.parquet(out).count() == 1
