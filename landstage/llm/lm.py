@@ -18,7 +18,7 @@ Counts are tables partitioned by hash, and documents' n-grams are joined to them
 4. The buckets' partial sums are added per document.
 
 The exchanges carry packed arrays, one row per batch and bucket; the number of buckets
-follows ``spark.sql.shuffle.partitions``.  Words are named by 56-bit fingerprints.
+grows with the corpus (``BUCKET_WORDS``) and is at least ``spark.sql.shuffle.partitions``.  Words are named by 56-bit fingerprints.
 
 Defined results: words are lower-cased (A-Z) runs without white space.  A text without words (null,
 empty) has n_words 0 and null scores.  The rows of one id (null ids too) are scored
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstage.llm import common as C
@@ -44,6 +44,7 @@ BATCH_WORDS = 500_000
 BATCH_DOCS = 60_000
 PART_BYTES = 1_000_000   # packed bytes that a bucket unpacks at a time
 BUCKETS = 64            # at least
+BUCKET_WORDS = 1_000_000  # words of the corpus for each bucket
 
 _NO_ID = np.iinfo(np.int64).min
 _PAIR = np.uint64(0x9FB21C651E98DF25)
@@ -356,11 +357,16 @@ def summed(rows: DataFrame) -> DataFrame:
     return flat.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("s").alias("total"))
 
 
+def buckets_for(spark: SparkSession, total: int) -> int:
+    """A bucket for every BUCKET_WORDS words, so that what a task holds does not grow with the corpus."""
+    return max(BUCKETS, C.shuffle_partitions(spark), -(-total // BUCKET_WORDS))
+
+
 def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:
     """doc_id, n_words, log10_total and log10_mean (per word) of every document under the corpus's own model."""
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = max(BUCKETS, C.shuffle_partitions(docs.sparkSession))
     top = frequent(d, share)
+    buckets = buckets_for(docs.sparkSession, top.total)
     counted = counted_pairs(packed_pairs(d, top, buckets), top, buckets)
     out = summed(answered(counted, max(top.total, 1)))
     total = F.when(F.col("n_words") > 0, F.col("total"))

@@ -145,6 +145,14 @@ def test_suffix(spark):
     assert suffix.without_repeats(empty_docs(spark)).collect() == []
 
 
+def test_suffix_buckets_grow_with_the_input(spark, monkeypatch):
+    docs = edge_docs(spark).where("doc_id <> 6")
+    want = sorted(map(tuple, suffix.without_repeats(docs).collect()), key=repr)
+    monkeypatch.setattr(suffix, "BUCKET_BYTES", 16)
+    assert suffix.buckets_for(docs) > 300 and suffix.buckets_for(empty_docs(spark)) == max(suffix.BUCKETS, 8)
+    assert sorted(map(tuple, suffix.without_repeats(docs).collect()), key=repr) == want
+
+
 def test_language_model(spark):
     rows = lm.backoff_scores(edge_docs(spark)).collect()
     assert ids(rows) == sorted({*ALL_IDS} - {None}) + [None]
@@ -164,6 +172,15 @@ def test_language_model_after_many_empty_texts(spark):
     assert all(got[d]["n_words"] == r["n_words"] and got[d]["log10_total"] == pytest.approx(r["log10_total"]) for d, r in want.items())
 
 
+def test_language_model_buckets_grow_with_the_corpus(spark, monkeypatch):
+    assert lm.buckets_for(spark, 5_000 * lm.BUCKET_WORDS) == 5_000
+    docs = edge_docs(spark).where("doc_id <> 6")
+    want = {r["doc_id"]: r["log10_total"] for r in lm.backoff_scores(docs).collect()}
+    monkeypatch.setattr(lm, "BUCKET_WORDS", 1)
+    got = {r["doc_id"]: r["log10_total"] for r in lm.backoff_scores(docs).collect()}
+    assert got.keys() == want.keys() and all(got[d] == (None if x is None else pytest.approx(x)) for d, x in want.items())
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages(spark, tmp_path, name, stage):
     spark.createDataFrame([(1, "no such words here " * 5)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
