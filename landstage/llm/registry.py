@@ -1,4 +1,4 @@
-"""Queries of the ten operators and their SQL, for the driver contract.
+"""Queries of the operators and their SQL, for the driver contract.
 
 ``queries()`` maps a name to a callable (spark, sf_dir) -> DataFrame; every query
 runs over its whole table.  ``oracle_sql()`` has DuckDB SQL where SQL can express
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstage.llm import decontam as D
+from landstage.llm import exact as E
 from landstage.llm import langid as L
 from landstage.llm import lm as N
 from landstage.llm import minhash as M
@@ -76,6 +77,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", *(F.round(c, 4).alias(c) for c in ("log10_total", "log10_mean")))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.exact_duplicates(table(spark, sf_dir, "documents")).drop("n_bytes", "fp")
+
+
 #: Words of a text, as a DuckDB expression.
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 SQL_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -208,6 +213,12 @@ SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(span.n, 0)::BIGIN
 FROM d LEFT JOIN span USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+OP13_SQL = f"""
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce({SQL_LOWER}, '') AS t FROM documents)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -219,6 +230,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scores": op10_lm_scores,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -229,6 +241,7 @@ SQL: dict[str, str] = {
     "op8_quality_rules": OP8_SQL,
     "op9_suffix_dedup": OP9_SQL,
     "op10_lm_scores": OP10_SQL,
+    "op13_exact_dedup": OP13_SQL,
 }
 
 
