@@ -16,6 +16,7 @@ from landstage.llm import decontam as D
 from landstage.llm import exact as E
 from landstage.llm import langid as L
 from landstage.llm import lm as N
+from landstage.llm import merkle as K
 from landstage.llm import minhash as M
 from landstage.llm import mixing as X
 from landstage.llm import pii as P
@@ -77,6 +78,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", *(F.round(c, 4).alias(c) for c in ("log10_total", "log10_mean")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.digests(K.manifest(table(spark, sf_dir, "documents")))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.exact_duplicates(table(spark, sf_dir, "documents")).drop("n_bytes", "fp")
 
@@ -213,6 +218,55 @@ SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(span.n, 0)::BIGIN
 FROM d LEFT JOIN span USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+
+
+def sql_crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, as a DuckDB expression."""
+    byte = "list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT), lambda c, b: {byte}), 4294967295)"
+
+
+def _sql_climb(name: str, first: str, levels: int) -> str:
+    """Levels {name}0 .. of a forest (g, i, n, h) and what lies left and right of each node on its level."""
+    out = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS (SELECT g, i // {K.RUN} AS i, max(n + {K.RUN - 1}) // {K.RUN} AS n,
+            CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} GROUP BY g, i // {K.RUN})""")
+        out.append(f"""{name}s{k} AS (SELECT a.g, a.i, a.n, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+            coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r FROM {name}{k} a JOIN {name}{k} b ON a.g = b.g AND a.i // {K.RUN} = b.i // {K.RUN} GROUP BY ALL)""")
+    return ",\n".join(out)
+
+
+def _sql_fold(name: str, start: str, levels: int) -> str:
+    """{name}f{levels}: every row of ``start`` (place i, group g, digest f, proof p) folded through the forest."""
+    out, at = [], start
+    for k in range(levels):
+        out.append(f"""{name}f{k + 1} AS (SELECT x.* EXCLUDE (f, p), CASE WHEN s.n > 1 THEN sha256(s.l || x.f || s.r) ELSE x.f END AS f,
+            CASE WHEN s.n > 1 THEN x.p || s.l || s.r ELSE x.p END AS p FROM {at} x JOIN {name}s{k} s ON s.g = x.g AND s.i = x.i // {K.RUN ** k})""")
+        at = f"{name}f{k + 1}"
+    return ",\n".join(out)
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: Levels that the SQL unrolls: 8 ** 7 rows of a language, 8 ** 3 languages.
+_DOWN, _UP = 7, 3
+OP11_SQL = f"""
+WITH leaves AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, {_sql_leaf("text")} AS h,
+    CASE WHEN {sql_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_sql_leaf(SQL_LOWER)} END AS t FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+{_sql_climb("d", "SELECT g, i, n, h FROM placed", _DOWN)},
+{_sql_climb("u", f"SELECT 0 AS g, g AS i, count(*) OVER () AS n, h FROM d{_DOWN}", _UP)},
+start AS (SELECT *, coalesce(t, h) AS f, '' AS p FROM placed),
+{_sql_fold("d", "start", _DOWN)},
+middle AS (SELECT * EXCLUDE (g, i), 0 AS g, g AS i, g AS lang_rank FROM df{_DOWN}),
+{_sql_fold("u", "middle", _UP)}
+SELECT f.doc_id, f.h AS leaf, s.h AS subroot, r.h AS root, sha256(f.p) AS proof_sha256, f.f AS folded_root, f.f = r.h AS verified
+FROM uf{_UP} f JOIN d{_DOWN} s ON s.g = f.lang_rank CROSS JOIN u{_UP} r
+"""
+
 OP13_SQL = f"""
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
@@ -230,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scores": op10_lm_scores,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -241,6 +296,7 @@ SQL: dict[str, str] = {
     "op8_quality_rules": OP8_SQL,
     "op9_suffix_dedup": OP9_SQL,
     "op10_lm_scores": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
 
