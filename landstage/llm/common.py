@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landstage.operators.records import _pickle_package_by_value
@@ -215,3 +216,20 @@ def sampled(df: DataFrame, key: str, most: int, total: int) -> DataFrame:
     return df.where(order < int(share * (1 << 40)) + 1).orderBy(order, F.col(key)).limit(most)
 
 
+def numbered(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """rows with ``pos`` (place in the group, from 0) and ``n`` (rows of the group).
+
+    A range sort, the counts of each (group, partition), and their running sums: at most one
+    count per partition and group boundary is ever in a window.
+    """
+    at = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *group, *order).sortWithinPartitions(*group, *order)
+    at = materialise(at.withColumn("at", F.monotonically_increasing_id()), "sorted").withColumn("part", F.shiftright("at", 33))
+    keys = [F.col(g).alias(f"_{g}") for g in group]
+    count = at.groupBy(*keys, F.col("part").alias("_part")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("m"))
+    own = W.partitionBy(*[f"_{g}" for g in group]) if group else W.partitionBy(F.lit(0))
+    upto = F.sum("m").over(own.orderBy("_part").rowsBetween(W.unboundedPreceding, W.currentRow))
+    count = count.withColumns({"before": upto - F.col("m"), "n": F.sum("m").over(own)})
+    same = F.col("part") == F.col("_part")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return at.join(count, same).select(*rows.columns, (F.col("before") + F.col("at") - F.col("first")).alias("pos"), "n")

@@ -31,7 +31,6 @@ import hashlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landstage.llm import common as C
@@ -62,25 +61,6 @@ def marked(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 0, F.lit(False))
 
 
-def numbered(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """rows with ``pos`` (place in the group, from 0) and ``n`` (rows of the group).
-
-    A range sort, the counts of each (group, partition), and their running sums: at most one
-    count per partition and group boundary is ever in a window.
-    """
-    at = rows.repartitionByRange(C.shuffle_partitions(rows.sparkSession), *group, *order).sortWithinPartitions(*group, *order)
-    at = C.materialise(at.withColumn("at", F.monotonically_increasing_id()), "sorted").withColumn("part", F.shiftright("at", 33))
-    keys = [F.col(g).alias(f"_{g}") for g in group]
-    count = at.groupBy(*keys, F.col("part").alias("_part")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("m"))
-    own = W.partitionBy(*[f"_{g}" for g in group]) if group else W.partitionBy(F.lit(0))
-    upto = F.sum("m").over(own.orderBy("_part").rowsBetween(W.unboundedPreceding, W.currentRow))
-    count = count.withColumns({"before": upto - F.col("m"), "n": F.sum("m").over(own)})
-    same = F.col("part") == F.col("_part")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    return at.join(count, same).select(*rows.columns, (F.col("before") + F.col("at") - F.col("first")).alias("pos"), "n")
-
-
 def _level_up(nodes: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.floor((F.size(nodes) - 1) / RUN).cast("int")),
                        lambda i: F.sha2(F.array_join(F.slice(nodes, i * RUN + 1, RUN), ""), 256))
@@ -176,8 +156,8 @@ def manifest(docs: DataFrame, changes=lowered, changed=marked, group_col: str =
     kept, other = [F.col(f) for f in fields], [changes(f, F.col(f)) for f in fields]
     leaves = C.materialise(docs.select(F.col(group_col).alias("lang"), F.col(id_col).alias("doc_id"), leaf_hash(*kept).alias("hash"),
                                        F.when(changed(F.col(id_col)), leaf_hash(*other)).alias("changed"), F.monotonically_increasing_id().alias("tie")), "leaves")
-    lower = forests(C.materialise(numbered(leaves, ["lang"], ["doc_id", "hash", "tie"]).drop("tie"), "numbered"), ["lang"])
-    upper = forests(C.materialise(numbered(lower[-1].select("lang", "hash"), [], ["lang"]), "subroots"), [])
+    lower = forests(C.materialise(C.numbered(leaves, ["lang"], ["doc_id", "hash", "tie"]).drop("tie"), "numbered"), ["lang"])
+    upper = forests(C.materialise(C.numbered(lower[-1].select("lang", "hash"), [], ["lang"]), "subroots"), [])
     root = upper[-1].select("hash").first()
     root = F.lit(root[0] if root else None).cast("string")
 

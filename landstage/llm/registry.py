@@ -21,6 +21,7 @@ from landstage.llm import minhash as M
 from landstage.llm import mixing as X
 from landstage.llm import pii as P
 from landstage.llm import quality as Q
+from landstage.llm import repair as G
 from landstage.llm import repetition as R
 from landstage.llm import suffix as S
 from landstage.llm import warc as V
@@ -82,6 +83,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.digests(K.manifest(table(spark, sf_dir, "documents")))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.repaired(G.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.exact_duplicates(table(spark, sf_dir, "documents")).drop("n_bytes", "fp")
 
@@ -267,6 +272,38 @@ SELECT f.doc_id, f.h AS leaf, s.h AS subroot, r.h AS root, sha256(f.p) AS proof_
 FROM uf{_UP} f JOIN d{_DOWN} s ON s.g = f.lang_rank CROSS JOIN u{_UP} r
 """
 
+_SQL_BLANK = r"[\x20\x09-\x0D]"
+#: Edits in ASCII order are tried as (cost, letters); a state keeps its least pair per row.
+OP12_SQL = rf"""
+WITH RECURSIVE ins(f, t, c, l) AS (VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'), (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {sql_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k FROM conversations),
+dam AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE k <> 0),
+r AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    regexp_replace(text, '{_SQL_BLANK}', '', 'g') AS t FROM dam WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+s AS (SELECT *, t = '' AS blank, t <> '' AND nth > 1 AS dup, t <> '' AND nth = 1 AND right(t, 1) NOT IN ('.', '!', '?') AS cut, left(role, 1) AS a FROM r),
+pair AS (SELECT *, lag(a) OVER (PARTITION BY conv_id ORDER BY i) || a AS pr FROM s),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS dup, count(*) FILTER (cut) AS cut,
+    count(*) FILTER (pr NOT IN ('su', 'ua', 'au')) AS bad, max(i) AS n FROM pair GROUP BY conv_id),
+step AS (SELECT conv_id, i, x.f, x.t, x.c, x.l FROM s, LATERAL (
+    SELECT f, f AS t, 3 AS c, 'D' AS l FROM (VALUES (0), (1), (2), (3)) v(f)
+    UNION ALL SELECT f, t, 2 + cut::INT, 'R' FROM (VALUES (0, 2), (1, 2), (2, 3), (3, 2)) v(f, t) WHERE NOT (blank OR dup)
+    UNION ALL SELECT f, t, cut::INT, 'K' FROM (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)) v(b, f, t) WHERE NOT (blank OR dup) AND b = a) x),
+way AS (SELECT conv_id, 0::BIGINT AS i, 0 AS state, {{'c': 0, 'l': ''}} AS best FROM sums
+  UNION ALL SELECT w.conv_id, w.i + 1, p.t, min({{'c': best.c + ins.c + p.c, 'l': best.l || ins.l || p.l}}) FROM way w JOIN ins ON ins.f = w.state
+    JOIN step p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.i = w.i + 1 AND p.f = ins.t GROUP BY w.conv_id, w.i + 1, p.t),
+fin AS (SELECT w.conv_id, min({{'c': best.c + ins.c, 'l': best.l || ins.l}}) AS best FROM way w JOIN sums u ON u.conv_id IS NOT DISTINCT FROM w.conv_id AND u.n = w.i JOIN ins ON ins.f = w.state WHERE ins.t IN (0, 3) GROUP BY w.conv_id),
+letter AS (SELECT conv_id, p, substr(best.l, p, 1) AS l FROM (SELECT conv_id, best, unnest(range(1, length(best.l) + 1)) AS p FROM fin)),
+numbered AS (SELECT *, count(*) FILTER (l <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM letter),
+kept AS (SELECT m.conv_id, p, l, CASE WHEN l <> 'I' THEN s.role END AS role, CASE WHEN l <> 'I' THEN s.text ELSE '' END AS text FROM numbered m LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM m.conv_id AND s.i = m.i WHERE l <> 'D'),
+sides AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY p) - CASE WHEN first_value(l = 'K' AND left(role, 1) = 's') OVER (PARTITION BY conv_id ORDER BY p) THEN 1 ELSE 0 END AS q FROM kept),
+line AS (SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN role WHEN q % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS body FROM sides GROUP BY conv_id)
+SELECT o.conv_id, coalesce(u.gaps, 0)::BIGINT AS gaps, coalesce(u.blank, 0)::BIGINT AS blank, coalesce(u.dup, 0)::BIGINT AS duplicate, coalesce(u.cut, 0)::BIGINT AS truncated, coalesce(u.bad, 0)::BIGINT AS illegal,
+  coalesce(f.best.c, 0)::BIGINT AS cost, coalesce(f.best.l, '') AS audit, sha256(coalesce(line.body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums u ON u.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN fin f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN line ON line.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 OP13_SQL = f"""
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
@@ -285,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scores": op10_lm_scores,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -297,6 +335,7 @@ SQL: dict[str, str] = {
     "op9_suffix_dedup": OP9_SQL,
     "op10_lm_scores": OP10_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
 
