@@ -280,7 +280,7 @@ c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS
 dam AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
     unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE k <> 0),
 r AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
-    regexp_replace(text, '{_SQL_BLANK}', '', 'g') AS t FROM dam WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+    regexp_replace(text, '{_SQL_BLANK}', '', 'g') AS t FROM dam WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy)),
 s AS (SELECT *, t = '' AS blank, t <> '' AND nth > 1 AS dup, t <> '' AND nth = 1 AND right(t, 1) NOT IN ('.', '!', '?') AS cut, left(role, 1) AS a FROM r),
 pair AS (SELECT *, lag(a) OVER (PARTITION BY conv_id ORDER BY i) || a AS pr FROM s),
 sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS dup, count(*) FILTER (cut) AS cut,

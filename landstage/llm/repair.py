@@ -18,7 +18,7 @@ one batch at a time.
 
 Nulls and special cases: a null role or text counts as one space (a space is a blank text and
 a role of no class); null turns come first; null conversation ids are one conversation.  Rows
-of the same turn are ordered by role and text.  A conversation without rows has zeros, an
+of the same turn are ordered by role, then by the digest of role and text.  A conversation without rows has zeros, an
 empty audit and the empty text's hash.  An empty table has no rows.  Other columns are not
 read.
 """
