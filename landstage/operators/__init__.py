@@ -4,12 +4,12 @@ from landstage.operators.lookup import chain, lookup
 from landstage.operators.nesting import (apply_mapping, explode_field, relationalize,
                                          resolve_choice, row_id)
 from landstage.operators.records import map_columns, map_records
-from landstage.operators.unpivot import (explode_values, slot_names, unpivot_cross,
-                                         unpivot_positional, unpivot_slots)
+from landstage.operators.unpivot import (combinations, explode_values, heavy_keys, slot_names, unpivot_cross,
+                                         unpivot_factored, unpivot_positional, unpivot_slots)
 
 __all__ = [
-    "apply_mapping", "chain", "dedupe", "explode_field", "explode_values",
-    "id_from_hash", "lookup", "map_columns", "map_records", "relationalize", "resolve_choice",
-    "row_id", "slot_names", "unpivot_cross", "unpivot_positional", "unpivot_slots",
+    "apply_mapping", "chain", "combinations", "dedupe", "explode_field", "explode_values",
+    "heavy_keys", "id_from_hash", "lookup", "map_columns", "map_records", "relationalize", "resolve_choice",
+    "row_id", "slot_names", "unpivot_cross", "unpivot_factored", "unpivot_positional", "unpivot_slots",
     "with_surrogate_id",
 ]

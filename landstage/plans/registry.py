@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ from pyspark.sql import types as T
 from landstage.functions import (audit_columns, clock12, format_ts, hash_of, parse_date, second_trunc,
                                  to_decimal, to_double, to_int)
 from landstage.functions.text import chop_prefix
-from landstage.operators import (apply_mapping, dedupe, explode_values, lookup,
+from landstage.operators import (apply_mapping, combinations, dedupe, explode_values, lookup,
                                  map_columns, map_records, relationalize, resolve_choice,
-                                 unpivot_cross, unpivot_positional)
+                                 unpivot_cross, unpivot_factored, unpivot_positional)
 from landstage.plans import model as M
 from landstage.plans.cleaning import clean_and_nest, flatten
 from landstage.plans.skeletons import (explode_encode, relationalize_encode, select_rename_stamp,
@@ -580,6 +581,25 @@ def q_unpivot_cross(spark, d):
     return unpivot_cross(_slots(spark, d), "l_orderkey", _GROUPS)
 
 
+@register("unpivot_factored", f"""WITH w AS ({_SLOTS_SQL}),
+f AS (SELECT DISTINCT l_orderkey, v FROM (SELECT l_orderkey, unnest([flag_1, flag_2]) AS v FROM w) u),
+b AS (SELECT DISTINCT l_orderkey, v FROM (SELECT l_orderkey, unnest([band_1, band_2]) AS v FROM w) u),
+fs AS (SELECT l_orderkey, string_agg(coalesce(v, '-'), ',' ORDER BY coalesce(v, '-')) AS flags, count(*) AS n FROM f GROUP BY 1),
+bs AS (SELECT l_orderkey, string_agg(coalesce(v, '-'), ',' ORDER BY coalesce(v, '-')) AS bands, count(*) AS n FROM b GROUP BY 1)
+SELECT l_orderkey, flags, bands, CAST(fs.n * bs.n AS DOUBLE) AS n_rows FROM fs JOIN bs USING (l_orderkey)""")
+def q_unpivot_factored(spark, d):
+    """The value sets of every key, and how many combinations they stand for."""
+    sets = unpivot_factored(_slots(spark, d), "l_orderkey", _GROUPS)
+    shown = [F.array_join(F.array_sort(F.transform(g, lambda x: F.coalesce(x, F.lit("-")))), ",").alias(f"{g}s") for g in _GROUPS]
+    return sets.select("l_orderkey", *shown, combinations(list(_GROUPS)).alias("n_rows"))
+
+
+@register("unpivot_cross_load", _beneficiary_sql(cross=True))
+def q_unpivot_cross_load(spark, d):
+    """The beneficiary load in the legacy layout: all combinations of a member's slot values."""
+    return _load(M.MEMBER_BENEFICIARY_CROSS, spark, d)
+
+
 @register("unpivot_positional", f"""WITH w AS ({_SLOTS_SQL})
 SELECT DISTINCT l_orderkey, flag, band FROM (
   SELECT l_orderkey, flag_1 AS flag, band_1 AS band FROM w
@@ -824,22 +844,40 @@ def q_sink_parquet_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
-_COPY_SQL = " UNION ALL ".join(
-    f"SELECT '{t}.parquet' AS source_path, {k} AS k, {v} AS v FROM {t}"
-    for t, k, v in (("customer", "c_custkey", "c_name"), ("orders", "o_orderkey", "o_orderpriority"), ("part", "p_partkey", "p_name"),
-                    ("documents", "doc_id", "text"))) \
-    + " UNION ALL SELECT f.file_name, f.n_rows, NULL FROM (" + _FILE_COUNTS_SQL + ") f"
+# The test tables' columns by kind: i whole numbers, s texts, f fractions, t times, v vectors.
+_COLUMNS = {
+    "region": "r_regionkey:i r_name:s", "nation": "n_nationkey:i n_name:s n_regionkey:i",
+    "customer": "c_custkey:i c_name:s c_nationkey:i c_acctbal:f c_mktsegment:s", "supplier": "s_suppkey:i s_name:s s_nationkey:i s_acctbal:f",
+    "part": "p_partkey:i p_name:s p_brand:s p_type:s p_size:i p_retailprice:f",
+    "orders": "o_orderkey:i o_custkey:i o_orderstatus:s o_totalprice:f o_orderdate:t o_orderpriority:s",
+    "lineitem": "l_orderkey:i l_partkey:i l_suppkey:i l_linenumber:i l_quantity:f l_extendedprice:f l_discount:f l_tax:f l_returnflag:s l_linestatus:s l_shipdate:t",
+    "events": "event_id:i ts:t user_id:i event_type:s value:f props:s", "documents": "doc_id:i text:s lang:s source:s n_chars:i",
+    "embeddings": "vec_id:i embedding:v label:i", "pages": "page_id:i url:s html:s", "benchmark": "item_id:i text:s",
+    "labels": "doc_id:i quality:i toxic:i", "conversations": "conv_id:i turn:i role:s text:s",
+}
+_SPARK_TEXT = {"i": "cast({c} as string)", "s": "{c}", "f": "cast(cast(floor({c} * 1000) as bigint) as string)", "t": "date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+               "v": "array_join(transform({c}, x -> cast(cast(floor(cast(x as double) * 1000) as bigint) as string)), ',')"}
+_DUCK_TEXT = {"i": "CAST({c} AS VARCHAR)", "s": "{c}", "f": "CAST(CAST(floor({c} * 1000) AS BIGINT) AS VARCHAR)", "t": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')",
+              "v": "array_to_string(list_transform({c}, lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR)), ',')"}
+
+
+def _row_text(name: str, kinds: dict[str, str]) -> str:
+    """All values of a row of a test table as one text."""
+    return "concat_ws('|', " + ", ".join(f"coalesce({kinds[k].format(c=c)}, '-')" for c, _, k in (x.partition(":") for x in _COLUMNS[name].split())) + ")"
+
+
+_COPY_SQL = " UNION ALL ".join(f"SELECT '{t}.parquet' AS source_path, md5({_row_text(t, _DUCK_TEXT)}) AS row_md5 FROM {t}" for t in TABLES)
 
 
 @register("copy_parquet_tree", _COPY_SQL)
 def q_copy_parquet_tree(spark, d):
-    """The values of four tables of the copy, and the row count of every file."""
+    """Every row of every table, read from the copied tree; the copied files are those of the copy's manifest."""
     dst = scratch_path(spark, "copy")
     copied = copy_parquet_tree(spark, d, dst)
-    values = copied.select("source_path", F.coalesce("c_custkey", "o_orderkey", "p_partkey", F.when(F.col("source_path") == "documents.parquet", F.col("doc_id"))).alias("k"),
-                           F.coalesce("c_name", "o_orderpriority", "p_name", F.when(F.col("source_path") == "documents.parquet", F.col("text"))).alias("v")) \
-        .where(F.col("source_path").isin("customer.parquet", "orders.parquet", "part.parquet", "documents.parquet"))
-    return values.union(copied.groupBy("source_path").agg(F.count(F.lit(1)), F.lit(None).cast("string")))
+    names = F.regexp_extract("relative", "^([^/]+)", 1)
+    files = copied.where("copied = length").select(names.alias("source_path")).distinct()
+    rows = [spark.read.parquet(f"{dst}/{t}.parquet").select(F.lit(f"{t}.parquet").alias("source_path"), F.expr(f"md5({_row_text(t, _SPARK_TEXT)})").alias("row_md5")) for t in TABLES]
+    return reduce(DataFrame.union, rows).join(files, "source_path", "left_semi")
 
 
 @register("incremental_dim_agent", ORACLES["dim_agent"])

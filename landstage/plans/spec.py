@@ -53,7 +53,7 @@ class Unpivot:
     key: str
     groups: tuple[tuple[str, tuple[str, ...]], ...]
     mode: str = "positional"
-    salt: int = 8                              # cross mode: buckets a hot key is spread over
+    spread: int = 1_000_000                    # cross mode: most combinations of a key made by one task
 
 
 @dataclass(frozen=True)
@@ -110,8 +110,8 @@ _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 def _before_fan_out(spec: LoadSpec, groups: dict[str, list[str]]):
     """Split the select list of a cross-unpivot load into expressions that
-    depend on the key or on one group only (evaluated per (key, value) before
-    the joins) and the rest; likewise a hash_key over key columns only."""
+    depend on the key or on one group only (evaluated before the other groups
+    are combined) and the rest; likewise a hash_key over key columns only."""
     key = spec.unpivot.key
     names = set(groups) | {key}
     derive: dict[str, dict] = {}
@@ -156,7 +156,7 @@ def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
             select, derive, key_hash = _before_fan_out(spec, groups)
 
             def unpivot(x: DataFrame) -> DataFrame:
-                return unpivot_cross(x, u.key, groups, derive=derive, salt=u.salt)
+                return unpivot_cross(x, u.key, groups, derive=derive, spread=u.spread)
         else:
             def unpivot(x: DataFrame) -> DataFrame:
                 return unpivot_slots(x, u.key, groups, mode=u.mode)

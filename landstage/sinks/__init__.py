@@ -1,5 +1,6 @@
-from landstage.sinks.writers import (copy_parquet_tree, json_documents, write_jdbc, write_json,
+from landstage.sinks.trees import copy_files, copy_parquet_tree
+from landstage.sinks.writers import (json_documents, write_jdbc, write_json,
                                      write_parquet, write_table)
 
-__all__ = ["copy_parquet_tree", "json_documents", "write_jdbc", "write_json", "write_parquet",
+__all__ = ["copy_files", "copy_parquet_tree", "json_documents", "write_jdbc", "write_json", "write_parquet",
            "write_table"]

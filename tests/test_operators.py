@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from landstage.functions import hash_of
 from landstage.operators import (apply_mapping, dedupe, explode_field, lookup, map_columns,
-                                 map_records, relationalize, resolve_choice, row_id, unpivot_cross,
+                                 map_records, relationalize, resolve_choice, row_id, combinations, unpivot_cross, unpivot_factored,
                                  unpivot_positional, with_surrogate_id)
 
 
@@ -121,10 +121,40 @@ def test_unpivot_cross_is_product_of_distinct_values(slot_frame):
     assert all(r[0] is not None for r in got)
 
 
-def test_unpivot_cross_is_the_same_for_any_salt(slot_frame):
-    plain = rows(unpivot_cross(slot_frame, "m", SLOTS, salt=1), "m", "name", "rel")
-    for salt in (2, 8, 64):
-        assert rows(unpivot_cross(slot_frame, "m", SLOTS, salt=salt), "m", "name", "rel") == plain
+def test_unpivot_cross_is_the_same_for_any_bound(slot_frame):
+    plain = rows(unpivot_cross(slot_frame, "m", SLOTS), "m", "name", "rel")
+    for over in (1, 2, 1000):
+        for spread in (1, 2, 5, 1000):
+            assert rows(unpivot_cross(slot_frame, "m", SLOTS, over=over, spread=spread), "m", "name", "rel") == plain
+
+
+def test_factored_row_has_a_set_per_group(slot_frame):
+    got = {r["m"]: (set(r["name"]), set(r["rel"]), r["n"]) for r in unpivot_factored(slot_frame, "m", SLOTS).withColumn("n", combinations(list(SLOTS))).collect()}
+    assert got == {"m1": ({"Ann", "Bob", None}, {"SPOUSE", "CHILD", None}, 9), "m2": ({None}, {None}, 1)}
+
+
+def test_buckets_of_a_heavy_key_are_disjoint_and_complete(spark):
+    """Two wide groups and a narrow one: a grid of buckets, none much wider than ``over``."""
+    df = spark.range(3000).select((F.col("id") % 2).alias("m"), F.when(F.col("id") % 2 == 0, F.col("id") % 400).alias("a"), (F.col("id") % 90).alias("b"), (F.col("id") % 3).alias("c"))
+    df = df.where("m = 0 or id < 50")
+    sets = unpivot_factored(df, "m", {"a": ["a"], "b": ["b"], "c": ["c"]}, over=30)
+    got = sets.where("m = 0").collect()
+    assert len(got) > 10 and max(max(len(r["a"]), len(r["b"])) for r in got) < 60
+    made = [(x, y, z) for r in got for x in r["a"] for y in r["b"] for z in r["c"]]
+    assert len(made) == len(set(made)) == 200 * 45 * 3
+    assert sets.where("m = 1").count() == 1                # 25 rows: not heavy, one row
+
+
+def test_unpivot_keeps_arrays_and_structs(spark):
+    df = spark.createDataFrame([("m", [1, 2], None, (1, "x"), (2, "y")), ("m", [1, 2], [3], (1, "x"), None)],
+                               "m string, a1 array<int>, a2 array<int>, s1 struct<p:int,q:string>, s2 struct<p:int,q:string>")
+    groups = {"a": ["a1", "a2"], "s": ["s1", "s2"]}
+    want = {(a, s) for a in ((1, 2), (3,), None) for s in ((1, "x"), (2, "y"), None)}
+    for over in (1, 100):
+        out = unpivot_cross(df, "m", groups, over=over)
+        assert out.schema["a"].dataType == df.schema["a1"].dataType and out.schema["s"].dataType == df.schema["s1"].dataType
+        got = [(r["a"] and tuple(r["a"]), r["s"] and tuple(r["s"])) for r in out.collect()]
+        assert set(got) == want and len(got) == 9
 
 
 def test_unpivot_positional_keeps_slots_aligned(slot_frame):

@@ -71,7 +71,7 @@ def test_chop_prefix_stays_in_codegen(spark):
     assert "EvalPython" not in p and "[codegen id" in p
 
 
-def test_cross_unpivot_reuses_the_parent_exchange(spark):
+def test_cross_unpivot_shuffles_its_parent_once(spark):
     base = spark.range(2000).select((F.col("id") % 100).alias("m"),
                                     (F.col("id") % 3).cast("string").alias("a1"),
                                     (F.col("id") % 5).cast("string").alias("a2"),
@@ -79,7 +79,18 @@ def test_cross_unpivot_reuses_the_parent_exchange(spark):
                                     F.lit(None).cast("string").alias("b2"))
     parent = dedupe(base, ["m", "a1", "a2", "b1", "b2"])
     out = unpivot_cross(parent, "m", {"a": ["a1", "a2"], "b": ["b1", "b2"]})
-    assert "ReusedExchange" in final_plan(out)
+    # the parent's distinct and the rows by key; the heavy keys' branch is empty and gone
+    assert final_plan(out).split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 2
+
+
+def test_cross_unpivot_replicates_nothing_by_default(spark):
+    """No key of this frame is heavy: the buckets' branch is empty and the sets need one exchange by key."""
+    base = spark.range(2000).select((F.col("id") % 100).alias("m"), *[(F.col("id") % k).cast("string").alias(f"{g}{k}") for g in "abcde" for k in (2, 3)])
+    out = unpivot_cross(base, "m", {g: [f"{g}2", f"{g}3"] for g in "abcde"})
+    final = final_plan(out).split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final and "ShuffledHashJoin" not in final and "sequence(0" not in final
+    # the count per key that finds heavy keys, the sets, the (empty) large products
+    assert final.count("Exchange hashpartitioning") <= 3
 
 
 def test_slot_load_shuffles_the_landing_side_twice(spark):

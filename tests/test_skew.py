@@ -78,7 +78,7 @@ def test_skewed_cross_unpivot_is_complete(spark):
 
 
 def test_hot_key_of_five_groups_is_spread_over_tasks(spark):
-    """Without the salt one task makes the whole product of the hot key; with it several do."""
+    """One task makes the whole product of the hot key unless it is over the bound; only the hot key's is split."""
     from landstage.operators import unpivot_cross
     old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     for k, v in SKEW_CONF.items():
@@ -89,15 +89,19 @@ def test_hot_key_of_five_groups_is_spread_over_tasks(spark):
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 100 + 1).alias("m"),
             *[((F.col("id") / (3 + 2 * i)).cast("long") % (24 if n == "a" else 4)).cast("string").alias(n) for i, n in enumerate(names)])
 
-        def largest(salt):
-            out = unpivot_cross(base, "m", {n: [n] for n in names}, salt=salt).where("m = 0")
+        def largest(spread, key="m = 0"):
+            out = unpivot_cross(base, "m", {n: [n] for n in names}, spread=spread).where(key)
             sizes = [r.n for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
             return max(sizes), sum(sizes), len(sizes)
 
-        alone, total, tasks = largest(1)
-        spread, same, many = largest(8)
+        alone, total, tasks = largest(1_000_000)
+        spread, same, many = largest(700)
         assert same == total == 24 * 4 ** 4 and tasks == 1 and alone == total
         assert many >= 3 and spread <= total * 2 // 3
+        # keys under the bound are each made in one task
+        others = unpivot_cross(base, "m", {n: [n] for n in names}, spread=1500).where("m != 0").select("m", F.spark_partition_id().alias("p"))
+        keys = others.groupBy("m").agg(F.count_distinct("p").alias("tasks"), F.count(F.lit(1)).alias("n")).collect()
+        assert len(keys) == 100 and {r["tasks"] for r in keys if r["n"] <= 1500} == {1}
     finally:
         for k, v in old.items():
             if v is None:
