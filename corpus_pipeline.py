@@ -9,6 +9,7 @@ lost executor never costs more than the running stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landstage.llm import decontam, minhash, mixing, pii, repetition
@@ -27,18 +28,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Of rows that repeat an id one stays.  Rows with a null id belong to no group and stay.
-    The texts are shuffled once, to a hash join that builds on the ids that go, at every
-    size of the input; the second join is planned only if an id is repeated.
+    Rows with a null id belong to no group and stay.  Rows that repeat an id are documents
+    of their own: each distinct text among them is judged under a key of its text, after all
+    ids that occur once (so it stays only if no such document is in its group), and of rows
+    equal in id and text the first in the order of the other columns stays.  Without repeated
+    ids the key is the id, and the texts are shuffled once, to a hash join that builds on the
+    keys that go.
     """
-    found = materialise(minhash.near_duplicates(docs), "near-duplicates").where("doc_id is not null")
-    gone = found.where("not kept").select("doc_id").distinct()
-    repeated = materialise(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    docs = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
+    key, columns = "near_dedup key", docs.columns
+    own = docs.where("doc_id is not null")
+    repeated = materialise(own.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty():
-        return docs
-    once = docs.join(repeated, "doc_id", "left_anti").select(docs.columns)
-    return once.union(docs.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+        found = materialise(minhash.near_duplicates(own), "near-duplicates")
+        return docs.join(found.where("not kept").select("doc_id").hint("shuffle_hash"), "doc_id", "left_anti").select(columns)
+    marked = docs.join(repeated.withColumn(key + " again", F.lit(True)), "doc_id", "left")
+    late = F.lit(1 << 62).bitwiseOR(F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)))
+    keyed = materialise(marked.select(*columns, F.when(F.col(key + " again"), late).otherwise(F.col("doc_id")).alias(key)), "keyed")
+    found = materialise(minhash.near_duplicates(keyed.where("doc_id is not null"), id_col=key), "near-duplicates")
+    gone = found.where("not kept").select(F.col("doc_id").alias(key)).distinct()
+    left = keyed.join(gone.hint("shuffle_hash"), key, "left_anti")
+    again = left.where(F.col(key) >= 1 << 62).withColumn("place", F.row_number().over(W.partitionBy(key).orderBy(*[c for c in columns if c not in ("doc_id", "text")], "doc_id")))
+    return left.where(F.col(key).isNull() | (F.col(key) < 1 << 62)).select(columns).union(again.where("place = 1").select(columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
