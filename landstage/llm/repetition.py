@@ -13,9 +13,11 @@ at most ``max_covered`` per cent of its characters and no repeat is longer than
 The base rules (word count, share of words in repeated 5-word windows) come
 from the same pass over the text.
 
-One task handles documents in chunks of about ``common.CHUNK_BYTES``; nothing is
-shuffled.  Memory is about 80 bytes for each character of the chunk, or of one
-longer text.
+One task handles documents in chunks of about CHUNK_BYTES; nothing is shuffled.
+A chunk, or one longer text, takes about 40 bytes for each character of prose
+and up to 200 for a text that repeats itself without end (one line or one letter
+over and over), where a rank of four bytes is kept for every doubling; so a chunk
+of short documents stays under 80 MB whatever they say.
 
 Defined results: a null or empty text has no words, so all counts are 0 and the
 base rule rejects it.  A null id is carried through.  Repeated rows are judged
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 
 from landstage.llm import common as C
 
+CHUNK_BYTES = 400_000
 MIN_WORDS = 10
 MAX_REPEAT_WORDS = 20       # per cent of the words
 MIN_REPEAT = 40             # characters
@@ -131,34 +134,38 @@ def repeats(t: C.Texts, min_repeat: int = MIN_REPEAT) -> tuple[np.ndarray, np.nd
     n = len(sym)
     doc_bits = max(1, int(n_docs - 1).bit_length())
     per = max(1, min((64 - doc_bits) // bits, min_repeat))
-    doc = np.repeat(np.arange(n_docs, dtype=np.uint64), np.diff(np.append(start, n)))
-    key = doc
+    doc = np.repeat(np.arange(n_docs, dtype=np.int32), np.diff(np.append(start, n)))
+    key = doc.astype(np.uint64)
     for j in range(per):
-        key = key << np.uint64(bits)
+        key <<= np.uint64(bits)
         key[:n - j] |= sym[j:]
     order = np.argsort(key)
-    sorted_key = key[order]
+    key = key[order]
     new = np.ones(n, bool)
-    new[1:] = sorted_key[1:] != sorted_key[:-1]
-    del sorted_key, key
-    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))    # where each group begins
-    rank = np.empty(n + 1, np.int64)
+    new[1:] = key[1:] != key[:-1]
+    del key
+    head = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), np.int32(0)))    # where each group begins
+    rank = np.empty(n + 1, np.int32)
     rank[n] = -1
     rank[order] = head
     tied = ~(new & np.append(new[1:], True))
     at, group = order[tied], head[tied]
+    del order, head
     h, levels, deep = per, [(per, rank.copy())], None
     while len(at):
         if deep is None and 2 * h > min_repeat:
             deep = (at, group)                  # all suffixes that share min_repeat characters are here
-        o = np.argsort(group * (n + 1) + rank[at + h], kind="stable")
-        at, nxt = at[o], rank[at[o] + h]
+        o = np.argsort(group.astype(np.int64) * (n + 1) + rank[at + h], kind="stable")
+        at = at[o]
+        del o
+        nxt = rank[at + h]
         new = np.ones(len(at), bool)
         new[1:] = (group[1:] != group[:-1]) | (nxt[1:] != nxt[:-1])
-        pos = np.arange(len(at))
-        begin = np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1]), pos, 0))
-        group = group + (np.maximum.accumulate(np.where(new, pos, 0)) - begin)
+        pos = np.arange(len(at), dtype=np.int32)
+        begin = np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1]), pos, np.int32(0)))
+        group = group + (np.maximum.accumulate(np.where(new, pos, np.int32(0))) - begin)
         rank[at] = group
+        del pos, begin, nxt
         tied = ~(new & np.append(new[1:], True))
         at, group = at[tied], group[tied]
         h *= 2
@@ -210,7 +217,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.chunks(batch):
+            for part in C.chunks(batch, most=CHUNK_BYTES):
                 got = judge(C.flat(part.column(1)), min_repeat, max_covered, max_repeat)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(got[c], pa.int64()) for c in COUNTS), pa.array(got["base_failed"]), pa.array(got["kept"])],
@@ -227,7 +234,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", min_repeat: int = MIN_REP
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.chunks(batch, text_col):
+            for part in C.chunks(batch, text_col, CHUNK_BYTES):
                 yield part.filter(pa.array(judge(C.flat(part.column(at)), min_repeat, max_covered, max_repeat)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

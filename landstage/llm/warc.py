@@ -18,7 +18,8 @@ validator disagrees: nothing is merged), ``orphan`` (no earlier full response).
 Defined results: a null URL, time or record id cannot be joined, such a revisit is an
 ``orphan``.  Responses at the same time as the revisit are not earlier; of
 responses at one time the largest record id wins.  Repeated rows give
-repeated results.  Null headers count as none.  Either kind may be absent; an empty table
+repeated results.  Null headers count as none; of header names that differ by case only,
+the one that comes last in ASCII order (so the one in lower case) counts.  Either kind may be absent; an empty table
 gives an empty table.  Only the named columns are read, whatever others are called.
 """
 
@@ -44,7 +45,7 @@ def canonical_url(url: Column) -> Column:
     parts = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^?#]*)(\?[^#]*)?"
     host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(url, parts, 1)), r":(80|443)$", ""), r"^www\.", "")
     path = F.regexp_replace(F.regexp_extract(url, parts, 2), r"/+$", "")
-    fields = F.array_sort(F.filter(F.split(F.substring(F.regexp_extract(url, parts, 3), 2, 1_000_000), "&"), lambda x: (x != "") & ~x.startswith("utm_")))
+    fields = F.array_sort(F.filter(F.split(F.substr(F.regexp_extract(url, parts, 3), F.lit(2)), "&"), lambda x: (x != "") & ~x.startswith("utm_")))
     return F.concat(host, path, F.when(F.size(fields) > 0, F.concat(F.lit("?"), F.array_join(fields, "&"))).otherwise(""))
 
 
@@ -56,7 +57,11 @@ def opaque_tag(tag: Column) -> Column:
 def merged_headers(stored: Column, update: Column) -> Column:
     """Stored headers with the update's fields over them, except those of ``FIXED_HEADERS``; names in lower case."""
     def lower(m: Column) -> Column:
-        return F.transform_keys(F.coalesce(m, F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
+        entries = F.map_entries(F.coalesce(m, F.create_map().cast("map<string,string>")))
+        named = F.array_sort(F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["key"].alias("as"), e["value"].alias("value"))))
+        # of names that differ by case only the last is kept
+        last = F.filter(named, lambda e, i: (i == F.size(named) - 1) | (F.get(named, i + 1)["key"] != e["key"]))
+        return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
 
     allowed = F.map_filter(lower(update), lambda k, _: ~k.isin(*FIXED_HEADERS))
     kept = F.map_filter(lower(stored), lambda k, _: ~F.array_contains(F.map_keys(allowed), k))

@@ -181,6 +181,45 @@ def test_language_model_buckets_grow_with_the_corpus(spark, monkeypatch):
     assert got.keys() == want.keys() and all(got[d] == (None if x is None else pytest.approx(x)) for d, x in want.items())
 
 
+def test_header_names_that_differ_by_case(spark):
+    full = {"Date": "a", "date": "b", "DATE": "c", "X-One": "1"}
+    rows = [(1, "response", "http://h/p?x=" + "y" * 1_200_000, 10, '"t"', None, "d", full),
+            (2, "revisit", "http://h/p?x=" + "y" * 1_200_000, 20, 'W/"t"', None, None, {"AGE": "5", "Age": "6", "ETag": "no"}),
+            (3, "revisit", "http://h/p?x=" + "y" * 1_199_999 + "z", 20, None, None, None, None)]
+    got = {r["record_id"]: r for r in warc.resolve_revisits(spark.createDataFrame(
+        rows, "record_id bigint, kind string, url string, at bigint, etag string, last_modified string, digest string, headers map<string,string>")).collect()}
+    assert got[2]["outcome"] == "resolved" and got[2]["headers"] == {"age": "6", "date": "b", "x-one": "1"}
+    assert got[3]["outcome"] == "orphan"                   # the URL differs after its first million characters
+
+
+def test_near_dedup_of_different_texts_under_one_id(spark):
+    other = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, PROSE, "en", "a"), (2, PROSE + " end", "en", "a"), (2, other, "en", "b"), (2, other, "en", "a"), (3, other + " x", "de", "c"), (4, "alone " * 9, "en", "a"),
+            (None, PROSE, "en", "a"), (None, PROSE, "en", "a"), (9, "only repeated here", "en", "b"), (9, "only repeated here", "en", "a")]
+    for seed in range(2):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(3 + seed)
+        got = sorted(map(tuple, corpus_pipeline.near_dedup(spark, docs, "").collect()), key=str)
+        # 2's first text is a copy of 1's; its second one of 3's, whose id occurs once; 9's two rows are equal in id and text
+        assert got == sorted([rows[0], rows[4], rows[5], rows[6], rows[7], rows[9]], key=str)
+
+
+def test_repetition_memory_is_bounded():
+    """2 MB of one letter, of one line and of prose: peak bytes for each character."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from landstage.llm import common
+    common.powers(1), common.powers(1, True)
+    for text, most in (("a" * 2_000_000, 220), (("the same line again\n" * 110_000)[:2_000_000], 220), (PROSE * 10 + "".join(random.Random(1).choices("abcdefgh ", k=2_000_000)), 110)):
+        tracemalloc.start()
+        repetition.judge(common.flat(pa.array([text])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * len(text)
+    assert all(len(x) <= common.CHUNK_BYTES + 4096 for x in common._powers.values())
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages(spark, tmp_path, name, stage):
     spark.createDataFrame([(1, "no such words here " * 5)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
