@@ -50,13 +50,15 @@ def _take(take) -> list[tuple[str, str]]:
 
 def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
            dim_unique: bool = False, salt: int = 0,
-           prefix: str = "__lk") -> DataFrame:
+           prefix: str = "__lk", flag: str | None = None, only=None) -> DataFrame:
     """Join ``df`` to ``dim`` on ``on`` and append ``take`` columns.
 
     on    -- [(left expr, dim column), ...]; a bare name means same name on both sides
     take  -- {dim column: output name} or [names]
     dim_unique -- keep one dimension row per key (smallest taken values), so
                   duplicate dimension rows cannot fan out the landing rows
+    flag  -- (left joins) name of a column that is true where a dimension row was found
+    only  -- condition on ``df``: rows that do not fulfil it match nothing
     """
     pairs = _pairs(on)
     takes = _take(take)
@@ -74,9 +76,13 @@ def lookup(df: DataFrame, dim: DataFrame, on, take=None, *, how: str = "inner",
         else:
             d = d.select(*lk).distinct()
 
+    if flag:
+        d = d.withColumn(flag, F.lit(True))
     left_keys = [as_col(le, df).alias(f"{k}l") for (le, _), k in zip(pairs, lk)]
     left = df.select("*", *left_keys)
     cond = [F.col(f"{k}l") == F.col(k) for k in lk]
+    if only is not None:
+        cond.append(only)
 
     if salt and salt > 1:
         # the dimension is replicated to every bucket, so any bucket choice is

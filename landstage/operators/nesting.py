@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 
 from landstage.functions.casts import tolerant_cast
 from landstage.functions.util import as_col
+from landstage.session import scratch_path
 
 
 def q(name: str) -> str:
@@ -110,7 +111,7 @@ def _flatten(dtype: DataType, expr: Column, path: str, sep: str,
 
 
 def relationalize(df: DataFrame, name: str = "root", key: Sequence[str] | None = None,
-                  sep: str = ".") -> dict[str, DataFrame]:
+                  sep: str = ".", staged: bool | None = None) -> dict[str, DataFrame]:
     """Flatten a nested frame into a collection of flat frames.
 
     Root frame: structs become dotted columns; every array column is replaced
@@ -121,25 +122,41 @@ def relationalize(df: DataFrame, name: str = "root", key: Sequence[str] | None =
     (default: all columns, arrays included), so they are stable across reruns
     and executor retries.  Rows that are equal in the key share an id; without
     a key these are true duplicates, whose children are equal too.
+
+    ``staged`` (default: without a key) writes the rows with their ids once to the shared
+    scratch folder: the input is read and every id computed in that one pass, and each
+    frame then scans only its own columns and the id, never the other arrays.  With a
+    key nothing is written, and a frame's scan has its own columns and the key.
     """
     frames: dict[str, DataFrame] = {}
-    _relationalize(df, name, key, sep, frames, id_expr=None)
+    if staged or (staged is None and not key):
+        rows = df.withColumn("__rid", _own_id(df, key, sep))
+        path = scratch_path(df.sparkSession, "relationalize")
+        rows.write.parquet(path)
+        _relationalize(df.sparkSession.read.schema(rows.schema).parquet(path), name, sep, frames, F.col("__rid"))
+    else:
+        _relationalize(df, name, sep, frames, _own_id(df, key, sep))
     return frames
 
 
-def _relationalize(df: DataFrame, name: str, key, sep: str, frames: dict, id_expr) -> None:
+def _fields(df: DataFrame, sep: str) -> tuple[list, list]:
     scalars: list = []
     arrays: list = []
     for f in df.schema.fields:
-        if f.name in ("__rid",):
-            continue
-        _flatten(f.dataType, F.col(q(f.name)), f.name, sep, scalars, arrays)
+        if f.name != "__rid":
+            _flatten(f.dataType, F.col(q(f.name)), f.name, sep, scalars, arrays)
+    return scalars, arrays
 
-    if id_expr is None:
-        if key:
-            id_expr = row_id(*[F.col(k) for k in key])
-        else:
-            id_expr = row_id(*[e for _, e in scalars], *[F.to_json(e) for _, e, _ in arrays])
+
+def _own_id(df: DataFrame, key: Sequence[str] | None, sep: str) -> Column:
+    if key:
+        return row_id(*[F.col(k) for k in key])
+    scalars, arrays = _fields(df, sep)
+    return row_id(*[e for _, e in scalars], *[F.to_json(e) for _, e, _ in arrays])
+
+
+def _relationalize(df: DataFrame, name: str, sep: str, frames: dict, id_expr: Column) -> None:
+    scalars, arrays = _fields(df, sep)
     base = df.withColumn("__rid", id_expr)
 
     cols = [e.alias(p) for p, e in scalars]
@@ -161,5 +178,5 @@ def _relationalize(df: DataFrame, name: str, key, sep: str, frames: dict, id_exp
         eid = row_id(F.col("id"), F.col("index"))
         inner = child.select(F.col("id"), F.col("index"), F.col("__el").alias(val))
         sub: dict[str, DataFrame] = {}
-        _relationalize(inner, child_name, None, sep, sub, id_expr=eid)
+        _relationalize(inner, child_name, sep, sub, eid)
         frames.update(sub)

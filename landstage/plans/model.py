@@ -221,3 +221,14 @@ PRODUCT = LoadSpec(
 LOADS = {s.name: s for s in (AGENT, BROKER, CLIENT, MEMBER, MEMBER_ADDRESS, MEMBER_BENEFICIARY, MEMBER_BENEFICIARY_CROSS,
                              POLICY, MEMBER_FROM_LIST, BROKER_FROM_EXTRACT, BROKER_CLIENT,
                              CLIENT_FROM_EXTRACT, PRODUCT)}
+
+
+def lookup_keys(target: str) -> tuple[str, ...]:
+    """The columns by which loads look up rows of a staging table (its bucket keys); none if no load does.
+
+    Loads that name the same columns in another order count as one key.
+    """
+    found = {frozenset(c for _, c in lk.on): tuple(c for _, c in lk.on) for s in reversed(LOADS.values()) for lk in s.lookups if lk.dim == target}
+    if len(found) > 1:
+        raise ValueError(f"{target} is looked up by different keys: {sorted(found.values())}")
+    return next(iter(found.values()), ())

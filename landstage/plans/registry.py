@@ -11,17 +11,19 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landstage.functions import (audit_columns, clock12, format_ts, hash_of, parse_date, second_trunc,
                                  to_decimal, to_double, to_int)
+from landstage.functions.scalar import scalar_function
 from landstage.functions.text import chop_prefix
 from landstage.operators import (apply_mapping, combinations, dedupe, explode_values, lookup,
                                  map_columns, map_records, relationalize, resolve_choice,
                                  unpivot_cross, unpivot_factored, unpivot_positional)
 from landstage.plans import model as M
+from landstage.plans.jobs import run_job
 from landstage.plans.cleaning import clean_and_nest, flatten
 from landstage.plans.skeletons import (explode_encode, relationalize_encode, select_rename_stamp,
                                        stamp_all)
@@ -30,7 +32,8 @@ from landstage.plans.staging import two_feeds, unique_lookups, written
 from landstage.plans.testbed import (TABLES, captured_list_sql, member_list_sql,
                                      product_extract_sql, table)
 from landstage.session import scratch_path
-from landstage.sinks import copy_parquet_tree, write_parquet, write_table
+from landstage.sinks import copy_parquet_tree, finished, record_run, runs, write_parquet, write_run
+from landstage.sinks.runs import ledger_name
 from landstage.sources import discover_files, read_paths, read_table, read_tree
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -514,6 +517,17 @@ def q_policy_unmatched(spark, d):
     return unmatched(M.POLICY, inputs).select("policy_number", "id_number", "missing")
 
 
+@register("policy_lookup_counts", f"""WITH lost AS ({ORACLES["policy_unmatched"]}), loaded AS ({ORACLES["fact_policy"]} WHERE m.gender = 'F')
+SELECT 'lost_' || missing AS metric, count(*) AS n FROM lost GROUP BY missing UNION ALL SELECT 'matched', count(*) FROM loaded""")
+def q_policy_lookup_counts(spark, d):
+    """What the policy load's own run counted: rows that each lookup lost, and rows that passed all."""
+    inputs = written(spark, d)
+    inputs[M.STG_MEMBER] = inputs[M.STG_MEMBER].where("gender = 'F'")
+    counts = Observation(f"policy-{uuid.uuid4().hex}")
+    run_load(M.POLICY, inputs, stamp=None, counts=counts).write.parquet(scratch_path(spark, "counted"))
+    return spark.createDataFrame([(k, n) for k, n in counts.get.items() if n], "metric string, n bigint")
+
+
 _TWO_FEEDS = f"""
 m2 AS (SELECT last_name, first_name, id_number, min(member_id) AS member_id FROM (
     SELECT member_id, first_name, last_name, id_number FROM stg_member
@@ -651,6 +665,23 @@ def q_relationalize_child(spark, d):
     return relationalize(_conv_nested(spark, d), "root", key=["conv_id", "part"])["root_lines"]
 
 
+_WORDS_SQL = ("(SELECT conv_id, turn, role, string_split(text, ' ') AS arr FROM conversations) s, "
+              "LATERAL (SELECT unnest(generate_series(1, len(s.arr))) AS i) t")
+
+
+@register("relationalize_children",
+          f"SELECT conv_id, turn, role, 'lines' AS child, CAST(i - 1 AS INTEGER) AS \"index\", arr[i] AS val FROM {_LINES_SQL} "
+          f"UNION ALL SELECT conv_id, turn, role, 'words', CAST(i - 1 AS INTEGER), arr[i] FROM {_WORDS_SQL}")
+def q_relationalize_children(spark, d):
+    """Two arrays of one frame without a key: both children joined back to their root rows by the id."""
+    conv = table(spark, d, "conversations")
+    nested = conv.select("conv_id", "turn", "role", F.split("text", "\n").alias("lines"), F.split("text", " ").alias("words"))
+    frames = relationalize(nested, "root")
+    root = frames["root"].select("conv_id", "turn", "role", F.coalesce("lines", "words").alias("id"))
+    children = [frames[f"root_{c}"].select("id", F.lit(c).alias("child"), "index", F.col(f"`{c}.val`").alias("val")) for c in ("lines", "words")]
+    return root.join(children[0].union(children[1]), "id").drop("id")
+
+
 @register("relationalize_encoded",
           f"SELECT hex(role) AS TESTKEY, 'this_is_my_source' AS SRC_FOR_ID, '{PINNED}' AS DTS "
           f"FROM conversations")
@@ -725,6 +756,33 @@ def q_chop_prefix(spark, d):
                     .alias("balance"))
 
 
+_CHOP3_SQL = f"""WITH p AS ({_PROVIDER_SQL})
+SELECT "provider name" AS provider_name, substr("average covered charges", 2) AS acc, substr("average total payments", 2) AS atp, substr("average medicare payments", 2) AS amp FROM p"""
+
+
+def _chop_three(spark, d, chop):
+    return _provider(spark, d).select(F.col("provider name").alias("provider_name"), chop(F.col("average covered charges")).alias("acc"),
+                                      chop(F.col("average total payments")).alias("atp"), chop(F.col("average medicare payments")).alias("amp"))
+
+
+def first_dropped(values):
+    """All values of an Arrow array without their first character."""
+    import pyarrow.compute as pc
+    return pc.utf8_slice_codeunits(values, 1)
+
+
+@register("scalar_function_values", _CHOP3_SQL)
+def q_scalar_function_values(spark, d):
+    """A Python function of one value over three columns at once; null stays null."""
+    return _chop_three(spark, d, scalar_function(lambda x: x[1:], "string"))
+
+
+@register("scalar_function_arrays", _CHOP3_SQL)
+def q_scalar_function_arrays(spark, d):
+    """The same as a function of whole Arrow arrays."""
+    return _chop_three(spark, d, scalar_function(first_dropped, "string", vectorized=True))
+
+
 @register("resolve_choice_cast",
           "SELECT event_id, uid FROM (SELECT event_id, TRY_CAST(CASE WHEN event_id % 10 = 0 THEN event_type "
           "ELSE CAST(user_id AS VARCHAR) END AS BIGINT) AS uid FROM events) t WHERE uid IS NOT NULL")
@@ -823,17 +881,47 @@ def q_sink_json_documents(spark, d):
 
 
 # ======================================================================== sinks
-@register("sink_append_table",
-          "SELECT c_mktsegment, 2 * count(*) AS n_rows FROM customer GROUP BY c_mktsegment")
+@register("sink_append_table", "SELECT c_custkey, c_mktsegment, 'first' AS load_run, 2 AS n_runs FROM customer "
+          "UNION ALL SELECT c_custkey, c_mktsegment, 'second', 2 FROM customer")
 def q_sink_append_table(spark, d):
+    """Two runs appended to one table; the first is executed twice and still there once."""
     name = f"landstage_append_{uuid.uuid4().hex[:12]}"
-    path = scratch_path(spark, "append")
     src = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    write_table(src, name, mode="append", path=path)
-    write_table(src, name, mode="append", path=path)
+    path = scratch_path(spark, "append")
+    for run, rows in (("first", src.where("c_custkey % 3 = 0")), ("second", src), ("first", src)):
+        record_run(spark, name, run, "running", path=f"{path}-runs")
+        write_run(rows, name, run, path=path)
+        record_run(spark, name, run, "done")
     out = scratch_path(spark, "appended")
-    spark.table(name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_rows")).write.parquet(out)
-    spark.sql(f"DROP TABLE {name}")          # the catalog keeps nothing of this run
+    spark.table(name).join(runs(spark, name).where("state = 'done'").select("load_run"), "load_run").crossJoin(
+        F.broadcast(runs(spark, name).agg(F.count(F.lit(1)).cast("int").alias("n_runs")))).write.parquet(out)
+    _drop(spark, name, ledger_name(name))
+    return spark.read.parquet(out)
+
+
+def _drop(spark, *names: str) -> None:
+    for name in names:                       # the catalog keeps nothing of a query's run
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@register("fact_policy_runs", ORACLES["fact_policy"])
+def q_fact_policy_runs(spark, d):
+    """The policy fact as jobs over bucketed staging tables of the catalog; two of the jobs are executed twice."""
+    prefix = f"q{uuid.uuid4().hex[:12]}_"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    inputs = written(spark, d)
+    for name in (M.CAPTURED, M.PRODUCT_EXTRACT):
+        inputs[name].createOrReplaceTempView(f"{prefix}{name}")
+    jobs = (("member", "member_id"), ("broker_from_extract", "broker_id"), ("client_from_extract", "client_id"),
+            ("broker_client", "broker_client_id"), ("product", "product_id"), ("member", "member_id"), ("policy", None), ("policy", None))
+    for load, sid in jobs:
+        run_job(spark, load, prefix=prefix, surrogate=sid, stamp=None, run_id=f"{load} 1", buckets=n)
+    out = scratch_path(spark, "fact-runs")
+    finished(spark, f"{prefix}{M.STG_POLICY}").write.parquet(out)
+    for target in (M.STG_MEMBER, M.STG_BROKER, M.STG_CLIENT, M.STG_BROKER_CLIENT, M.STG_PRODUCT, M.STG_POLICY):
+        _drop(spark, f"{prefix}{target}", ledger_name(f"{prefix}{target}"))
+    for name in (M.CAPTURED, M.PRODUCT_EXTRACT):
+        spark.catalog.dropTempView(f"{prefix}{name}")
     return spark.read.parquet(out)
 
 

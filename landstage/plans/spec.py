@@ -14,7 +14,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from landstage.functions.audit import audit_columns
@@ -83,26 +83,44 @@ def dedupe_columns(spec: LoadSpec):
     return cols
 
 
-def unmatched(spec: LoadSpec, inputs: Mapping[str, DataFrame]) -> DataFrame:
-    """Landing rows that the load's inner lookups drop, with the first lookup that misses.
+MISSING = "__missing"
 
-    One row per (deduplicated) landing row: its columns and ``missing``, the name of
-    the dimension without a match.  Rows that pass all lookups are absent.
+
+def flagged(spec: LoadSpec, inputs: Mapping[str, DataFrame], once: bool = False) -> DataFrame:
+    """The landing rows after all lookups, none dropped: ``__missing`` names the first dimension without a match.
+
+    One pass: each lookup is one left join, whose flag says whether it found a row; a row that
+    has missed matches nothing more.  ``once``: one dimension row per key in every lookup,
+    so that a landing row occurs once whatever it meets.
     """
     df = inputs[spec.source]
     if spec.dedupe is not None:
         df = dedupe(df, dedupe_columns(spec))
-    landing = [F.col(f"`{c}`") for c in df.columns]
-    out = None
+    df = df.withColumn(MISSING, F.lit(None).cast("string"))
     for lk in spec.lookups:
-        dim = inputs[lk.dim]
-        lost = lookup(df, dim, list(lk.on), how="left_anti").select(*landing, F.lit(lk.dim).alias("missing"))
-        out = lost if out is None else out.union(lost)
-        # a landing row counts once, however many dimension rows it meets
-        df = lookup(df, dim, list(lk.on), list(lk.take), dim_unique=True, salt=lk.salt)
-    if out is None:
+        df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take), how="left", dim_unique=once or lk.unique, salt=lk.salt,
+                    flag="__hit", only=F.col(MISSING).isNull())
+        df = df.withColumn(MISSING, F.coalesce(MISSING, F.when(F.col("__hit").isNull(), F.lit(lk.dim)))).drop("__hit")
+    return df
+
+
+def unmatched(spec: LoadSpec, inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """Landing rows that the load's inner lookups drop, with the first lookup that misses.
+
+    One row per (deduplicated) landing row: its columns and ``missing``, the name of
+    the dimension without a match.  Rows that pass all lookups are absent.
+    """
+    if not spec.lookups:
         raise ValueError(f"{spec.name} has no lookups")
-    return out
+    landing = inputs[spec.source]
+    landing = (landing if spec.dedupe is None else landing.select(*dedupe_columns(spec))).columns
+    return flagged(spec, inputs, once=True).where(F.col(MISSING).isNotNull()).select(*[F.col(f"`{c}`") for c in landing], F.col(MISSING).alias("missing"))
+
+
+def lookup_counts(spec: LoadSpec) -> list:
+    """Aggregates over a flagged load: rows that passed all lookups, and those that each lookup lost."""
+    lost = [F.count_if(F.col(MISSING) == lk.dim).alias(f"lost_{lk.dim}") for lk in spec.lookups]
+    return [F.count_if(F.col(MISSING).isNull()).alias("matched"), *lost]
 
 
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -134,19 +152,24 @@ def _before_fan_out(spec: LoadSpec, groups: dict[str, list[str]]):
 
 
 def run_load(spec: LoadSpec, inputs: Mapping[str, DataFrame], at=None,
-             stamp: str | None = "exact", around_unpivot=None) -> DataFrame:
+             stamp: str | None = "exact", around_unpivot=None, counts: Observation | None = None) -> DataFrame:
     """Build the staging frame of ``spec`` from named input frames (no action).
 
     ``around_unpivot(df, unpivot)``, if given, returns the frame after the unpivot in its place.
+    ``counts``, if given, holds ``matched`` and ``lost_<dimension>`` after the frame's first
+    action: the rows that the lookups passed and that each of them lost, counted as they go by.
     """
     missing = [n for n in spec.needs() if n not in inputs]
     if missing:
         raise KeyError(f"{spec.name}: missing inputs {missing}")
-    df = inputs[spec.source]
-    if spec.dedupe is not None:
-        df = dedupe(df, dedupe_columns(spec))
-    for lk in spec.lookups:
-        df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take), dim_unique=lk.unique, salt=lk.salt)
+    if counts is not None:
+        df = flagged(spec, inputs).observe(counts, *lookup_counts(spec)).where(F.col(MISSING).isNull()).drop(MISSING)
+    else:
+        df = inputs[spec.source]
+        if spec.dedupe is not None:
+            df = dedupe(df, dedupe_columns(spec))
+        for lk in spec.lookups:
+            df = lookup(df, inputs[lk.dim], list(lk.on), list(lk.take), dim_unique=lk.unique, salt=lk.salt)
     select = list(spec.select)
     key_hash = None
     if spec.unpivot is not None:

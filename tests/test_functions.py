@@ -131,3 +131,24 @@ def test_clock12_equals_the_text_round_trip_on_a_clock_change(spark):
         assert got == ["2024-03-10 01:05:07", "2024-03-10 00:30:00", "2024-11-03 01:10:00", "2024-03-10 01:00:00"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_scalar_function_types_and_nulls(spark):
+    import pyarrow.compute as pc
+
+    from landstage.functions import scalar_function
+    df = spark.createDataFrame([("$12", 1, 2**60), (None, 2, 3), ("$", None, 5), ("ü$9", 4, None)], "s string, a int, b bigint").repartition(2)
+    chop = scalar_function(lambda x: x[1:], "string")
+    total = scalar_function(lambda a, b: a + b, "bigint")
+    told = scalar_function(lambda a: "none" if a is None else str(a), "string", on_null="call")
+    twice = scalar_function(lambda a: pc.multiply(a, 2), "bigint", vectorized=True)
+    out = df.select("s", chop("s").alias("c"), total("a", "b").alias("t"), told("a").alias("n"), twice("a").alias("w"))
+    got = {r.s: (r.c, r.t, r.n, r.w) for r in out.collect()}
+    assert got == {"$12": ("12", 2**60 + 1, "1", 2), None: (None, 5, "2", 4), "$": ("", None, "none", None), "ü$9": ("$9", None, "4", 8)}
+    assert dict(out.dtypes) == {"s": "string", "c": "string", "t": "bigint", "n": "string", "w": "bigint"}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ArrowEvalPython") == 1              # all calls share one pass through Python
+    assert df.where("false").select(chop("s")).collect() == []
+    import pytest
+    with pytest.raises(ValueError, match="on_null"):
+        scalar_function(lambda x: x, "string", on_null="skip")

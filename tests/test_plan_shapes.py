@@ -1,5 +1,7 @@
 """Physical-plan properties the scale design relies on."""
 
+import re
+
 import pyspark.sql.functions as F
 
 from landstage.functions import chop_prefix, to_double
@@ -108,3 +110,21 @@ def test_slot_load_shuffles_the_landing_side_twice(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_relationalized_children_scan_their_own_array_only(spark, tmp_path):
+    from landstage.operators import relationalize
+    spark.range(50).select("id", F.struct((F.col("id") % 3).alias("x")).alias("s"), F.array("id", F.col("id") + 1).alias("one"),
+                           F.array(F.col("id").cast("string")).alias("two"), F.array(F.struct("id")).alias("three")).write.parquet(str(tmp_path / "n"))
+    nested = spark.read.parquet(str(tmp_path / "n"))
+
+    def read(df):
+        return re.findall(r"ReadSchema: struct<(.*)>", df._jdf.queryExecution().executedPlan().toString())
+
+    frames = relationalize(nested, "r")                    # ids from all columns, in one written pass
+    assert read(frames["r_one"]) == ["one:array<bigint>,__rid:string"] and read(frames["r_two"]) == ["two:array<string>,__rid:string"]
+    keyed = relationalize(nested, "r", key=["id"])         # ids from the key, nothing written
+    assert read(keyed["r_one"]) == ["id:bigint,one:array<bigint>"]
+    assert frames["r_one"].count() == keyed["r_one"].count() == 100
+    linked = frames["r"].join(frames["r_two"], frames["r"]["two"] == frames["r_two"]["id"])
+    assert linked.count() == 50 and linked.where(F.col("`two.val`") == frames["r"]["id"].cast("string")).count() == 50
