@@ -60,15 +60,15 @@ def odd_constants(n: int, seed: int) -> np.ndarray:
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """The first n powers of the rolling hash's base (or of its inverse), modulo 2**64.
 
-    A worker keeps those for a chunk; the more that a longer text needs go with it.
+    A worker keeps as many as its chunks have needed; the more that a longer text needs go with it.
     """
-    key = "inv" if inverse else "fwd"
+    key, kept = "inv" if inverse else "fwd", CHUNK_BYTES + 4096
     have = _powers.get(key)
     if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 4096), _BASE_INV if inverse else _BASE, dtype=np.uint64)
-        steps[0] = 1
+        steps = np.full(n if n > kept else min(kept, 1 << n.bit_length()), _BASE_INV if inverse else _BASE, dtype=np.uint64)
+        steps[:1] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= CHUNK_BYTES + 4096:
+        if n <= kept:
             _powers[key] = have
     return have[:n]
 

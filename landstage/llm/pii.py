@@ -285,7 +285,7 @@ def all_spans(t: C.Texts, texts: list[str | None], model: Model) -> tuple[list[l
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Weights from a bounded sample of the documents (see the module's text)."""
     some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    texts = [r["text"] for r in C.sampled(some, "doc_id", sample, docs.count() // 10).collect()]
+    texts = [r["text"] for r in C.sampled(some, "doc_id", sample, some.count()).collect()]
     return fit(nodes(C.flat(pa.array(texts, pa.string())), texts))
 
 

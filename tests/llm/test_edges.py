@@ -67,6 +67,13 @@ def test_personal_data(spark):
     assert len(pii.personal_data(docs, nothing).collect()) == N
 
 
+def test_personal_data_sample_counts_the_rows_that_qualify(spark):
+    """Few rows with digits among very many without: all of them are training texts."""
+    many = spark.range(60_000).selectExpr("id as doc_id", "'no digits in this one' as text")
+    few = spark.range(60_000, 60_040).selectExpr("id as doc_id", "concat('call +1 (743) 555-38', 10 + id % 80, ' or 10.1.2.', id % 200) as text")
+    assert pii.train(many.union(few), sample=20).names and not pii.train(many, sample=20).names
+
+
 def test_quality(spark):
     docs = edge_docs(spark)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 12)] + [(4, None, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
