@@ -2,23 +2,27 @@
 
 Rule: a document is contaminated by a benchmark item if, for some alignment of the
 two, ``WINDOW`` consecutive item words face document words and at least
-``NEED`` of them are equal (up to three substitutions in 13 words).  Words are
-lower-cased (A-Z) runs without white space.
-
-Search: three fixed masks each read five word positions and ignore the others.
-Together they are lossless for this rule: whichever three positions of a 13-word
-window differ, one mask fits between them (checked by enumeration in the tests).
-Hashes of all masked places of the documents are joined to those of the items.
+``NEED`` of them are equal (up to three substitutions in 13 words).  An item of n = 7 to
+12 words is one window with up to ``3 n // 13`` substitutions, one of 3 to 6 words has to
+be there as it is; items of one or two words are no evidence and are not searched.  Words
+are lower-cased (A-Z) runs without white space.
+
+Search: fixed masks read some word positions and ignore the others, three of five words
+for long items, two of four words for those of 7 to 12, one of three in a row for shorter
+ones.  They are lossless for this rule: wherever the allowed substitutions lie, one mask
+fits between them (checked by enumeration in the tests).  Hashes of all masked places of the
+documents are joined to those of the items; only masks that some item needs are hashed.
 The item hashes are broadcast in blocks of at most ``BLOCK_ROWS`` rows, counted
 beforehand, so no join shuffles the documents and no broadcast grows beyond that
-bound.  Hits become distinct (document, item, alignment) rows, which are verified
-word by word on the whole texts.
+bound.  Hits become distinct (document, item, alignment) rows.  A document's alignments meet
+its text once: it is split into words once, and each alignment gets the slice that faces
+its item, on which it is verified word by word.
 
 Defined results: null or empty texts and items match nothing; rows with a null
-id are never reported.  Items with 6 to 12 words must be matched whole; those with
-fewer than 6 words are not searched.  Repeated rows of a document or an item give
+id are never reported.  Repeated rows of a document or an item give
 the same one row.  Either table may be empty.  Only the id and text columns are
-read, whatever others are called.
+read, whatever others are called.  A very long text costs its words once and each of its
+alignments the item's length.
 """
 
 from __future__ import annotations
@@ -32,9 +36,12 @@ WINDOW = 13
 NEED = 10
 BLOCK_ROWS = 1_000_000
 
-# Word positions that each mask reads.
-MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 4, 5), (0, 1, 6, 8, 9))
-SHORTEST = 6
+SHORTEST = 3
+EXACT = 6               # items of so many words have to be there as they are
+
+# Word positions that each mask reads, and the lengths of the items it is for.
+MASKS = (((0, 1, 2, 4, 5), WINDOW, None), ((0, 1, 3, 4, 5), WINDOW, None), ((0, 1, 6, 8, 9), WINDOW, None),
+         ((0, 1, 3, 4), EXACT + 1, WINDOW - 1), ((0, 1, 5, 6), EXACT + 1, WINDOW - 1), ((0, 1, 2), SHORTEST, EXACT))
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -45,28 +52,40 @@ def word_array(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def seeds(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, pos, seed): the hash of every masked place of every text."""
-    hashed = df.select(F.col(key).alias("id"), F.transform(word_array(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
+def allowed(n: int) -> int:
+    """Substitutions that a window of n item words may have."""
+    return 0 if n <= EXACT else (WINDOW - NEED) * min(n, WINDOW) // WINDOW
+
+
+def seeds(df: DataFrame, key: str, text: str, masks: list[int], of_items: bool = False) -> DataFrame:
+    """(id, n, mask, pos, seed): the hash of every place of the masks on every text of n words.
+
+    Items have only the masks for their length.
+    """
+    hashed = df.select(F.col(key).alias("id"), F.transform(word_array(F.col(text)), lambda w: F.xxhash64(w)).alias("h")).withColumn("n", F.size("h"))
     empty = F.array().cast("array<bigint>")
 
-    def places(number: int, mask: tuple[int, ...]) -> Column:
-        last = F.size("h") - F.lit(mask[-1] + 1)
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(number), *(F.get("h", i + F.lit(o)) for o in mask)))).otherwise(empty)
+    def places(number: int) -> Column:
+        mask, least, most = MASKS[number]
+        last = F.col("n") - F.lit(mask[-1] + 1)
+        fits = (F.col("n") >= least) & (F.lit(True) if most is None else F.col("n") <= most) if of_items else last >= 0
+        return F.when(fits, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(number), *(F.get("h", i + F.lit(o)) for o in mask)))).otherwise(empty)
 
-    masked = hashed.select("id", F.explode(F.array(*(places(n, m) for n, m in enumerate(MASKS)))).alias("places"))
-    return masked.select("id", F.posexplode("places").alias("pos", "seed"))
+    masked = hashed.select("id", "n", F.explode(F.array(*(F.struct(F.lit(k).alias("mask"), places(k).alias("places")) for k in masks))).alias("m"))
+    return masked.select("id", "n", "m.mask", F.posexplode("m.places").alias("pos", "seed"))
 
 
 def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct (doc_id, item_id, shift) that share a masked place; docs (doc_id, text), items (item_id, text)."""
-    item_seeds = materialise(seeds(items.where("item_id is not null"), "item_id", "text").distinct(), "item-seeds")
+    """Distinct (doc_id, item_id, n, shift) that share a masked place; docs (doc_id, text), items (item_id, text)."""
+    item_seeds = materialise(seeds(items.where("item_id is not null"), "item_id", "text", list(range(len(MASKS))), of_items=True).distinct(), "item-seeds")
+    used = [r["mask"] for r in item_seeds.select("mask").distinct().orderBy("mask").collect()] or [0]       # some of the six
     blocks = max(1, -(-item_seeds.count() // BLOCK_ROWS))
-    doc_seeds = seeds(docs.where("doc_id is not null"), "doc_id", "text").select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "seed")
+    doc_seeds = seeds(docs.where("doc_id is not null"), "doc_id", "text", used).select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "seed")
+    item_seeds = item_seeds.select(F.col("id").alias("item_id"), "n", "pos", "seed")
     found = None
     for block in range(blocks):
         part = item_seeds if blocks == 1 else item_seeds.where(F.pmod(F.col("seed"), F.lit(blocks)) == block)
-        hits = doc_seeds.join(F.broadcast(part), "seed").select("doc_id", F.col("id").alias("item_id"), (F.col("at") - F.col("pos")).alias("shift")).distinct()
+        hits = doc_seeds.join(F.broadcast(part), "seed").select("doc_id", "item_id", "n", (F.col("at") - F.col("pos")).alias("shift")).distinct()
         found = hits if found is None else found.union(hits)
     return found if blocks == 1 else found.distinct()
 
@@ -82,14 +101,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     hits = materialise(alignments(d, items), "alignments")
-    pairs = (hits.join(d, "doc_id").withColumn("w", word_array(F.col("text"))).drop("text")
-             .join(items.select("item_id", word_array(F.col("text")).alias("v")).where(F.size("v") >= SHORTEST), "item_id"))
-    span = F.least(F.lit(WINDOW), F.size("v"))
-    need = F.when(F.size("v") >= WINDOW, F.lit(NEED)).otherwise(F.size("v"))
-    at = F.col("shift")
-    equal = F.transform("v", lambda word, j: F.when((at + j >= 0) & (F.get("w", F.greatest(at + j, F.lit(0))) == word), 1).otherwise(0))
-    windows = F.transform(F.sequence(F.lit(0), F.size("v") - F.col("span")), lambda k: F.aggregate(F.slice("equal", k + 1, F.col("span")), F.lit(0), lambda a, x: a + x))
-    checked = (pairs.withColumn("span", span).withColumn("need", need).withColumn("equal", equal)
+    mine = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n", "shift")).alias("hits"))
+    # a generator, and not a projection: the words are made once and not again in each alignment's slice
+    texts = mine.join(d, "doc_id").select("doc_id", "hits", F.explode(F.array(word_array(F.col("text")))).alias("w"))
+    missing = lambda x: F.greatest(-x["shift"], F.lit(0))  # noqa: E731  item words before the document's first
+    face = F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), x["n"].alias("n"), x["shift"].alias("shift"),
+                                                  F.slice("w", F.greatest(x["shift"], F.lit(0)) + 1, x["n"] - missing(x)).alias("face")))
+    faces = texts.select("doc_id", F.explode(face).alias("x")).select("doc_id", "x.*")
+    known = items.select("item_id", word_array(F.col("text")).alias("v")).withColumn("n", F.size("v")).distinct()
+    pairs = faces.join(known, ["item_id", "n"])
+    span = F.least(F.lit(WINDOW), F.col("n"))
+    need = span - F.when(F.col("n") <= EXACT, 0).otherwise(F.floor((WINDOW - NEED) * span / WINDOW).cast("int"))
+    before = F.greatest(-F.col("shift"), F.lit(0))
+    equal = F.transform("v", lambda word, j: F.when((j >= before) & (F.get("face", F.greatest(j - before, F.lit(0))) == word), 1).otherwise(0))
+    windows = F.transform(F.sequence(F.lit(0), F.col("n") - F.col("span")), lambda k: F.aggregate(F.slice("equal", k + 1, F.col("span")), F.lit(0), lambda a, x: a + x))
+    # a generator again: which words are equal is made once, not in every window
+    checked = (pairs.withColumn("span", span).withColumn("need", need).withColumn("equal", F.explode(F.array(equal)))
                .withColumn("best", F.array_max(windows)).where("best >= need"))
     return (checked.select("doc_id", "item_id", "shift", "best").distinct().groupBy("doc_id", "item_id")
             .agg(F.countDistinct("shift").alias("n_alignments"), F.min("shift").cast("bigint").alias("first_shift"), F.max("best").cast("bigint").alias("best_matches")))

@@ -140,7 +140,7 @@ SELECT d.doc_id, coalesce(sz.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coales
 FROM d LEFT JOIN sz USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
 
-#: Independent of the masks: at most three of 13 words differ, so three in a row are equal.
+#: Independent of the masks: of 13 words three differ at most (of 7 one, of 9 two), so three in a row are equal.
 OP2_SQL = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({SQL_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
 v AS (SELECT item_id, regexp_extract_all({SQL_LOWER}, '[^\x20\x09-\x0D]+') AS v FROM benchmark WHERE item_id IS NOT NULL),
@@ -152,7 +152,7 @@ eq AS (SELECT doc_id, item_id, shift, n, j, CASE WHEN shift + j >= 1 AND w[shift
 win AS (SELECT doc_id, item_id, shift, n, j, sum(e) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j ROWS BETWEEN {D.WINDOW - 1} PRECEDING AND CURRENT ROW) AS m FROM eq),
 best AS (SELECT doc_id, item_id, shift, n, max(m) AS best FROM win WHERE j >= least(n, {D.WINDOW}) GROUP BY ALL)
 SELECT doc_id, item_id, count(DISTINCT shift) AS n_alignments, min(shift)::BIGINT AS first_shift, max(best)::BIGINT AS best_matches
-FROM best WHERE best >= CASE WHEN n >= {D.WINDOW} THEN {D.NEED} ELSE n END GROUP BY doc_id, item_id
+FROM best WHERE best >= CASE WHEN n >= {D.WINDOW} THEN {D.NEED} WHEN n > {D.EXACT} THEN n - 3 * n // 13 ELSE n END GROUP BY doc_id, item_id
 """
 
 _SQL_NUMBER = "('0x' || substr(md5({}), 1, 15))::BIGINT"

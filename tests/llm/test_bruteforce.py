@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -94,9 +95,13 @@ def test_sketch_fills_every_coordinate():
 
 
 # ------------------------------------------------------------------ 2 decontamination
-def test_masks_are_lossless_for_three_substitutions():
-    for wrong in itertools.combinations(range(decontam.WINDOW), decontam.WINDOW - decontam.NEED):
-        assert any(not set(wrong) & {p + o for p in m} for m in decontam.MASKS for o in range(decontam.WINDOW - m[-1]))
+def test_masks_are_lossless_for_the_allowed_substitutions():
+    """Every length up to a window, every place of the substitutions: some mask for that length fits between them."""
+    for n in range(decontam.SHORTEST, decontam.WINDOW + 1):
+        masks = [m for m, least, most in decontam.MASKS if least <= n <= (most or n)]
+        for wrong in itertools.combinations(range(n), decontam.allowed(n)):
+            assert any(not set(wrong) & {p + o for p in m} for m in masks for o in range(n - m[-1]))
+    assert [decontam.allowed(n) for n in (3, 6, 7, 8, 9, 12, 13, 40)] == [0, 0, 1, 1, 2, 2, 3, 3]
 
 
 def brute_overlaps(texts, items):
@@ -108,7 +113,7 @@ def brute_overlaps(texts, items):
             if len(v) < decontam.SHORTEST:
                 continue
             span = min(len(v), decontam.WINDOW)
-            need = decontam.NEED if len(v) >= decontam.WINDOW else len(v)
+            need = span - decontam.allowed(len(v))
             good = {}
             for shift in range(-len(v), len(w)):
                 equal = [0 <= shift + j < len(w) and w[shift + j] == x for j, x in enumerate(v)]
@@ -137,6 +142,35 @@ def test_overlaps(spark):
     assert {(x["doc_id"], x["item_id"]): (x["n_alignments"], x["first_shift"], x["best_matches"]) for x in got} == want
 
 
+def test_overlaps_of_short_items(spark):
+    """Items of 3 to 14 words with so many words changed: found up to the allowed number, and only then."""
+    r = random.Random(8)
+    items = {n: words(300 + n, n, 400) for n in range(1, 15)}
+    texts = {}
+    for n in range(1, 15):
+        for changes in range(5):
+            v = items[n].split()
+            for k in r.sample(range(n), min(changes, n)):
+                v[k] = f"other{k}"
+            texts[100 * n + changes] = " ".join([*words(n, 7).split(), *v, *words(n + 50, 6).split()])
+    texts[5000] = " ".join(items[12].split()[3:])                      # begins inside an item
+    texts[5001] = " ".join(items[9].split()[:8])                       # ends inside an item
+    got = decontam.overlaps(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()
+    want = brute_overlaps(texts, items)
+    assert {(x["doc_id"], x["item_id"]): (x["n_alignments"], x["first_shift"], x["best_matches"]) for x in got} == want
+    assert {(d // 100, d % 100) for d, _ in want if d < 5000} >= {(n, c) for n in range(3, 15) for c in range(decontam.allowed(n) + 1)}
+
+
+def test_many_alignments_of_one_text_are_cheap(spark):
+    """8,000 equal words against an item of 100 of them: the text is split once, not at every alignment."""
+    docs = spark.createDataFrame([(1, "a " * 8000), (2, "b " * 50)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "a " * 100)], "item_id bigint, text string")
+    start = time.perf_counter()
+    got = [tuple(r) for r in decontam.overlaps(docs, items).collect()]
+    # every alignment in which a window of 13 faces at least 10 words
+    assert got == [(1, 1, 8000 + 100 - 19, -90, 13)] and time.perf_counter() - start < 40
+
+
 # ------------------------------------------------------------------ 3 personal data
 BASE = ((0, re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")), (1, re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
         (2, re.compile(r"[0-9]([\x20-]?[0-9])+")), (3, re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")))
