@@ -17,7 +17,7 @@ import pytest
 
 import corpus_pipeline
 from landstage.llm import common as C
-from landstage.llm import decontam, langid, lm, minhash, mixing, pii, quality, repetition, suffix
+from landstage.llm import decontam, langid, lm, minhash, mixing, pii, quality, registry, repetition, suffix
 from tests.llm.data import SF, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -385,3 +385,62 @@ def test_pipeline(spark, docs, rows):
     assert {r["source"] for r in got} == per
     longest = max(r["n_tokens"] for r in got)
     assert abs(sum(r["n_tokens"] for r in got) - sum(len(tokens(r["text"])) for r in left.values())) < len(per) * 2 * longest
+
+
+def test_every_stage_against_sql_and_brute_force(spark, rows):
+    """Each stage's rows and texts: DuckDB for rules, near duplicates, decontamination and the mix; masking by hand."""
+    import duckdb
+    import pandas as pd
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM read_parquet('{SF}/benchmark.parquet')")
+    left = pd.DataFrame([r.asDict() for r in rows])
+
+    def sql(query):
+        con.register("documents", left)
+        return con.execute(query)
+
+    def same(df, want):
+        got = {r["doc_id"]: tuple(r[c] for c in left.columns) for r in df.collect()}
+        assert got == {r[0]: r for r in want[left.columns.tolist()].itertuples(index=False, name=None)}
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    left = left[docs.columns]
+    kept = {r[0] for r in sql(f"SELECT doc_id FROM ({registry.OP8_SQL}) WHERE kept").fetchall()}
+    docs = C.materialise(corpus_pipeline.quality_rules(spark, docs, SF), "t8")
+    left = left[left.doc_id.isin(kept)]
+    same(docs, left)
+    kept = {r[0] for r in sql(f"SELECT doc_id FROM ({registry.OP1_SQL}) WHERE kept").fetchall()}
+    docs = C.materialise(corpus_pipeline.near_dedup(spark, docs, SF), "t1")
+    assert 0 < len(kept) < len(left)
+    left = left[left.doc_id.isin(kept)]
+    same(docs, left)
+    gone = {r[0] for r in sql(f"SELECT doc_id FROM ({registry.OP2_SQL})").fetchall()}
+    docs = C.materialise(corpus_pipeline.decontamination(spark, docs, SF), "t2")
+    assert gone
+    left = left[~left.doc_id.isin(gone)]
+    same(docs, left)
+    # personal data: the base spans by hand, what the field adds from its own query
+    added = {}
+    for r in pii.personal_data(docs, pii.train(docs)).collect():
+        found = [(int(a), pii.KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in r["spans"].split(",") if x)]
+        added[r["doc_id"]] = found
+    texts = []
+    for r in left.itertuples():
+        spans = sorted({*brute_spans(r.text), *added[r.doc_id]})
+        out, at = "", 0
+        for a, k, b in spans:
+            if a < at:
+                at = max(at, b)
+                continue
+            out, at = out + r.text[at:a] + f"<{pii.KINDS[k]}>", b
+        texts.append(out + r.text[at:])
+    docs = C.materialise(corpus_pipeline.personal_data(spark, docs, SF), "t3")
+    assert sum(a != b for a, b in zip(texts, left.text, strict=True)) > 10
+    left = left.assign(text=texts, n_chars=[len(x) for x in texts])
+    same(docs, left)
+    con.register("documents", left)
+    mix = con.execute(registry.OP5_SQL)
+    names = [c[0] for c in mix.description]
+    want = sorted(mix.fetchall(), key=str)
+    assert sorted((tuple(r[n] for n in names) for r in corpus_pipeline.source_mixing(spark, docs, SF).collect()), key=str) == want
+    assert sorted((tuple(r[n] for n in names) for r in corpus_pipeline.run(spark, SF).collect()), key=str) == want
