@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from landstage.llm.common import materialise
+
 HALVINGS = 60
 MAX_SOURCES = 100_000
 MAX_REPEATS = 2.0
@@ -91,6 +93,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """(doc_id, source, epoch, block_rank, doc_rank, n_tokens): the mix, one row per document and epoch."""
     counted = (docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                            F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint").alias("n_tokens")).where("n_tokens > 0"))
+    counted = materialise(counted, "word-counts")       # the texts are read once
     plan = source_plan(counted, max_repeats, target_entropy, budget_share).select(F.col("source").alias("plan_source"), "full", "rest", "n_blocks")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     rows = (counted.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
