@@ -100,8 +100,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
-    hits = materialise(alignments(d, items), "alignments")
-    mine = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n", "shift")).alias("hits"))
+    # a written table: Spark knows its size, and shuffles the texts only if it is too large to broadcast
+    mine = materialise(alignments(d, items).groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n", "shift")).alias("hits")), "alignments")
     # a generator, and not a projection: the words are made once and not again in each alignment's slice
     texts = mine.join(d, "doc_id").select("doc_id", "hits", F.explode(F.array(word_array(F.col("text")))).alias("w"))
     missing = lambda x: F.greatest(-x["shift"], F.lit(0))  # noqa: E731  item words before the document's first
