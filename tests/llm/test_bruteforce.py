@@ -444,3 +444,16 @@ def test_every_stage_against_sql_and_brute_force(spark, rows):
     want = sorted(mix.fetchall(), key=str)
     assert sorted((tuple(r[n] for n in names) for r in corpus_pipeline.source_mixing(spark, docs, SF).collect()), key=str) == want
     assert sorted((tuple(r[n] for n in names) for r in corpus_pipeline.run(spark, SF).collect()), key=str) == want
+
+
+def test_samples_do_not_depend_on_the_piece(monkeypatch):
+    """Texts and runs of equal windows that lie across the ends of pieces give the same samples."""
+    texts = ["", "ab" * 300, "x" * 49, "y" * 50, "".join(chr(97 + i * i * 7 % 26) for i in range(2000)), "z" * 400]
+    t = C.flat(pa.array(texts))
+    whole = suffix.samples(t)
+    for piece in (1, 7, 64, 333):
+        monkeypatch.setattr(suffix, "PIECE", piece)
+        for one, other in zip(whole, suffix.samples(t), strict=True):
+            assert np.array_equal(one, other)
+    windows = np.concatenate([np.arange(a, b + 1) for a, b in zip(whole.first, whole.last, strict=True)])
+    assert np.array_equal(windows, np.concatenate([np.arange(a, b - suffix.LENGTH + 1) for a, b in zip(t.start, t.end, strict=True)]))
