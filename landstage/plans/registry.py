@@ -351,7 +351,7 @@ def q_lookup_cast_key(spark, d):
 # ============================================================== staging loads
 def _load(spec, spark, d):
     """Run a load over the written landing (and staging) tables."""
-    return run_load(spec, written(spark, d), stamp=None)
+    return run_load(spec, written(spark, d, spec.needs()), stamp=None)
 
 
 @register("dim_agent", f"""WITH cap AS ({captured_list_sql()})
@@ -512,7 +512,7 @@ WHERE hit.found AND NOT EXISTS (SELECT 1 FROM stg_product p WHERE bc.broker_clie
   AND x.policy_description = p.policy_description AND {INT('x.cover')} = p.cover AND x.member_type = p.relate_to)"""))
 def q_policy_unmatched(spark, d):
     """Landing policies that find no member (only women are in the dimension here) or no product."""
-    inputs = written(spark, d)
+    inputs = written(spark, d, M.POLICY.needs())
     inputs[M.STG_MEMBER] = inputs[M.STG_MEMBER].where("gender = 'F'")
     return unmatched(M.POLICY, inputs).select("policy_number", "id_number", "missing")
 
@@ -521,7 +521,7 @@ def q_policy_unmatched(spark, d):
 SELECT 'lost_' || missing AS metric, count(*) AS n FROM lost GROUP BY missing UNION ALL SELECT 'matched', count(*) FROM loaded""")
 def q_policy_lookup_counts(spark, d):
     """What the policy load's own run counted: rows that each lookup lost, and rows that passed all."""
-    inputs = written(spark, d)
+    inputs = written(spark, d, M.POLICY.needs())
     inputs[M.STG_MEMBER] = inputs[M.STG_MEMBER].where("gender = 'F'")
     counts = Observation(f"policy-{uuid.uuid4().hex}")
     run_load(M.POLICY, inputs, stamp=None, counts=counts).write.parquet(scratch_path(spark, "counted"))
@@ -909,7 +909,7 @@ def q_fact_policy_runs(spark, d):
     """The policy fact as jobs over bucketed staging tables of the catalog; two of the jobs are executed twice."""
     prefix = f"q{uuid.uuid4().hex[:12]}_"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    inputs = written(spark, d)
+    inputs = written(spark, d, (M.CAPTURED, M.PRODUCT_EXTRACT))
     for name in (M.CAPTURED, M.PRODUCT_EXTRACT):
         inputs[name].createOrReplaceTempView(f"{prefix}{name}")
     jobs = (("member", "member_id"), ("broker_from_extract", "broker_id"), ("client_from_extract", "client_id"),
@@ -971,10 +971,10 @@ def q_copy_parquet_tree(spark, d):
 @register("incremental_dim_agent", ORACLES["dim_agent"])
 def q_incremental_dim_agent(spark, d):
     """The agent load run as a bookmarked stream over the written landing folder."""
-    from landstage.plans.staging import written_paths
+    from landstage.plans.staging import landing_files
     from landstage.streaming import run_incremental
     root = scratch_path(spark, "incremental")
-    landing_path = written_paths(spark, d)[M.CAPTURED]
+    landing_path = landing_files(spark, d, M.CAPTURED, M.AGENT.dedupe)
     run_incremental(spark, M.AGENT, landing_path, f"{root}/out", f"{root}/checkpoint", stamp=None)
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 

@@ -156,32 +156,40 @@ def _exprs(cols, dialect):
     return [f"{render(t, dialect)} AS {n}" for n, t in cols]
 
 
-def captured_list(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem")
-    o = table(spark, d, "orders")
-    c = table(spark, d, "customer")
-    s = table(spark, d, "supplier")
-    n = table(spark, d, "nation")
-    p = table(spark, d, "part")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey)
-         .join(s, F.col("l_suppkey") == s.s_suppkey)
-         .join(n, F.col("s_nationkey") == n.n_nationkey)
-         .join(p, F.col("l_partkey") == p.p_partkey))
-    return j.selectExpr(*_exprs(CAPTURED_COLS, "spark"))
+LINE_COLS = ("l_orderkey", "l_linenumber", "l_shipdate", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_orderkey",
+             "c_custkey", "c_name", "c_mktsegment", "c_nationkey", "p_partkey", "p_name", "p_type", "p_size", "p_brand", "p_retailprice",
+             "s_suppkey", "s_name", "s_nationkey")
+
 
+def order_lines(spark: SparkSession, d: str) -> DataFrame:
+    """One row per lineitem with its order, customer, supplier and part: the columns both landing lists are made of.
 
-def product_extract(spark: SparkSession, d: str) -> DataFrame:
+    The narrow columns of lineitem are shuffled before the attributes are known, and the
+    customers come last, so that a customer's rows end up together.
+    """
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
     s = table(spark, d, "supplier")
     p = table(spark, d, "part")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey)
+         .join(p, F.col("l_partkey") == p.p_partkey)
          .join(s, F.col("l_suppkey") == s.s_suppkey)
-         .join(p, F.col("l_partkey") == p.p_partkey))
-    return j.selectExpr(*_exprs(PRODUCT_EXTRACT_COLS, "spark"))
+         .join(c, F.col("o_custkey") == c.c_custkey))
+    return j.select(*LINE_COLS)
+
+
+def captured_list(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
+    """``lines``: the frame of ``order_lines``, if it has been written."""
+    lines = order_lines(spark, d) if lines is None else lines
+    n = table(spark, d, "nation")
+    return lines.join(n, F.col("s_nationkey") == n.n_nationkey).selectExpr(*_exprs(CAPTURED_COLS, "spark"))
+
+
+def product_extract(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:
+    """``lines``: the frame of ``order_lines``, if it has been written."""
+    lines = order_lines(spark, d) if lines is None else lines
+    return lines.selectExpr(*_exprs(PRODUCT_EXTRACT_COLS, "spark"))
 
 
 def member_list(spark: SparkSession, d: str) -> DataFrame:
