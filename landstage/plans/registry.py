@@ -524,7 +524,7 @@ def q_policy_lookup_counts(spark, d):
     inputs = written(spark, d, M.POLICY.needs())
     inputs[M.STG_MEMBER] = inputs[M.STG_MEMBER].where("gender = 'F'")
     counts = Observation(f"policy-{uuid.uuid4().hex}")
-    run_load(M.POLICY, inputs, stamp=None, counts=counts).write.option("compression", "zstd").parquet(scratch_path(spark, "counted"))
+    run_load(M.POLICY, inputs, stamp=None, counts=counts, narrow=True).write.option("compression", "zstd").parquet(scratch_path(spark, "counted"))
     return spark.createDataFrame([(k, n) for k, n in counts.get.items() if n], "metric string, n bigint")
 
 
