@@ -28,7 +28,7 @@ from landstage.plans.cleaning import clean_and_nest, flatten
 from landstage.plans.skeletons import (explode_encode, relationalize_encode, select_rename_stamp,
                                        stamp_all)
 from landstage.plans.spec import run_load, unmatched
-from landstage.plans.staging import two_feeds, unique_lookups, written
+from landstage.plans.staging import product_rows, two_feeds, unique_lookups, written
 from landstage.plans.testbed import (TABLES, captured_list_sql, member_list_sql,
                                      product_extract_sql, table)
 from landstage.session import scratch_path
@@ -512,9 +512,9 @@ WHERE hit.found AND NOT EXISTS (SELECT 1 FROM stg_product p WHERE bc.broker_clie
   AND x.policy_description = p.policy_description AND {INT('x.cover')} = p.cover AND x.member_type = p.relate_to)"""))
 def q_policy_unmatched(spark, d):
     """Landing policies that find no member (only women are in the dimension here) or no product."""
-    inputs = written(spark, d, M.POLICY.needs())
+    inputs = written(spark, d, [n for n in M.POLICY.needs() if n != M.STG_PRODUCT]) | {M.STG_PRODUCT: product_rows(spark, d)}
     inputs[M.STG_MEMBER] = inputs[M.STG_MEMBER].where("gender = 'F'")
-    return unmatched(M.POLICY, inputs).select("policy_number", "id_number", "missing")
+    return unmatched(M.POLICY, inputs, narrow=True).select("policy_number", "id_number", "missing")
 
 
 @register("policy_lookup_counts", f"""WITH lost AS ({ORACLES["policy_unmatched"]}), loaded AS ({ORACLES["fact_policy"]} WHERE m.gender = 'F')

@@ -1,11 +1,16 @@
 """Ids in packed form: what a load moves is narrower, its rows are the same."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from landstage.operators.keys import pack, unpack
 from landstage.operators.lookup import lookup
+from landstage.plans import model as M
+from landstage.plans import registry
 from landstage.plans.spec import LoadSpec, Lookup, run_load, unmatched
+from tests.test_staging import tables  # noqa: F401
 
 TEXTS = ["", "a", "ab", "AB", "abc", "0abc", "aB", "é", "00", "\x01", "zz", "da39a3ee5e6b4b0d3255bfef95601890afd80709", " ab", None]
 
@@ -45,3 +50,37 @@ def test_a_load_with_packed_ids_has_the_same_rows(spark, chain):
     assert len(plain) == 10 and rows(run_load(spec, inputs, stamp=None, narrow=True)) == plain
     lost = rows(unmatched(spec, inputs))
     assert len(lost) == 7 and rows(unmatched(spec, inputs, narrow=True)) == lost
+
+
+@pytest.mark.parametrize("query", ["fact_policy", "policy_unmatched"])
+def test_the_landing_rows_are_shuffled_with_packed_ids(spark, tables, query):  # noqa: F811
+    off = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in off:
+        spark.conf.set(key, "-1")
+    try:
+        df = registry.queries()[query](spark, tables)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # by the product: the id of the broker's client is the first of four keys
+        assert re.search(r"SortMergeJoin \[__lk0l#\d+, __lk1l#\d+, __lk2l#\d+, __lk3l#\d+\]", plan)
+        assert "unhex" in plan.split("SortMergeJoin")[-1]
+        # the product is made distinct by the lookup's keys alone where they are unique
+        assert ("p_retailprice" in plan) == (query == "fact_policy")
+    finally:
+        for key in off:
+            spark.conf.unset(key)
+
+
+def test_repeated_products_are_one_for_a_lookup_of_unique_keys(spark, tables):  # noqa: F811
+    from landstage.plans.staging import product_rows
+    product = product_rows(spark, tables)
+    assert product.count() == 9 > product.distinct().count()        # a row for each line, as they are in the landing list
+    got = registry.queries()["policy_unmatched"](spark, tables).collect()
+    assert [(r.policy_number, r.missing) for r in got] and {r.missing for r in got} <= {M.STG_MEMBER, M.STG_PRODUCT}
+    plain = unmatched(M.POLICY, dict(_plain(spark, tables)))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain.select("policy_number", "id_number", "missing").collect()))
+
+
+def _plain(spark, d):
+    from landstage.plans.staging import written
+    for name, df in written(spark, d, M.POLICY.needs()).items():
+        yield name, df.where("gender = 'F'") if name == M.STG_MEMBER else df
