@@ -165,7 +165,8 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
     """One row per lineitem with its order, customer, supplier and part: the columns both landing lists are made of.
 
     The narrow columns of lineitem are shuffled before the attributes are known, and the
-    customers come last, so that a customer's rows end up together.
+    customers come last of the large tables, so that a customer's rows end up together; the
+    suppliers are few, and their attributes are added where the rows then are.
     """
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders")
@@ -174,9 +175,10 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(p, F.col("l_partkey") == p.p_partkey)
-         .join(s, F.col("l_suppkey") == s.s_suppkey)
-         .join(c, F.col("o_custkey") == c.c_custkey))
-    return j.select(*LINE_COLS)
+         .join(c, F.col("o_custkey") == c.c_custkey)
+         .join(s, F.col("l_suppkey") == s.s_suppkey))
+    # equal by the join: the order's key is carried once
+    return j.select(*[F.col("l_orderkey").cast(o.schema[x].dataType).alias(x) if x == "o_orderkey" else x for x in LINE_COLS])
 
 
 def captured_list(spark: SparkSession, d: str, lines: DataFrame | None = None) -> DataFrame:

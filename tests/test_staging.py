@@ -83,3 +83,13 @@ def test_tables_of_runs_are_written_with_zstd(spark, tmp_path):
         assert list(path.rglob("*.zstd.parquet"))
     finally:
         spark.sql("DROP TABLE zstd_runs")
+
+
+def test_joined_rows_carry_an_order_key_once_and_take_suppliers_last(spark, tables):
+    df = order_lines(spark, tables)
+    assert df.where("o_orderkey = l_orderkey").count() == df.count() == 9
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    # the first join from the top is the suppliers', and what is below it has no second key of the order
+    assert re.search(r"Join Inner, \((\w+)#\d+L? = (\w+)#\d+L?\)", p).groups() == ("l_suppkey", "s_suppkey")
+    below = re.search(r"Project \[([^\]]*)\]\n[^\n]*Join Inner, \(o_custkey", p).group(1)
+    assert "l_orderkey" in below and "o_orderkey" not in below
