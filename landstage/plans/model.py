@@ -119,10 +119,14 @@ MEMBER_BENEFICIARY = LoadSpec(
                "beneficiary_relation", "beneficiary_percentage", "beneficiary_cell"),
 )
 
+# L6 with the landing dedupe before the lookup, as the job has it: a member's landing rows are as
+# many as their policies and 28 texts wide, and are made one where they lie before any is shuffled
+MEMBER_BENEFICIARY_DISTINCT = dataclasses.replace(
+    MEMBER_BENEFICIARY, dedupe=("first_name", "last_name", "id_number") + tuple(beneficiary_slot_columns()))
+
 # L6 in the legacy layout: every combination of a member's distinct values, an explicit option
 MEMBER_BENEFICIARY_CROSS = dataclasses.replace(
-    MEMBER_BENEFICIARY, name="member_beneficiary_cross",
-    dedupe=("first_name", "last_name", "id_number") + tuple(beneficiary_slot_columns()),
+    MEMBER_BENEFICIARY_DISTINCT, name="member_beneficiary_cross",
     unpivot=dataclasses.replace(MEMBER_BENEFICIARY.unpivot, mode="cross"))
 
 # L7 policy (fact): five lookups, later keys come from earlier lookups

@@ -495,7 +495,7 @@ FROM rows_""")
 
 @register("load_member_beneficiary", _beneficiary_sql(cross=False))
 def q_load_member_beneficiary(spark, d):
-    return _load(M.MEMBER_BENEFICIARY, spark, d)
+    return _load(M.MEMBER_BENEFICIARY_DISTINCT, spark, d)
 
 
 @register("policy_unmatched", with_staging(f"""
