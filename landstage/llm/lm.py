@@ -15,7 +15,7 @@ Counts are tables partitioned by hash, and documents' n-grams are joined to them
    pair sends more than a share of ``SHARE`` to one bucket.  A batch sends each pair once,
    with its documents, and buckets hold everything needed to count c(uw) and c(u).
 3. Words.  Pairs seen once ask the bucket of their second word for c(w).
-4. The buckets' partial sums are added per document.
+4. The buckets' partial sums are unpacked there and added per document.
 
 The exchanges carry packed arrays, one row per batch and bucket; the number of buckets
 grows with the corpus (``BUCKET_WORDS``) and is at least ``spark.sql.shuffle.partitions``.  Words are named by 56-bit fingerprints.
@@ -28,6 +28,7 @@ columns are read, whatever others are called.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,7 +62,7 @@ def batches_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.nda
     """(ids, word hashes, document index of each word) for batches of whole documents of about BATCH_WORDS words, at most BATCH_DOCS documents."""
     ids, hashes, docs, n_docs, n_words = [], [], [], 0, 0
     for batch in batches:
-        for part in C.chunks(batch, most=1_000_000):
+        for part in C.chunks(batch, most=250_000):
             t = C.flat(part.column(1))
             t = t._replace(buf=C.LOWER[t.buf])
             w = C.words(t)
@@ -173,6 +174,22 @@ def _from_names(b: bytes) -> np.ndarray:
     return out.view(U64).ravel()
 
 
+def _part(ids: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(sums)], ["doc_id", "n", "s"])
+
+
+def _cells(column: pa.Array | pa.ChunkedArray) -> list[pa.Buffer]:
+    """The packed arrays of a column, where they are: a bucket's are the most that a task holds, so none is copied."""
+    out = []
+    for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        if len(part):
+            _, offsets, values = part.buffers()
+            at = np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(part.type) else np.int32)[part.offset:part.offset + len(part) + 1].tolist()
+            values = pa.py_buffer(b"") if values is None else values
+            out += [values[a:b] for a, b in itertools.pairwise(at)]
+    return out
+
+
 def _row(bucket: int, kind: str, *fields: bytes) -> tuple:
     return (bucket, kind, *fields, *(b"" for _ in range(len(FIELDS) - len(fields))))
 
@@ -264,17 +281,16 @@ def counted_pairs(rows: DataFrame, top: Frequent, buckets: int) -> DataFrame:
     def run(key: tuple, table: pa.Table) -> pa.Table:
         f, bucket = shared.value, key[0].as_py()
         kind = np.array(table.column("kind").to_pylist())
-        other = table.filter(pa.array(kind != "pairs"))
-        mine = table.filter(pa.array(kind == "pairs"))
-        if not mine.num_rows:
+        other, mine = table.filter(pa.array(kind != "pairs")), np.flatnonzero(kind == "pairs")
+        if not len(mine):
             return other
-        cols = {c: mine.column(c).to_pylist() for c in FIELDS}
+        cols = {c: _cells(table.column(c)) for c in FIELDS}
         # the bucket's words are counted in parts, so that the unpacked arrays stay small
-        parts = 1 + sum(len(x) for x in (*cols["c"], *cols["e"])) // PART_BYTES
+        parts = 1 + sum(len(cols[c][i]) for c in ("c", "e") for i in mine) // PART_BYTES
         ids, sums, out = [], [], []
         for part in range(parts):
             h1, h2, docs, times, posts = [], [], [], [], []
-            for i in range(mine.num_rows):
+            for i in mine:
                 word, pairs_of, posts_of = _from_names(cols["a"][i]), _wide(cols["b"][i]), _wide(cols["d"][i])
                 own = (C.mix(word) >> U64(40)) % U64(parts) == part
                 pair = np.repeat(own, pairs_of)
@@ -323,38 +339,37 @@ def counted_pairs(rows: DataFrame, top: Frequent, buckets: int) -> DataFrame:
 
 
 def answered(rows: DataFrame, total: int) -> DataFrame:
-    """Per bucket: the asks' scores from the counts of words, summed per document; sums pass through."""
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        kind = np.array(table.column("kind").to_pylist())
-        sums = table.filter(pa.array(kind == "sum"))
-        docs, a, b = (table.column(c).to_pylist() for c in ("docs", "a", "b"))
-        ask, count = np.flatnonzero(kind == "ask"), np.flatnonzero(kind == "count")
-        if not len(ask):
-            return sums
-        names = np.concatenate([_from_names(a[i]) for i in count])
-        counts = np.concatenate([_wide(b[i]) for i in count])
-        order = np.argsort(names)
-        ids = np.concatenate([_from_ids(docs[i]) for i in ask])
-        word = np.concatenate([_from_names(a[i]) for i in ask])
-        back = np.concatenate([_wide(b[i]) for i in ask])
-        c = counts[order][np.searchsorted(names[order], word)]
-        found = _sum(-1, *_added([ids], [np.log10(np.where(back, BACKOFF, 1.0) * c / total)]))
-        return pa.concat_tables([sums.cast(_rows([]).schema), pa.Table.from_batches([_rows([found])])])
+    """Parts (doc_id, n, s) of documents' words and sums: per bucket, the packed sums and the asks' scores from the counts of words.
 
-    return rows.groupBy("bucket").applyInArrow(run, PACKED)
-
-
-def summed(rows: DataFrame) -> DataFrame:
-    """(doc_id, n_words, total): packed partial sums added per document."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The sums are unpacked here, as a step of Python after this one would keep a second worker for every core."""
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asks, known = [], []
         for batch in batches:
-            for docs, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = _from_ids(docs)
-                n = _wide(b) if b else np.zeros(len(ids), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(np.frombuffer(a, np.float64))], ["doc_id", "n", "s"])
-
-    flat = rows.where("kind = 'sum'").select("docs", "a", "b").mapInArrow(run, "doc_id bigint, n bigint, s double")
-    return flat.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("s").alias("total"))
+            for kind, docs, a, b in zip(batch.column("kind").to_pylist(), *(_cells(batch.column(c)) for c in ("docs", "a", "b")), strict=True):
+                if kind == "sum":
+                    ids = _from_ids(docs)
+                    yield _part(ids, _wide(b) if len(b) else np.zeros(len(ids), np.int64), np.frombuffer(a, np.float64).copy())
+                elif kind == "ask":
+                    asks.append((docs, a, b))
+                else:
+                    known.append((a, b))
+        if asks:
+            names = np.concatenate([_from_names(a) for a, _ in known])
+            counts = np.concatenate([_wide(b) for _, b in known])
+            order = np.argsort(names)
+            ids = np.concatenate([_from_ids(docs) for docs, _, _ in asks])
+            word = np.concatenate([_from_names(a) for _, a, _ in asks])
+            back = np.concatenate([_wide(b) for _, _, b in asks])
+            c = counts[order][np.searchsorted(names[order], word)]
+            ids, found = _added([ids], [np.log10(np.where(back, BACKOFF, 1.0) * c / total)])
+            yield _part(ids, np.zeros(len(ids), np.int64), found)
+
+    return rows.groupBy("bucket").applyInArrow(run, "doc_id bigint, n bigint, s double")
+
+
+def summed(parts: DataFrame) -> DataFrame:
+    """(doc_id, n_words, total): parts added per document."""
+    return parts.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("s").alias("total"))
 
 
 def buckets_for(spark: SparkSession, total: int) -> int:

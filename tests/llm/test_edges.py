@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +191,27 @@ def test_language_model_buckets_grow_with_the_corpus(spark, monkeypatch):
     assert got.keys() == want.keys() and all(got[d] == (None if x is None else pytest.approx(x)) for d, x in want.items())
 
 
+def test_language_model_runs_one_step_of_python_in_a_stage(spark):
+    """Two in one stage would keep two workers for every core, each as large as its largest step."""
+    plan = lm.backoff_scores(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    steps = re.findall(r"MapInArrow|FlatMapGroupsInArrow|Exchange", plan)
+    assert steps[:6] == ["Exchange", "FlatMapGroupsInArrow"] * 2 + ["Exchange", "MapInArrow"] and "InArrow" not in "".join(steps[6:])
+
+
+def test_packed_arrays_are_read_where_they_are():
+    column = pa.chunked_array([[b"ab", b""], [b"cdef"]])
+    cells = lm._cells(column)
+    assert [x.to_pybytes() for x in cells] == column.to_pylist()
+    assert [cells[0].address, cells[2].address] == [c.buffers()[2].address for c in column.chunks]
+    for kind in (pa.binary(), pa.large_binary()):
+        part = pa.array([b"x", b"yy", b"", b"zzz"], kind).slice(1)
+        assert [x.to_pybytes() for x in lm._cells(part)] == part.to_pylist() and lm._cells(part.slice(3)) == []
+        assert [x.to_pybytes() for x in lm._cells(pa.array([b"", b""], kind))] == [b"", b""]
+    assert lm._wide(pa.py_buffer(lm._small(np.array([3, 70_000])))).tolist() == [3, 70_000]
+    assert lm._from_ids(pa.py_buffer(lm._ids(np.array([5, 9, 9])))).tolist() == [5, 9, 9] and not len(lm._from_ids(cells[1]))
+    assert not len(np.frombuffer(cells[1], np.float64)) and not len(lm._from_names(cells[1]))
+
+
 def test_header_names_that_differ_by_case(spark):
     full = {"Date": "a", "date": "b", "DATE": "c", "X-One": "1"}
     rows = [(1, "response", "http://h/p?x=" + "y" * 1_200_000, 10, '"t"', None, "d", full),
