@@ -1,14 +1,20 @@
 """Runs and their ledger, bucketed jobs, flagged lookups, database reads."""
 
+import os
+import re
+import time
+
 import pyspark.sql.functions as F
 import pytest
 from pyspark.sql import Observation
 
+from landstage.operators.keys import with_surrogate_id
 from landstage.plans import model as M
 from landstage.plans.jobs import build_job, run_job
 from landstage.plans.spec import flagged, run_load, unmatched
 from landstage.plans.stores import Database, range_options
-from landstage.sinks import finished, record_run, runs, write_run, write_table
+from landstage.session import FILE_CLEANUP, shuffles_freed
+from landstage.sinks import finished, finished_files, record_run, runs, write_run, write_table
 from test_bucketing import NO_BROADCAST
 
 
@@ -166,6 +172,82 @@ def test_a_missed_row_matches_nothing_more(spark):
     assert out.count() == 60 and out.where("broker_id is not null or client_id is not null").count() == 0
 
 
+def test_a_run_in_slices_has_the_rows_and_counts_of_a_whole_run(spark, names, tmp_path):
+    """More slices than some have rows; executed twice; small dimensions sent whole with packed ids."""
+    inputs = fact_inputs(spark)
+    some = inputs[M.CAPTURED].where("length(policy_number) = 2")
+    inputs[M.CAPTURED] = some.union(some.where("policy_number < 'P3'")).selectExpr(
+        "*", "if(policy_number = 'P7', null, status) AS s").drop("status").withColumnRenamed("s", "status")
+    for n, df in inputs.items():
+        df.createOrReplaceTempView(f"lss_{n}")
+    counts = Observation("whole-run")
+    whole = rows(run_load(M.POLICY, inputs, stamp=None, counts=counts))
+    t, path = names(f"lss_{M.STG_POLICY}"), str(tmp_path / "p")
+    for _ in range(2):
+        run_job(spark, "policy", prefix="lss_", stamp=None, run_id="a b", send=(M.STG_BROKER, M.STG_CLIENT, M.STG_BROKER_CLIENT), slice_rows=3, path=path)
+    assert rows(finished(spark, t)) == whole and len(whole) > 4
+    ledger, = runs(spark, t).collect()
+    assert ledger.state == "done" and ledger.counts == counts.get
+    record_run(spark, t, "half", "running", path=f"{path}-runs")
+    write_run(run_load(M.POLICY, inputs, stamp=None), t, "half", path=path)
+    kept = finished_files(spark, t, path)
+    spark.sql(f"DROP TABLE {t}")
+    spark.sql(f"DROP TABLE {t}_runs")
+    assert rows(kept) == whole                              # without the run that is not done
+    with pytest.raises(ValueError, match="slices"):
+        run_job(spark, "client", prefix="lss_", run_id="a", slice_rows=2)
+    for n in inputs:
+        spark.catalog.dropTempView(f"lss_{n}")
+
+
+@pytest.mark.parametrize("few", [100, 0])
+def test_a_bucketed_run_deals_its_rows_before_they_are_hashed(spark, names, few):
+    """One exchange of landing texts, no hash in it; with few repeated hashes only rows with one are shuffled to be made distinct."""
+    ext = spark.createDataFrame([(f"c{i % 40}", f"d{i % 7}", "m", "1", "2", "9.5", "1.25", f"{i % 3}.50", "x", "cat", "t", f"B{i % 4}", f"N{i % 4}", f"C{i % 3}", "u") for i in range(90)],
+                                ", ".join(f"{c} string" for c in M.PRODUCT_COLS))
+    broker = spark.createDataFrame([(f"B{i}", f"N{i}", sha) for i in range(4) for sha in ("ab12", f"q{i}")], "broker_code string, broker_name string, broker_id string")
+    client = spark.createDataFrame([(f"C{i}", f"K{i}") for i in range(3)], "client_name string, client_id string")
+    link = spark.createDataFrame([(b, f"K{j}", f"{i:040x}" if i else "Z") for i, b in enumerate(("ab12", "q1", "q2")) for j in range(3)], "broker_id string, client_id string, broker_client_id string")
+    inputs = {M.PRODUCT_EXTRACT: ext, M.STG_BROKER: broker, M.STG_CLIENT: client, M.STG_BROKER_CLIENT: link}
+    for n, df in inputs.items():
+        df.createOrReplaceTempView(f"lsd_{n}")
+    whole = rows(with_surrogate_id(run_load(M.PRODUCT, inputs, stamp=None), "product_id"))
+    t = names(f"lsd_{M.STG_PRODUCT}")
+    run_job(spark, "product", prefix="lsd_", surrogate="product_id", stamp=None, run_id="a", buckets=4, send=tuple(inputs), few=few, mostly_distinct=True)
+    assert rows(finished(spark, t)) == whole and whole
+    # a file for each bucket at most: the rows lay as the buckets want them
+    files = [f.rsplit("_", 1)[1].split(".")[0] for f in spark.table(t).inputFiles()]
+    assert len(files) == len(set(files)) <= 4
+    keys = M.lookup_keys(M.STG_PRODUCT)
+    out = run_load(M.PRODUCT, inputs, stamp=None, narrow=True, deal=(4, keys))
+    moved = re.search(r"RepartitionByExpression[^\n]*\n[^\n]*Project \[([^\n]*)\]", out._jdf.queryExecution().optimizedPlan().toString()).group(1)
+    assert "sha1" not in moved and "product_category" in moved
+    assert rows(out) == rows(run_load(M.PRODUCT, inputs, stamp=None))
+    for n in inputs:
+        spark.catalog.dropTempView(f"lsd_{n}")
+
+
+def test_what_a_run_shuffles_is_removed_when_it_ends(spark, names):
+    """A frame that is still there holds its shuffle files otherwise."""
+    def shuffled():
+        root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return sorted(f for top in root for d, _, fs in os.walk(top) for f in fs if f.startswith("shuffle_"))
+
+    before = shuffled()
+    frames = [spark.range(2000).selectExpr("id % 7 AS k", "id").repartition(3, "k") for _ in range(2)]
+    write_run(frames[0], names("ls_runs_freed"), "a")
+    until = time.time() + 20                                # they are removed beside the next work
+    while set(shuffled()) - set(before) and time.time() < until:
+        time.sleep(0.1)
+    assert set(shuffled()) <= set(before)
+    old = spark.conf.get(FILE_CLEANUP)
+    with shuffles_freed(spark):
+        assert spark.conf.get(FILE_CLEANUP) == "true"
+    assert spark.conf.get(FILE_CLEANUP) == old
+    frames[1].write.format("noop").mode("overwrite").save()
+    assert set(shuffled()) - set(before)                    # as it is without
+
+
 def test_ranges_follow_the_table():
     assert range_options("k", 1, 1000, 5_000_000, 1_000_000, 64) == {"partition_column": "k", "lower": 1, "upper": 1001, "num_partitions": 5}
     assert range_options("k", 1, 3, 5_000_000, 1_000_000, 64)["num_partitions"] == 3
