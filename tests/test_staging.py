@@ -1,7 +1,9 @@
 """The staging chain over the test tables: what a load makes Spark write, and how its lookups run."""
 
 import datetime as dt
+import os
 import re
+import time
 
 import pytest
 
@@ -85,6 +87,21 @@ def test_tables_of_runs_are_written_with_zstd(spark, tmp_path):
         spark.sql("DROP TABLE zstd_runs")
 
 
+def test_what_a_staging_write_shuffles_is_removed_when_it_ends(spark, tables):
+    def shuffled():
+        root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for top in root for d, _, fs in os.walk(top) for f in fs if f.startswith("shuffle_")}
+
+    before = shuffled()
+    frame = spark.range(2000).selectExpr("id % 7 AS k", "id").repartition(3, "k")
+    put = staging._put(spark, frame)
+    until = time.time() + 20                # they are removed beside the next work
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before and frame.columns == ["k", "id"]     # the frame is still there
+    assert put.count() == 2000
+
+
 def test_joined_rows_carry_an_order_key_once_and_take_suppliers_last(spark, tables):
     df = order_lines(spark, tables)
     assert df.where("o_orderkey = l_orderkey").count() == df.count() == 9
