@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from landstage.operators.keys import pack, unpack
 from landstage.operators.lookup import lookup
 from landstage.plans import model as M
-from landstage.plans import registry
+from landstage.plans import registry, staging
 from landstage.plans.spec import LoadSpec, Lookup, run_load, unmatched
 from tests.test_staging import tables  # noqa: F401
 
@@ -70,6 +70,25 @@ def test_the_landing_rows_are_shuffled_with_packed_ids(spark, tables, query):  #
             spark.conf.unset(key)
 
 
+def test_two_feeds_send_their_dimensions_with_packed_ids(spark, tables):  # noqa: F811
+    """The driver builds what is sent whole; ids in letters are twice as wide there."""
+    off = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in off:
+        spark.conf.set(key, "-1")
+    try:
+        df = registry.queries()["fact_policy_two_feeds"](spark, tables)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # the link of broker and client, for the landing rows and for both kinds of product rows
+        assert len(re.findall(r"BroadcastExchange HashedRelationBroadcastMode\(List\(input\[0, binary[^\]]*\], input\[1, binary", plan)) >= 2
+        assert "unhex" in plan.split("SortMergeJoin")[-1]
+    finally:
+        for key in off:
+            spark.conf.unset(key)
+    inputs = staging.two_feeds(spark, tables)
+    plain = registry.comparable(run_load(staging.unique_lookups(M.POLICY), inputs, stamp=None))
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, plain.collect())) and df.count() > 0
+
+
 def test_repeated_products_are_one_for_a_lookup_of_unique_keys(spark, tables):  # noqa: F811
     from landstage.plans.staging import product_rows
     product = product_rows(spark, tables)
